@@ -364,3 +364,24 @@ def hash_rank(
     if total:
         out = out.withColumn(total, F.col("_total"))
     return out.drop("_off", "_total", PIECE)
+
+
+def grid_split(bounds: DataFrame, keys: Sequence[str], steps: str, target_rows: int | None = None) -> DataFrame:
+    """Cut points for series on a regular grid, from the number of grid steps per entity alone.
+
+    A grid has one row per step, so equal cuts of the step number bound every piece without looking at the rows.
+    """
+    target = target_rows or TARGET_ROWS
+    flat = F.transform(
+        F.sequence(F.lit(1), F.ceil(F.col(steps) / target).cast("int") - 1), lambda i: i * F.lit(float(target)) - 0.5
+    )
+    return (
+        bounds.filter(F.col(steps) > target)
+        .withColumn("_flat", flat)
+        .select(
+            *keys,
+            F.transform(
+                F.sequence(F.lit(0), F.size("_flat") - 1, F.lit(STRIDE)), lambda i: F.slice("_flat", i + 1, STRIDE)
+            ).alias(CUTS),
+        )
+    )

@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from cohortspark.queries import preparation, summaries  # noqa: F401
+from cohortspark.queries.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
