@@ -126,8 +126,10 @@ def nearest_neighbours(
     rows = rows.withColumn("own", ((F.col("_rank") - 1) % blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))
     )
-    base = rows.select("id", "v", F.col("own").alias("a"), F.col("other").alias("b"))
-    against = rows.select("id", "v", F.col("other").alias("a"), F.col("own").alias("b"))
+    def side(a: str, b: str) -> DataFrame:
+        return rows.select(*[F.col(c).alias(n) for c, n in (("id", "id"), ("v", "v"), (a, "a"), (b, "b"))])
+
+    base, against = side("own", "other"), side("other", "own")
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         x, y = np.stack(left["v"]).astype(float), np.stack(right["v"]).astype(float)
