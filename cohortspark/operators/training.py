@@ -141,7 +141,11 @@ def cross_validate(
     for p in parts[1:]:
         scored = scored.unionByName(p)
     labels = [r[0] for r in rows.select(F.col(label).cast("int")).distinct().sort(label).collect()]
-    return classification_report(scored, "y", "prediction", labels, ["fold"])
+    report = classification_report(scored, "y", "prediction", labels, ["fold"])
+    # folds x (labels + 3) rows; kept as values so that the cached rows can be released
+    out = df.sparkSession.createDataFrame(report.collect(), report.schema)
+    rows.unpersist()
+    return out
 
 
 def _search(df, features, label, id_column, maps, k, seed, parallelism) -> tuple[object, DataFrame]:

@@ -16,6 +16,9 @@ SETTINGS = {
 }
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session on this machine, for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("cohortspark")
@@ -40,9 +43,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="cohortspark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if "local" not in _SCRATCH:
+        _SCRATCH["local"] = tempfile.mkdtemp(prefix="cohortspark-")
+    return _SCRATCH["local"]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
