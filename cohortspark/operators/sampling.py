@@ -116,16 +116,17 @@ def oversample(df: DataFrame, label: str, id_column: str, seed=42) -> DataFrame:
 def nearest_neighbours(
     df: DataFrame, id_column: str, vector: str, k: int = 5, block_rows: int = 1024, seed=42
 ) -> DataFrame:
-    """Exact k nearest other rows by Euclidean distance: (id, neighbour, place).
+    """Exact k nearest other rows by Euclidean distance: (id, neighbour, place, found).
 
     Rows are dealt by hash into blocks of about ``block_rows``; one task compares one block with another and returns
     only the k best per row, so neither a whole class nor all pairs ever meet in one place.
     """
-    rows = _ranked(df.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector).alias("v")), "id", [], seed)
-    blocks = F.greatest(F.ceil(F.col("_size") / F.lit(block_rows)), F.lit(1)).cast("int")
-    rows = rows.withColumn("own", ((F.col("_rank") - 1) % blocks).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
-    )
+    rows = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector).alias("v"))
+    blocks = rows.agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)), F.lit(1)).cast("int")).scalar()
+    rows = rows.withColumn("_blocks", blocks)
+    own = F.floor(hash_fraction(seed, "id") * F.col("_blocks")).cast("int")
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+
     def side(a: str, b: str) -> DataFrame:
         return rows.select(*[F.col(c).alias(n) for c, n in (("id", "id"), ("v", "v"), (a, "a"), (b, "b"))])
 
@@ -152,7 +153,8 @@ def nearest_neighbours(
         .applyInPandas(best, "id bigint, neighbour bigint, d double")
     )
     w = Window.partitionBy("id").orderBy("d", "neighbour")
-    return found.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).drop("d")
+    near = found.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).drop("d")
+    return near.withColumn("found", F.count(F.lit(1)).over(Window.partitionBy("id")).cast("int"))
 
 
 def smote(
@@ -174,11 +176,9 @@ def smote(
         .withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
         .select("_id", "_v", "copy")
     )
-    near = nearest_neighbours(few, id_column, vector, k, block_rows, seed)
-    counts = near.groupBy("id").agg(F.count(F.lit(1)).alias("_k"))
-    pick = F.conv(F.substring(seeded_hash(f"{seed}n", "_id", "copy"), 1, 8), 16, 10).cast("bigint") % F.col("_k") + 1
-    chosen = wanted.join(counts, F.col("_id") == F.col("id")).drop("id").withColumn("place", pick.cast("int"))
-    chosen = chosen.join(near.withColumnRenamed("id", "_id"), ["_id", "place"])
+    near = nearest_neighbours(few, id_column, vector, k, block_rows, seed).withColumnRenamed("id", "_id")
+    draw = F.conv(F.substring(seeded_hash(f"{seed}n", "_id", "copy"), 1, 8), 16, 10).cast("bigint")
+    chosen = wanted.withColumn("_draw", draw).join(near, "_id").filter(F.col("place") == F.col("_draw") % F.col("found") + 1)
     other = vectors.select(F.col("_id").alias("neighbour"), F.col("_v").alias("_w"))
     step = hash_fraction(f"{seed}l", "_id", "copy")
     return chosen.join(other, "neighbour").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
@@ -125,10 +125,7 @@ def central_fit(spark, d):
 
 def _folder(spark) -> str:
     """A new folder below the shared one."""
-    base = shared_dir(spark)
-    if base.startswith("/"):
-        return tempfile.mkdtemp(prefix="tables-", dir=base)
-    return f"{base}/tables-{spark.sparkContext.applicationId}-{tempfile.gettempprefix()}{id(spark)}"
+    return f"{shared_dir(spark)}/tables-{uuid4().hex}"
 
 
 @query("table_roundtrip", "SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders")
