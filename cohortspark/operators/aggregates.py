@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.operators.grouped import (
     TARGET_ROWS,
-    is_small,
+    large_groups,
     match,
     micros,
     quantiles,
@@ -46,11 +46,11 @@ def median_by(
     rows; groups of larger entities go through counted values and running sums, which no single task holds.
     """
     plain = [F.median(c).alias(c) for c in columns]
-    if target_rows is None and is_small(df):
+    large = large_groups(df, [entity], target_rows)
+    if large is None:
         return df.groupBy(*keys).agg(*plain)
     limit = target_rows or TARGET_ROWS
-    # at most rows / target_rows entities, hence a bounded broadcast
-    large = F.broadcast(df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(entity))
+    large = F.broadcast(large.select(entity))
     few = df.join(large, entity, "left_anti").groupBy(*keys).agg(*plain)
     many = df.join(large, entity, "left_semi")
     long = quantiles(unpivot(many, keys, columns), [*keys, "signal"], "value", {"_m": 0.5}, limit)

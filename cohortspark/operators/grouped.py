@@ -8,10 +8,11 @@ into pieces at quantiles of its order column:
 * what a piece needs from the pieces before or after it (a count, a sum, a last value) is one row per piece,
   worked out from pre-aggregated rows and joined back.
 
-Groups below the target stay whole: they are one piece, and pay only for a count per group.  The cut points and the
-carried rows exist for large groups only; together they number at most ``2 * rows / TARGET_ROWS``, which is the bound
-that lets them be broadcast.  When all files a frame reads are below ``SMALL_INPUT`` bytes no group can be large, and
-the cutting is left out; giving ``target_rows`` always turns it on.
+Groups below the target stay whole, and when there is no large group the plan is the plain window.  Finding that out
+is one column-pruned count per group, run when the operator is called (as ``approxQuantile`` does); what comes back to
+the driver are the cut points of large groups only, at most ``2 * rows / TARGET_ROWS`` numbers.  That bound also lets
+the cut points and the carried rows be broadcast.  When all files a frame reads are below ``SMALL_INPUT`` bytes no group
+can be large and no count is run; giving ``target_rows`` always runs it.  Callers that know better pass ``split``.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ TARGET_ROWS = 4_000_000
 SMALL_INPUT = 64 * 1024 * 1024
 MAX_PIECES = 1024
 STRIDE = 32
+WHOLE = "whole"
 PIECE = "_piece"
 CUTS = "_cuts"
 
@@ -74,60 +76,93 @@ def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "le
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def large_groups(df: DataFrame, keys: Sequence[str], target_rows: int | None = None) -> DataFrame | None:
+    """Groups of more than ``target_rows`` rows with their size ``_n``; None when there are none."""
+    if target_rows is None and is_small(df):
+        return None
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > (target_rows or TARGET_ROWS))
+    return _kept(counts)
+
+
+def _kept(few: DataFrame) -> DataFrame | None:
+    """Rows of a frame that is small by construction, held as values; None when it is empty."""
+    rows = few.collect()
+    return few.sparkSession.createDataFrame(rows, few.schema) if rows else None
+
+
+def _strided(flat: Column) -> Column:
+    return F.transform(
+        F.sequence(F.lit(0), F.size(flat) - 1, F.lit(STRIDE)), lambda i: F.slice(flat, i + 1, STRIDE)
+    )
+
+
 def split_points(
     df: DataFrame, keys: Sequence[str], order: str, target_rows: int | None = None
-) -> DataFrame:
-    """Cut points of the groups that hold more than ``target_rows`` rows.
+) -> DataFrame | None:
+    """Cut points of the groups that hold more than ``target_rows`` rows; None when there are none.
 
-    ``target_rows`` defaults to ``TARGET_ROWS``.  One row per such group, with ``_cuts``: rows of ``STRIDE`` ascending cut values, found in two short steps.
+    ``target_rows`` defaults to ``TARGET_ROWS``.  One row per such group, with ``_cuts``: rows of ``STRIDE`` ascending
+    cut values, found in two short steps.
     """
-    target_rows = target_rows or TARGET_ROWS
+    counts = large_groups(df, keys, target_rows)
+    if counts is None:
+        return None
+    target = target_rows or TARGET_ROWS
     rows = df.select(*keys, order_number(df, order).cast("double").alias("_o"))
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > target_rows)
     fractions = ",".join(str(i / MAX_PIECES) for i in range(1, MAX_PIECES))
-    big = match(rows, F.broadcast(counts), keys, "inner") if keys else rows.join(F.broadcast(counts))
-    quantiles = big.groupBy(*keys).agg(
+    if keys:
+        rows = match(rows, F.broadcast(counts), keys, "inner")
+    else:
+        rows = rows.withColumn("_n", F.lit(counts.first()["_n"]))
+    quantiles = rows.groupBy(*keys).agg(
         F.max("_n").alias("_n"),
         F.expr(f"percentile_approx(_o, cast(split('{fractions}', ',') AS array<double>), {20 * MAX_PIECES})").alias("_q"),
     )
-    if not keys:
-        quantiles = quantiles.filter(F.col("_n").isNotNull())
-    pieces = F.least(F.lit(MAX_PIECES), F.ceil(F.col("_n") / target_rows)).cast("int")
+    pieces = F.least(F.lit(MAX_PIECES), F.ceil(F.col("_n") / target)).cast("int")
     picked = F.array_distinct(
         F.transform(
             F.sequence(F.lit(1), pieces - 1),
             lambda i: F.element_at("_q", F.floor(i * MAX_PIECES / pieces).cast("int")),
         )
     )
-    rows_of_cuts = F.transform(
-        F.sequence(F.lit(0), F.size("_flat") - 1, F.lit(STRIDE)),
-        lambda i: F.slice("_flat", i + 1, STRIDE),
+    cuts = quantiles.withColumn("_flat", picked).select(*keys, _strided(F.col("_flat")).alias(CUTS))
+    return _kept(cuts.filter(F.col(CUTS).isNotNull()))
+
+
+def grid_split(bounds: DataFrame, keys: Sequence[str], steps: str, target_rows: int | None = None) -> DataFrame | None:
+    """Cut points for series on a regular grid, from the number of grid steps per entity alone.
+
+    A grid has one row per step, so equal cuts of the step number bound every piece without looking at the rows.
+    """
+    target = target_rows or TARGET_ROWS
+    flat = F.transform(
+        F.sequence(F.lit(1), F.ceil(F.col(steps) / target).cast("int") - 1), lambda i: i * F.lit(float(target)) - 0.5
     )
-    return quantiles.withColumn("_flat", picked).select(*keys, rows_of_cuts.alias(CUTS))
+    large = bounds.filter(F.col(steps) > target).withColumn("_flat", flat)
+    return _kept(large.select(*keys, _strided(F.col("_flat")).alias(CUTS)))
 
 
 def with_pieces(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    split: DataFrame | None = None,
+    split: DataFrame | str | None = None,
     target_rows: int | None = None,
-) -> DataFrame:
-    """Add ``_piece`` (0 for groups left whole) and ``_cuts`` (null for them)."""
-    if split is None and target_rows is None and is_small(df):
-        whole = df.withColumn(PIECE, F.lit(0)).withColumn(CUTS, F.lit(None).cast("array<array<double>>"))
-        return whole.withMetadata(PIECE, {"whole": True})
+) -> tuple[DataFrame, bool]:
+    """(frame with ``_piece``, whether any group is cut).  ``split``: cut points, ``WHOLE``, or None to find out."""
     if split is None:
         split = split_points(df, keys, order, target_rows)
+    if split is None or isinstance(split, str):
+        return df.withColumn(PIECE, F.lit(0)), False
     if keys:
         df = match(df, F.broadcast(split), keys)
     else:
-        df = df.withColumn(CUTS, split.scalar())
+        df = df.withColumn(CUTS, split.select(CUTS).scalar())
     o = order_number(df, order).cast("double")
     row = F.size(F.filter(CUTS, lambda r: r[0] < o))
     inside = F.size(F.filter(F.element_at(CUTS, F.greatest(row, F.lit(1))), lambda c: c < o))
     piece = F.when(F.col(CUTS).isNull() | (row == 0), 0).otherwise((row - 1) * STRIDE + inside)
-    return df.withColumn(PIECE, piece.cast("int"))
+    return df.withColumn(PIECE, piece.cast("int")), True
 
 
 def _window(keys: Sequence[str], order: Sequence[Column | str]):
@@ -135,13 +170,19 @@ def _window(keys: Sequence[str], order: Sequence[Column | str]):
 
 
 def _with_carry(
-    out: DataFrame, pieces: DataFrame, keys: Sequence[str], sums: dict[str, Column], carry: dict[str, Column]
+    out: DataFrame,
+    pieces: DataFrame,
+    cut: bool,
+    keys: Sequence[str],
+    sums: dict[str, Column],
+    carry: dict[str, Column],
 ) -> DataFrame:
     """Join to ``out`` what each piece of a large group needs from the others.
 
-    ``sums`` are aggregates per piece, ``carry`` turns them into values over the order of the pieces.
+    ``sums`` are aggregates per piece, ``carry`` turns them into values over the order of the pieces.  Without cut
+    groups the carried columns are null.
     """
-    if not _is_cut(pieces):
+    if not cut:
         kinds = pieces.groupBy(*keys, PIECE).agg(*[c.alias(n) for n, c in sums.items()]).schema
         return out.withColumns({n: F.lit(None).cast(kinds[n].dataType) for n in carry})
     per_piece = (
@@ -153,11 +194,6 @@ def _with_carry(
     return match(out, F.broadcast(rows), [*keys, PIECE])
 
 
-def _is_cut(pieces: DataFrame) -> bool:
-    """False when ``with_pieces`` left every group whole."""
-    return not pieces.schema[PIECE].metadata.get("whole", False)
-
-
 def _before(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
 
@@ -173,11 +209,11 @@ def number_rows(
     name: str,
     ties: Sequence[str] = (),
     method: str = "row_number",
-    split: DataFrame | None = None,
+    split: DataFrame | str | None = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """``row_number``, ``rank`` or ``dense_rank`` by ``order`` (then ``ties``) inside ``keys``."""
-    pieces = with_pieces(df, keys, order, split, target_rows)
+    pieces, cut = with_pieces(df, keys, order, split, target_rows)
     w = _window(keys, [order, *ties])
     local = {"row_number": F.row_number(), "rank": F.rank(), "dense_rank": F.dense_rank()}[method].over(w)
     levels = F.count(F.lit(1))
@@ -185,7 +221,7 @@ def number_rows(
         levels = F.count_distinct(F.struct(order, *ties))
     carry = {"_c": F.sum("_c").over(_before(keys))}
     return (
-        _with_carry(pieces.withColumn(name, local), pieces, keys, {"_c": levels}, carry)
+        _with_carry(pieces.withColumn(name, local), pieces, cut, keys, {"_c": levels}, carry)
         .withColumn(name, (F.col(name) + F.coalesce("_c", F.lit(0))).cast("bigint"))
         .drop("_c", PIECE, CUTS)
     )
@@ -197,20 +233,21 @@ def running_sum(
     order: str,
     sums: dict[str, str],
     descending: bool = False,
-    split: DataFrame | None = None,
+    split: DataFrame | str | None = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """Running totals up to and including the row; ``sums`` maps new column to summed column.
 
     ``order`` must be unique inside a group (sum ties up first).
     """
-    pieces = with_pieces(df, keys, order, split, target_rows)
+    pieces, cut = with_pieces(df, keys, order, split, target_rows)
     by = F.desc(order) if descending else F.asc(order)
     w = Window.partitionBy(*keys, PIECE).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
     over = _after(keys) if descending else _before(keys)
     out = _with_carry(
         pieces.withColumns({n: F.sum(c).over(w) for n, c in sums.items()}),
         pieces,
+        cut,
         keys,
         {f"_c_{n}": F.sum(c) for n, c in sums.items()},
         {f"_c_{n}": F.sum(f"_c_{n}").over(over) for n in sums},
@@ -227,12 +264,12 @@ def previous_next(
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
     ties: Sequence[str] = (),
-    split: DataFrame | None = None,
+    split: DataFrame | str | None = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """Value of the row before (``previous``: new column -> source) and after (``following``)."""
     previous, following = previous or {}, following or {}
-    pieces = with_pieces(df, keys, order, split, target_rows)
+    pieces, cut = with_pieces(df, keys, order, split, target_rows)
     w = _window(keys, [order, *ties])
     position = F.struct(order, *ties)
     sums, carry, new = {}, {}, {}
@@ -244,7 +281,7 @@ def previous_next(
         sums[f"_f_{n}"] = F.min_by(F.struct(c), position)
         carry[f"_f_{n}"] = F.lead(f"_f_{n}").over(Window.partitionBy(*keys).orderBy(PIECE))
         new[n] = F.lead(F.struct(c)).over(w)
-    out = _with_carry(pieces.withColumns(new), pieces, keys, sums, carry)
+    out = _with_carry(pieces.withColumns(new), pieces, cut, keys, sums, carry)
     done = {n: F.coalesce(F.col(n), F.col(f"_p_{n}"))[c] for n, c in previous.items()}
     done |= {n: F.coalesce(F.col(n), F.col(f"_f_{n}"))[c] for n, c in following.items()}
     return out.withColumns(done).drop(*sums, PIECE, CUTS)
@@ -257,7 +294,7 @@ def fill(
     columns: Sequence[str],
     directions: Sequence[str] = ("forward", "backward"),
     ties: Sequence[str] = (),
-    split: DataFrame | None = None,
+    split: DataFrame | str | None = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """Fill nulls from the nearest non-null row in each direction, in the order the directions are given.
@@ -265,7 +302,7 @@ def fill(
     Both directions look from the first row of the window to the current one, once ascending and once descending:
     a frame that ends at the last row would be re-read for every row.
     """
-    pieces = with_pieces(df, keys, order, split, target_rows)
+    pieces, cut = with_pieces(df, keys, order, split, target_rows)
     position = F.struct(order, *ties)
     up = Window.partitionBy(*keys, PIECE).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0)
     down = (
@@ -284,7 +321,7 @@ def fill(
             local[f"_backward_{c}"] = F.last(c, ignorenulls=True).over(down)
             sums[f"_cb_{c}"] = F.min_by(c, seen)
             carry[f"_cb_{c}"] = F.last(f"_cb_{c}", ignorenulls=True).over(_after(keys))
-    out = _with_carry(pieces.withColumns(local), pieces, keys, sums, carry)
+    out = _with_carry(pieces.withColumns(local), pieces, cut, keys, sums, carry)
     filled = {}
     for c in columns:
         parts = []
@@ -364,24 +401,3 @@ def hash_rank(
     if total:
         out = out.withColumn(total, F.col("_total"))
     return out.drop("_off", "_total", PIECE)
-
-
-def grid_split(bounds: DataFrame, keys: Sequence[str], steps: str, target_rows: int | None = None) -> DataFrame:
-    """Cut points for series on a regular grid, from the number of grid steps per entity alone.
-
-    A grid has one row per step, so equal cuts of the step number bound every piece without looking at the rows.
-    """
-    target = target_rows or TARGET_ROWS
-    flat = F.transform(
-        F.sequence(F.lit(1), F.ceil(F.col(steps) / target).cast("int") - 1), lambda i: i * F.lit(float(target)) - 0.5
-    )
-    return (
-        bounds.filter(F.col(steps) > target)
-        .withColumn("_flat", flat)
-        .select(
-            *keys,
-            F.transform(
-                F.sequence(F.lit(0), F.size("_flat") - 1, F.lit(STRIDE)), lambda i: F.slice("_flat", i + 1, STRIDE)
-            ).alias(CUTS),
-        )
-    )

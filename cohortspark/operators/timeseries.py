@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.operators.aggregates import column_medians, median_by
-from cohortspark.operators.grouped import fill, from_micros, grid_split, is_small, micros, previous_next
+from cohortspark.operators.grouped import WHOLE, fill, from_micros, grid_split, is_small, micros, previous_next
 from cohortspark.operators.windows import head_per_group
 
 HOUR_US = 3_600_000_000
@@ -47,9 +47,10 @@ def resample(
     rows = rows.withColumn("_bin", no.cast("bigint"))
     binned = median_by(rows.drop("_us", "_steps"), [key, "_origin", "_bin"], columns, key, target_rows)
     split = None
-    if target_rows is not None or not is_small(df):
-        grid = bounds if origin == "start" else bounds.withColumn("_steps", F.lit(0))
-        split = grid_split(grid, [key], "_steps", target_rows)
+    if origin == "start" and (target_rows is not None or not is_small(df)):
+        split = grid_split(bounds, [key], "_steps", target_rows)
+    if origin == "start":
+        split = split or WHOLE
     binned = previous_next(binned, [key], "_bin", following={"_next": "_bin"}, split=split)
     until = F.coalesce(F.col("_next") - 1, F.col("_bin"))
     out = binned.withColumn("_step", F.explode(F.sequence(F.col("_bin"), until)))

@@ -1,4 +1,7 @@
-"""From wide tables to regular, filled and labelled series of a cohort."""
+"""From wide tables to regular, filled and labelled series of a cohort.
+
+Every step that later steps read more than once is written as a stage table first.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +18,7 @@ from cohortspark.operators.joins import align_timelines, attach_label, keep_ids,
 from cohortspark.operators.labels import label_continuous
 from cohortspark.operators.timeseries import observation_window, prediction_time, resample_filled, restrict_observed
 from cohortspark.operators.windows import ffill_bfill
+from cohortspark.session import staged
 
 KEY, T = "icustay_id", "charttime"
 
@@ -40,7 +44,8 @@ def _covered(stays: DataFrame, vitals: DataFrame, labs: DataFrame, hours: float)
     ids = stays.select(KEY).distinct()
     vitals, labs = keep_ids(vitals, ids, KEY).distinct(), keep_ids(labs, ids, KEY).distinct()
     covered = min_coverage([vitals, labs], KEY, T, hours)
-    return Cohort(*(keep_ids(df, covered, KEY) for df in (stays, vitals, labs)))
+    covered = staged(covered)
+    return Cohort(*(staged(keep_ids(df, covered, KEY)) for df in (stays, vitals, labs)))
 
 
 def regular_series(
@@ -53,11 +58,11 @@ def regular_series(
     vitals = cohort.vitals.select(KEY, T, *vital_signals)
     labs = cohort.labs.select(KEY, T, *lab_signals)
     vitals, labs = align_timelines(vitals, labs, [KEY, T])
-    vitals, labs = (df.withColumn(T, round_hour(T)) for df in (vitals, labs))
+    vitals, labs = (staged(df.withColumn(T, round_hour(T))) for df in (vitals, labs))
     return Cohort(
         cohort.demographics,
-        resample_filled(vitals, KEY, T, 1, vital_signals, rest),
-        resample_filled(labs, KEY, T, 8, lab_signals, rest),
+        staged(resample_filled(vitals, KEY, T, 1, vital_signals, rest)),
+        staged(resample_filled(labs, KEY, T, 8, lab_signals, rest)),
     )
 
 
@@ -65,7 +70,8 @@ def windowed(cohort: Cohort, hours: float) -> Cohort:
     """Series before the prediction time, and the stays that still have rows."""
     stays = cohort.demographics
     vitals, labs = (
-        observation_window(df, stays, KEY, T, "intime", hours, "outtime") for df in (cohort.vitals, cohort.labs)
+        staged(observation_window(df, stays, KEY, T, "intime", hours, "outtime"))
+        for df in (cohort.vitals, cohort.labs)
     )
     return Cohort(
         restrict_observed(prediction_time(stays, "intime", hours, "outtime"), [vitals, labs], KEY), vitals, labs

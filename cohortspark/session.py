@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +55,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write a stage of a pipeline as a table in the shared folder and go on from the table.
+
+    Later stages read a frame of known size instead of repeating the work before it, also after lost executors.
+    """
+    path = f"{shared_dir(df.sparkSession)}/stage-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -90,7 +90,8 @@ def test_small_files_are_left_whole(spark, rows, tmp_path):
     small = spark.read.parquet(path)
     assert g.is_small(small)
     plan = g.number_rows(small, ["k"], "t", "r", ties=["id"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "percentile_approx" not in plan and "Join" not in plan
+    assert "_cuts" not in plan and "Join" not in plan
+    assert g.split_points(rows, ["k"], "t", 10_000) is None
     w = Window.partitionBy("k").orderBy("t", "id")
     same(g.number_rows(small, ["k"], "t", "r", ties=["id"]), rows.withColumn("r", F.row_number().over(w)))
     same(g.fill(small, ["k"], "t", ["v"], ties=["id"]), g.fill(rows, ["k"], "t", ["v"], ties=["id"], target_rows=40))
