@@ -107,16 +107,23 @@ def describe(
     df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), target_rows: int | None = None
 ) -> DataFrame:
     """count, mean, sample std, min, quartiles and max per column (and group), one row each."""
-    long = unpivot(df, by, columns)
+    rows = [
+        F.struct(
+            F.lit(c).alias("signal"),
+            F.count(c).alias("n"),
+            F.avg(c).alias("mean"),
+            F.stddev_samp(c).alias("std"),
+            F.min(c).cast("double").alias("min"),
+            F.max(c).cast("double").alias("max"),
+        )
+        for c in columns
+    ]
+    basic = df.groupBy(*by).agg(F.array(*rows).alias("_r")).select(*by, F.inline("_r"))
     g = [*by, "signal"]
-    basic = long.groupBy(*g).agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    quartiles = quantiles(
+        unpivot(df, by, columns), g, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, target_rows
     )
-    return match(basic, quantiles(long, g, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, target_rows), g)
+    return match(basic, quartiles, g)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

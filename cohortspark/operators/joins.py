@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.functions.datetimes import datetime_add, datetime_diff, datetime_sub, seconds
-from cohortspark.operators.grouped import micros, previous_next
-
-DAY_US = 86_400_000_000
+from cohortspark.operators.grouped import previous_next
 
 
 def interval_join(
@@ -21,29 +19,25 @@ def interval_join(
     start: str,
     end: str,
     how: str = "left",
-    bucket_days: float = 1.0,
+    bucket_days: int = 1,
 ) -> DataFrame:
     """Points joined to the intervals of the same subject with ``start <= t < end``.
 
-    Every interval is listed once per time bucket it touches and a point looks only into its own bucket, so the
+    Every interval is listed once per bucket of days it touches and a point looks only into its own bucket, so the
     equi-join key is (subject, bucket): a subject with a long history is spread over many tasks, and the pairs that
     are compared are close to the pairs that match.  A point lies in one bucket, so no match is found twice.
     """
-    width = int(bucket_days * DAY_US)
+
+    def bucket(ts: Column) -> Column:
+        return F.floor(F.unix_date(ts.cast("date")) / F.lit(bucket_days)).cast("int")
+
+    last = F.col(end) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.000001))
     listed = (
         intervals.filter(F.col(start) < F.col(end))
         .withColumnRenamed(key, "_key")
-        .withColumn(
-            "_bucket",
-            F.explode(
-                F.sequence(
-                    F.floor(micros(start) / F.lit(width)).cast("bigint"),
-                    F.floor((micros(end) - 1) / F.lit(width)).cast("bigint"),
-                )
-            ),
-        )
+        .withColumn("_bucket", F.explode(F.sequence(bucket(F.col(start)), bucket(last))))
     )
-    located = points.withColumn("_at", F.floor(micros(t) / F.lit(width)).cast("bigint"))
+    located = points.withColumn("_at", bucket(F.col(t)))
     on = (
         (F.col(key) == F.col("_key"))
         & (F.col("_at") == F.col("_bucket"))

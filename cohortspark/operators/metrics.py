@@ -112,22 +112,28 @@ def ranked_counts(
     return run.withColumn("_t", total).select("*", F.col("_t.p").alias("p"), F.col("_t.n").alias("n")).drop("_t")
 
 
-def auroc(df: DataFrame, y: str, score: str, by: Sequence[str] = (), target_rows: int | None = None) -> DataFrame:
-    """Exact area under the ROC curve; tied scores count half.  Null when a class is absent."""
-    r = ranked_counts(df, y, score, by, target_rows)
+def _roc_area() -> Column:
+    """Over ``ranked_counts``: share of (positive, negative) pairs in the right order, ties half."""
     above = F.col("tp") - F.col("pos") + F.col("pos") / 2.0
-    pairs = F.sum(F.col("neg") * above)
-    return r.groupBy(*by).agg(ratio(pairs, F.max("p") * F.max("n").cast("double"), None).alias("auroc"))
+    return ratio(F.sum(F.col("neg") * above), F.max("p") * F.max("n").cast("double"), None).alias("auroc")
 
 
-def auprc(df: DataFrame, y: str, score: str, by: Sequence[str] = (), target_rows: int | None = None) -> DataFrame:
-    """Exact area under the precision-recall curve by trapezoids, starting at recall 0 with precision 1."""
-    r = ranked_counts(df, y, score, by, target_rows)
+def _pr_area() -> Column:
+    """Over ``ranked_counts``: trapezoids between neighbouring scores, from recall 0 and precision 1."""
     tp, fp, pos, neg = F.col("tp"), F.col("fp"), F.col("pos"), F.col("neg")
     here = tp / (tp + fp)
     before = F.when(tp + fp - pos - neg > 0, (tp - pos) / (tp + fp - pos - neg)).otherwise(1.0)
-    area = F.sum(pos * (here + before) / 2.0)
-    return r.groupBy(*by).agg(ratio(area, F.max("p"), None).alias("auprc"))
+    return ratio(F.sum(pos * (here + before) / 2.0), F.max("p"), None).alias("auprc")
+
+
+def auroc(df: DataFrame, y: str, score: str, by: Sequence[str] = (), target_rows: int | None = None) -> DataFrame:
+    """Exact area under the ROC curve; tied scores count half.  Null when a class is absent."""
+    return ranked_counts(df, y, score, by, target_rows).groupBy(*by).agg(_roc_area())
+
+
+def auprc(df: DataFrame, y: str, score: str, by: Sequence[str] = (), target_rows: int | None = None) -> DataFrame:
+    """Exact area under the precision-recall curve by trapezoids, starting at recall 0 with precision 1."""
+    return ranked_counts(df, y, score, by, target_rows).groupBy(*by).agg(_pr_area())
 
 
 def roc_points(df: DataFrame, y: str, score: str, by: Sequence[str] = (), target_rows: int | None = None) -> DataFrame:
@@ -240,11 +246,13 @@ def score_cube(
     """
     cell = [*run, fold, client, "label"]
     rows = binned_scores(predictions, y, yhat, n_labels, [*run, fold, client])
-    rows = rows.withColumn("y_said", (F.col("score") > 0.5).cast("int"))
-    flat = binary_metrics(rows, "y_bin", "y_said", cell).select(*cell, "precision", "recall")
-    roc = auroc(rows, "y_bin", "score", cell, target_rows)
-    prc = auprc(rows, "y_bin", "score", cell, target_rows)
-    per = match(match(flat, roc, cell), prc, cell)
+    # all four label metrics come from the same counts per distinct score
+    said = F.col("score") > 0.5
+    tp, fp = F.sum(F.when(said, F.col("pos"))), F.sum(F.when(said, F.col("neg")))
+    tp, fp = F.coalesce(tp, F.lit(0)), F.coalesce(fp, F.lit(0))
+    per = ranked_counts(rows, "y_bin", "score", cell, target_rows).groupBy(*cell).agg(
+        ratio(tp, tp + fp).alias("precision"), ratio(tp, F.max("p")).alias("recall"), _roc_area(), _pr_area()
+    )
     long = per.unpivot(cell, ["precision", "recall", "auroc", "auprc"], "metric", "value")
     errors = regression_errors(predictions, y, yhat, [*run, fold, client]).unpivot(
         [*run, fold, client], ["mae", "mse"], "metric", "value"

@@ -264,7 +264,8 @@ def _gradients(df: DataFrame, weights: dict[int, np.ndarray], dim: int) -> DataF
             )
 
     parts = df.mapInArrow(partial, "client int, valid boolean, sums array<double>")
-    return parts.groupBy("client", "valid").agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(dim + 3)]).alias("s"))
+    totals = ", ".join(f"sum(sums[{i}])" for i in range(dim + 3))
+    return parts.groupBy("client", "valid").agg(F.expr(f"array({totals})").alias("s"))
 
 
 def _train(
@@ -289,22 +290,27 @@ def _train(
     best = {c: (np.inf, -1, weights[c]) for c in clients}
     running = set(clients)
     history, rate = [], learning_rate
+
+    def measured() -> dict[tuple, np.ndarray]:
+        return {(x["client"], x["valid"]): np.array(x["s"]) for x in _gradients(rows, weights, dim).collect()}
+
+    # one pass gives the losses at the current weights and the gradient for the next step
+    sums = measured()
+    sizes = {c: sums[(c, False)][0] for c in clients if (c, False) in sums}
     for r in range(rounds):
         if halve_every and r > 0 and r % halve_every == 0:
             rate *= 0.5
-        for _ in range(local_steps):
-            sums = {(x["client"], x["valid"]): np.array(x["s"]) for x in _gradients(rows, weights, dim).collect()}
-            for c in running:
-                s = sums.get((c, False))
-                if s is not None:
-                    weights[c] = weights[c] - rate * s[2:] / s[0]
+        for step in range(local_steps):
+            sums = measured() if step else sums
+            for c in running & set(sizes):
+                s = sums[(c, False)]
+                weights[c] = weights[c] - rate * s[2:] / s[0]
         if share:
-            sizes = {c: sums[(c, False)][0] for c in clients if (c, False) in sums}
             mean = sum(n * weights[c] for c, n in sizes.items()) / sum(sizes.values())
             weights = {c: mean for c in clients}
-        scored = {(x["client"], x["valid"]): x["s"] for x in _gradients(rows, weights, dim).collect()}
+        sums = measured()
         losses = {
-            (c, part): (scored[(c, v)][1] / scored[(c, v)][0] if (c, v) in scored else None)
+            (c, part): (float(sums[(c, v)][1] / sums[(c, v)][0]) if (c, v) in sums else None)
             for c in clients
             for part, v in (("train", False), ("valid", True))
         }
