@@ -434,20 +434,21 @@ def cv_scores(spark, d):
 
 
 _ROUNDS = f"""(SELECT entity % 3 AS fold, entity % 2 AS client, day(t) AS epoch, avg(value) AS loss FROM {SERIES} s
- WHERE day(t) <= 20 + entity % 3 GROUP BY 1, 2, 3)"""
+ GROUP BY 1, 2, 3)"""
 
 
 def _rounds(spark, d):
     rows = series(spark, d).withColumns({"fold": F.col("entity") % 3, "client": F.col("entity") % 2, "epoch": F.dayofmonth("t")})
-    return rows.filter(F.col("epoch") <= 20 + F.col("fold")).groupBy("fold", "client", "epoch").agg(F.avg("value").alias("loss"))
+    return rows.groupBy("fold", "client", "epoch").agg(F.avg("value").alias("loss"))
 
 
 @query("learning_curve", f"""
-SELECT epoch, round(CASE WHEN n = 6 THEN a END, 6) AS avg_value, round(CASE WHEN n = 6 THEN lo END, 6) AS min_value,
- round(CASE WHEN n = 6 THEN hi END, 6) AS max_value FROM
- (SELECT epoch, count(loss) AS n, avg(loss) AS a, min(loss) AS lo, max(loss) AS hi FROM {_ROUNDS} r GROUP BY 1) x WHERE epoch <= 20""")
+WITH e AS (SELECT epoch, count(loss) AS n, avg(loss) AS a, min(loss) AS lo, max(loss) AS hi FROM {_ROUNDS} r GROUP BY 1),
+ k AS (SELECT count(DISTINCT (fold, client)) AS k FROM {_ROUNDS} r)
+SELECT epoch, round(CASE WHEN n = k THEN a END, 6) AS avg_value, round(CASE WHEN n = k THEN lo END, 6) AS min_value,
+ round(CASE WHEN n = k THEN hi END, 6) AS max_value FROM e, k WHERE epoch <= (SELECT max(epoch) FROM e, k WHERE n = k)""")
 def learning_curve(spark, d):
-    """Folds stop at different epochs; the curve ends where the first of them does."""
+    """The curve ends at the last epoch that every fold and client reached."""
     out = mt.learning_curve(_rounds(spark, d), [], "epoch", "loss", ["fold", "client"])
     return rounded(out, ["avg_value", "min_value", "max_value"])
 
@@ -464,9 +465,9 @@ def best_round(spark, d):
     return rounded(mt.best_round(_rounds(spark, d), ["fold", "client"], "epoch", "loss", 5), ["best_loss"])
 
 
-@query("pool_predictions", f"SELECT doc_id, y, yhat FROM (SELECT doc_id, y, CASE WHEN doc_id % 11 != 0 THEN yhat END AS yhat FROM {_PRED} p) x WHERE yhat IS NOT NULL")
+@query("pool_predictions", f"SELECT doc_id, y, yhat FROM (SELECT doc_id, y, CASE WHEN y > 0.1 THEN yhat END AS yhat FROM {_PRED} p) x WHERE yhat IS NOT NULL")
 def pool_predictions(spark, d):
-    rows = _predictions(spark, d).withColumn("yhat", F.when(F.col("doc_id") % 11 != 0, F.col("yhat")))
+    rows = _predictions(spark, d).withColumn("yhat", F.when(F.col("y") > 0.1, F.col("yhat")))
     folds = [rows.filter(F.col("fold") == f).select("doc_id", "y", "yhat") for f in range(5)]
     return mt.pool_predictions(folds, "y", "yhat")
 
@@ -475,6 +476,7 @@ def pool_predictions(spark, d):
 
 
 def _votes(spark, d):
+    """Probabilities of three rules; one of them gives none for short documents."""
     rows = imb(spark, d)
 
     def pair(p):
@@ -482,13 +484,13 @@ def _votes(spark, d):
 
     return {
         "chars": rows.select("doc_id", pair(F.col("score")).alias("proba")),
-        "ids": rows.filter(F.col("doc_id") % 5 != 0).select("doc_id", pair((F.col("doc_id") % 100) / 100.0).alias("proba")),
+        "ids": rows.filter(F.col("n_chars") >= 500).select("doc_id", pair((F.col("doc_id") % 100) / 100.0).alias("proba")),
         "lang": rows.select("doc_id", pair(F.when(F.col("lang") == "en", 0.9).otherwise(0.25)).alias("proba")),
     }
 
 
 _VOTES = f"""(SELECT doc_id, score AS a, (doc_id % 100) / 100.0::DOUBLE AS b, CASE WHEN lang = 'en' THEN 0.9 ELSE 0.25 END::DOUBLE AS c
- FROM {IMB} x WHERE doc_id % 5 != 0)"""
+ FROM {IMB} x WHERE n_chars >= 500)"""
 
 
 @query("align_predictions", f"SELECT doc_id, round(a, 6) AS chars, round(b, 6) AS ids, round(c, 6) AS lang FROM {_VOTES} v")
@@ -516,13 +518,12 @@ def vote_weight(spark, d):
 
 
 @query("federated_average", """
-WITH c AS (SELECT vec_id % 4 AS client, i, avg(embedding[i + 1]) AS w, count(*) AS n FROM embeddings,
-  (SELECT unnest(generate_series(0, 63)) AS i) k WHERE vec_id % 4 != 3 OR vec_id % 3 = 0 GROUP BY 1, 2)
+WITH c AS (SELECT greatest(vec_id % 7, 3) AS client, i, avg(embedding[i + 1]) AS w, count(*) AS n FROM embeddings,
+  (SELECT unnest(generate_series(0, 63)) AS i) k GROUP BY 1, 2)
 SELECT i AS position, round(sum(n * w) / sum(n), 6) AS weight FROM c GROUP BY 1""")
 def federated_average(spark, d):
     """Clients of different size, each with the mean vector of its rows as weights."""
-    rows = vec(spark, d).withColumn("client", F.col("vec_id") % 4)
-    rows = rows.filter((F.col("client") != 3) | (F.col("vec_id") % 3 == 0))
+    rows = vec(spark, d).withColumn("client", F.greatest(F.col("vec_id") % 7, F.lit(3)))
     v = F.col("embedding").cast("array<double>")
     clients = rows.withColumn("v", v).groupBy("client").agg(
         F.count(F.lit(1)).alias("n"), F.array(*[F.avg(F.col("v")[i]) for i in range(64)]).alias("w")
