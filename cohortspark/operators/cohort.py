@@ -51,23 +51,34 @@ def coverage_in_both(a: DataFrame, b: DataFrame, key: str, t: str, hours: float,
 def cohort_flow(
     df: DataFrame, steps: Mapping[str, Column], counted: Mapping[str, str], event: str | None = None
 ) -> DataFrame:
-    """One row per step: distinct ids left after it and all steps before it, events, and percent of the first step.
+    """One row per step: distinct ids left after it and all steps before it, and the events among the rows left.
 
-    ``steps`` are conditions in order; every row is read once and counted in each step it passes.
+    Steps are cumulative, so an id is left after a step exactly when its best row passes that many steps: one maximum
+    per id replaces a distinct count per step.
     """
-    passed, marks, so_far = [], [], F.lit(True)
-    for i, (name, condition) in enumerate(steps.items()):
+    so_far, passed = F.lit(True), F.lit(0)
+    for condition in steps.values():
         so_far = so_far & F.coalesce(condition, F.lit(False))
-        passed.append(F.when(so_far, F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"))))
+        passed = passed + so_far.cast("int")
     rows = df.select(
-        *set(counted.values()),
-        *([F.col(event).alias("_event")] if event else [F.lit(0).alias("_event")]),
-        F.explode(F.filter(F.array(*passed), lambda s: s.isNotNull())).alias("_s"),
+        *set(counted.values()), *([F.col(event).alias("_event")] if event else []), passed.alias("_passed")
     )
-    out = rows.groupBy(F.col("_s.step_no").alias("step_no"), F.col("_s.step").alias("step")).agg(
-        *[F.count_distinct(c).alias(name) for name, c in counted.items()], F.sum("_event").alias("events")
-    )
-    return out if event else out.drop("events")
+
+    def upto(per_level: DataFrame, name: str) -> DataFrame:
+        """A count per number of passed steps, summed up for every step."""
+        levels = per_level.filter(F.col("_passed") > 0)
+        listed = levels.withColumn("step_no", F.explode(F.sequence(F.lit(0), F.col("_passed") - 1)))
+        return listed.groupBy("step_no").agg(F.sum("_n").alias(name))
+
+    out = df.sparkSession.createDataFrame(list(enumerate(steps)), "step_no int, step string")
+    for name, column in counted.items():
+        best = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(F.max("_passed").alias("_passed"))
+        levels = best.groupBy("_passed").agg(F.count(F.lit(1)).alias("_n"))
+        out = out.join(upto(levels, name), "step_no", "left").na.fill(0, [name])
+    if event:
+        levels = rows.groupBy("_passed").agg(F.sum("_event").alias("_n"))
+        out = out.join(upto(levels, "events"), "step_no", "left").na.fill(0, ["events"])
+    return out
 
 
 def retention(part: DataFrame, whole: DataFrame, key: str) -> DataFrame:

@@ -233,13 +233,16 @@ def running_sum(
     order: str,
     sums: dict[str, str],
     descending: bool = False,
+    totals: dict[str, str] | None = None,
     split: DataFrame | str | None = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """Running totals up to and including the row; ``sums`` maps new column to summed column.
 
-    ``order`` must be unique inside a group (sum ties up first).
+    ``order`` must be unique inside a group (sum ties up first).  ``totals`` adds sums over the whole group: in the
+    same window when no group is cut, else from an aggregate.
     """
+    totals = totals or {}
     pieces, cut = with_pieces(df, keys, order, split, target_rows)
     by = F.desc(order) if descending else F.asc(order)
     w = Window.partitionBy(*keys, PIECE).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
@@ -252,9 +255,18 @@ def running_sum(
         {f"_c_{n}": F.sum(c) for n, c in sums.items()},
         {f"_c_{n}": F.sum(f"_c_{n}").over(over) for n in sums},
     )
-    return out.withColumns(
+    out = out.withColumns(
         {n: F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in sums}
-    ).drop(*[f"_c_{n}" for n in sums], PIECE, CUTS)
+    )
+    whole = {n: F.sum(c) for n, c in totals.items()}
+    if not cut:
+        out = out.withColumns({n: c.over(Window.partitionBy(*keys, PIECE)) for n, c in whole.items()})
+    elif keys and whole:
+        out = match(out, df.groupBy(*keys).agg(*[c.alias(n) for n, c in whole.items()]), keys)
+    elif whole:
+        row = df.agg(F.struct(*[c.alias(n) for n, c in whole.items()])).scalar()
+        out = out.withColumn("_t", row).withColumns({n: F.col(f"_t.{n}") for n in whole}).drop("_t")
+    return out.drop(*[f"_c_{n}" for n in sums], PIECE, CUTS)
 
 
 def previous_next(
@@ -348,12 +360,7 @@ def quantiles(
         .groupBy(*keys, F.col(column).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    run = running_sum(counts, keys, "_v", {"_hi": "_n"}, target_rows=target_rows)
-    if keys:
-        run = match(run, totals, keys)
-    else:
-        run = run.withColumn("_total", totals.scalar())
+    run = running_sum(counts, keys, "_v", {"_hi": "_n"}, totals={"_total": "_n"}, target_rows=target_rows)
     picks = []
     for name, p in probabilities.items():
         position = (F.col("_total") - 1) * F.lit(float(p))
@@ -378,26 +385,32 @@ def seeded_hash(seed: int | str, *ids: Column | str) -> Column:
 
 def hash_rank(
     df: DataFrame, keys: Sequence[str], hash_column: str, name: str, total: str | None = None,
-    ties: Sequence[str] = (), digits: int = 3
+    ties: Sequence[str] = (), digits: int = 3, keep=None,
 ) -> DataFrame:
     """Exact 1-based rank by a hash inside ``keys``; with ``total``, also the group size.
 
     The leading hex digits cut every group into ``16 ** digits`` even pieces, so a class with most of the rows is
-    ranked by many tasks; the offsets are one row per (group, piece).
+    ranked by many tasks; the offsets are one row per (group, piece).  ``keep`` (a function of the group size column)
+    limits the ranks that are wanted: pieces that start beyond it are dropped before anything is sorted.
     """
     piece = F.conv(F.substring(hash_column, 1, digits), 16, 10).cast("int")
-    pieces = df.withColumn(PIECE, piece)
-    w = Window.partitionBy(*keys, PIECE).orderBy(hash_column, *ties)
-    per_piece = pieces.groupBy(*keys, PIECE).agg(F.count(F.lit(1)).alias("_c"))
-    whole = Window.partitionBy(*keys)
+    # one struct column is the key of join and window alike (null classes are equal), so the rows are shuffled once
+    pieces = df.withColumn("_g", F.struct(*keys, piece.alias(PIECE)))
+    per_piece = pieces.groupBy("_g").agg(F.count(F.lit(1)).alias("_c"))
+    inside = [F.col(f"_g.{k}") for k in keys]
+    before = Window.partitionBy(*inside).orderBy(f"_g.{PIECE}").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_piece.select(
-        *keys,
-        PIECE,
-        F.coalesce(F.sum("_c").over(_before(keys)), F.lit(0)).alias("_off"),
-        F.sum("_c").over(whole).alias("_total"),
+        "_g",
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+        F.sum("_c").over(Window.partitionBy(*inside)).alias("_total"),
     )
-    out = match(pieces.withColumn(name, F.row_number().over(w)), offsets, [*keys, PIECE])
-    out = out.withColumn(name, (F.col(name) + F.col("_off")).cast("bigint"))
+    out = pieces.join(offsets, "_g")
+    if keep is not None:
+        out = out.filter(F.col("_off") < keep(F.col("_total")))
+    w = Window.partitionBy("_g").orderBy(hash_column, *ties)
+    out = out.withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("bigint"))
+    if keep is not None:
+        out = out.filter(F.col(name) <= keep(F.col("_total")))
     if total:
         out = out.withColumn(total, F.col("_total"))
-    return out.drop("_off", "_total", PIECE)
+    return out.drop("_g", "_off", "_total")

@@ -104,12 +104,10 @@ def ranked_counts(
         .groupBy(*by, F.col(score).cast("double").alias("score"))
         .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
     )
-    run = running_sum(counts, list(by), "score", {"tp": "pos", "fp": "neg"}, descending=True, target_rows=target_rows)
-    whole = [F.sum("pos").alias("p"), F.sum("neg").alias("n")]
-    if by:
-        return match(run, counts.groupBy(*by).agg(*whole), list(by))
-    total = counts.agg(F.struct(*whole)).scalar()
-    return run.withColumn("_t", total).select("*", F.col("_t.p").alias("p"), F.col("_t.n").alias("n")).drop("_t")
+    return running_sum(
+        counts, list(by), "score", {"tp": "pos", "fp": "neg"}, descending=True, totals={"p": "pos", "n": "neg"},
+        target_rows=target_rows,
+    )
 
 
 def _roc_area() -> Column:

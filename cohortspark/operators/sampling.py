@@ -24,9 +24,9 @@ def hash_fraction(seed: int | str, *ids: Column | str) -> Column:
     return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(2**32))
 
 
-def _ranked(df: DataFrame, id_column: str, by: Sequence[str], seed) -> DataFrame:
+def _ranked(df: DataFrame, id_column: str, by: Sequence[str], seed, keep=None) -> DataFrame:
     hashed = df.withColumn("_h", seeded_hash(seed, id_column))
-    return hash_rank(hashed, list(by), "_h", "_rank", total="_size", ties=[id_column]).drop("_h")
+    return hash_rank(hashed, list(by), "_h", "_rank", total="_size", ties=[id_column], keep=keep).drop("_h")
 
 
 def stratified_split(
@@ -91,16 +91,17 @@ def undersample(
 
     Classes without a given number stay whole.
     """
-    out = _ranked(df, id_column, [label], seed)
     if targets:
-        keep = F.col("_size")
-        for value, n in targets.items():
-            keep = F.when(F.col(label) == value, F.lit(int(n))).otherwise(keep)
-        out = out.withColumn("_keep", keep)
-    else:
-        smallest = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.min("_n")).scalar()
-        out = out.withColumn("_keep", smallest)
-    return out.filter(F.col("_rank") <= F.col("_keep")).drop("_rank", "_size", "_keep")
+
+        def keep(size: Column) -> Column:
+            for value, n in targets.items():
+                size = F.when(F.col(label) == value, F.lit(int(n))).otherwise(size)
+            return size
+
+        return _ranked(df, id_column, [label], seed, keep).drop("_rank", "_size")
+    smallest = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.min("_n")).scalar()
+    marked = df.withColumn("_keep", smallest)
+    return _ranked(marked, id_column, [label], seed, lambda size: F.col("_keep")).drop("_rank", "_size", "_keep")
 
 
 def oversample(df: DataFrame, label: str, id_column: str, seed=42) -> DataFrame:
@@ -114,7 +115,7 @@ def oversample(df: DataFrame, label: str, id_column: str, seed=42) -> DataFrame:
 
 
 def nearest_neighbours(
-    df: DataFrame, id_column: str, vector: str, k: int = 5, block_rows: int = 1024, seed=42
+    df: DataFrame, id_column: str, vector: str, k: int = 5, block_rows: int = 4096, seed=42
 ) -> DataFrame:
     """Exact k nearest other rows by Euclidean distance: (id, neighbour, place, found).
 
@@ -135,16 +136,24 @@ def nearest_neighbours(
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         x, y = np.stack(left["v"]).astype(float), np.stack(right["v"]).astype(float)
         ids, others = left["id"].to_numpy(), right["id"].to_numpy()
-        out = []
-        for i in range(0, len(x), 32):
-            d = ((x[i : i + 32, None, :] - y[None, :, :]) ** 2).sum(axis=2)
-            d[ids[i : i + 32, None] == others[None, :]] = np.inf
-            order = np.lexsort((np.broadcast_to(others, d.shape), d), axis=1)[:, :k]
-            near = np.take_along_axis(d, order, axis=1)
-            part = pd.DataFrame(
-                {"id": np.repeat(ids[i : i + 32], order.shape[1]), "neighbour": others[order].ravel(), "d": near.ravel()}
+        xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+        n, out = min(k, len(y)), []
+        for i in range(0, len(x), 256):
+            part = slice(i, i + 256)
+            near = xx[part, None] + yy[None, :] - 2 * x[part] @ y.T
+            near[ids[part, None] == others[None, :]] = np.inf
+            # the product form is inexact in its last digits: everything within them of the k-th is measured again
+            cut = np.partition(near, n - 1, axis=1)[:, n - 1] + 1e-9 * (xx[part] + yy.max())
+            row, col = np.nonzero((near <= cut[:, None]) & np.isfinite(near))
+            d = np.concatenate(
+                [((x[i + row[j : j + 50_000]] - y[col[j : j + 50_000]]) ** 2).sum(axis=1) for j in range(0, len(row), 50_000)]
+                or [np.empty(0)]
             )
-            out.append(part[np.isfinite(part["d"])])
+            order = np.lexsort((others[col], d, row))
+            row, col, d = row[order], col[order], d[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            row, col, d = (a[place < k] for a in (row, col, d))
+            out.append(pd.DataFrame({"id": ids[i + row], "neighbour": others[col], "d": d}))
         return pd.concat(out)
 
     found = (
@@ -158,7 +167,7 @@ def nearest_neighbours(
 
 
 def smote(
-    df: DataFrame, label: str, minority, id_column: str, vector: str, k: int = 5, seed=42, block_rows: int = 1024
+    df: DataFrame, label: str, minority, id_column: str, vector: str, k: int = 5, seed=42, block_rows: int = 4096
 ) -> DataFrame:
     """Synthetic minority rows until the minority is as large as the largest class.
 

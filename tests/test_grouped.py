@@ -95,3 +95,21 @@ def test_small_files_are_left_whole(spark, rows, tmp_path):
     w = Window.partitionBy("k").orderBy("t", "id")
     same(g.number_rows(small, ["k"], "t", "r", ties=["id"]), rows.withColumn("r", F.row_number().over(w)))
     same(g.fill(small, ["k"], "t", ["v"], ties=["id"]), g.fill(rows, ["k"], "t", ["v"], ties=["id"], target_rows=40))
+
+
+def test_hash_rank_of_missing_classes_and_limit(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else i % 2) for i in range(90)], "id int, k int")
+    h = df.withColumn("h", g.seeded_hash(1, "id"))
+    want = h.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("h"))).withColumn(
+        "n", F.count("*").over(Window.partitionBy("k")))
+    same(g.hash_rank(h, ["k"], "h", "r", total="n", digits=1), want)
+    same(g.hash_rank(h, ["k"], "h", "r", total="n", digits=1, keep=lambda n: F.lit(7)), want.filter("r <= 7"))
+
+
+@pytest.mark.parametrize("target", [None, 40])
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_totals(rows, target, keys):
+    per = rows.groupBy(*keys, "t").agg(F.count("*").alias("n"))
+    got = g.running_sum(per, keys, "t", {"s": "n"}, totals={"all": "n"}, target_rows=target)
+    want = per.withColumn("s", F.sum("n").over(Window.partitionBy(*keys).orderBy("t")))
+    same(got, want.withColumn("all", F.sum("n").over(Window.partitionBy(*keys))))
