@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cohortspark.operators.grouped import elapsed
+
 # Seconds per unit, and the supported format marks.
 SECONDS = {"SECOND": 1.0, "MINUTE": 60.0, "HOUR": 3600.0, "DAY": 24 * 3600.0, "YEAR": 365.242 * 24 * 3600.0}
 MARKS = {"%S": "ss", "%M": "mm", "%H": "HH", "%d": "dd", "%m": "MM", "%Y": "yyyy"}
@@ -18,7 +20,7 @@ def datetime_diff(end: Column | str, start: Column | str, unit: str) -> Column:
     """Elapsed time in a unit, with its fraction; null for an unknown unit."""
     if unit not in SECONDS:
         return F.lit(None).cast("double")
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(1e6) / F.lit(SECONDS[unit])
+    return elapsed(_col(end), _col(start)).cast("double") / F.lit(SECONDS[unit])
 
 
 def seconds(n: Column | float) -> Column:

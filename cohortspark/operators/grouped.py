@@ -36,9 +36,16 @@ def epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def elapsed(end: Column | str, start: Column | str) -> Column:
+    """Seconds between two timestamps as an exact decimal.  Unlike ``timestampdiff``, which reads timestamps without
+    a zone in the session's zone, a subtraction is the same in every session."""
+    end, start = (F.col(c) if isinstance(c, str) else c for c in (end, start))
+    return (end - start).cast("interval second").cast("decimal(18,6)")
+
+
 def micros(ts: Column | str) -> Column:
     """Timestamp as microseconds since 1970."""
-    return F.timestamp_diff("MICROSECOND", epoch(), F.col(ts) if isinstance(ts, str) else ts)
+    return (elapsed(ts, epoch()) * F.lit(1_000_000)).cast("bigint")
 
 
 def from_micros(us: Column) -> Column:

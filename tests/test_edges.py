@@ -46,6 +46,18 @@ def test_round_hour_before_1970(spark):
     assert [r[0][:16] for r in got(df.select(sc.round_hour("t")))] == ["1969-12-31 22:00", "1970-01-01 00:00"]
 
 
+def test_times_do_not_depend_on_the_session_zone(spark):
+    """02:30 does not exist in New York on that day, but a timestamp without a zone may hold it."""
+    df = frame(spark, [("2024-03-10 02:30:00",), ("2024-03-10 02:10:00",)], "t string")
+    start = F.lit("2024-03-10 00:00:00").cast("timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        out = got(df.select(sc.round_hour("t"), dt.datetime_diff(F.col("t"), start, "MINUTE")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [(t[:16], m) for t, m in out] == [("2024-03-10 02:00", 150.0), ("2024-03-10 02:00", 130.0)]
+
+
 @pytest.mark.parametrize("target", [None, 2])
 def test_resample_per_entity_origin(spark, target):
     rows = [(1, "03:00", 1.0), (1, "10:00", None), (1, "20:00", 3.0), (2, "05:00", 4.0), (2, "14:00", 6.0)]
