@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortspark.llm import chat, exact, fingerprints, licences, packing, quality, secrets
-from cohortspark.llm.common import query, table
+from cohortspark.llm import chat, exact, fingerprints, licences, ngrams, packing, quality, secrets, substrings
+from cohortspark.llm.common import Scratch, kept, query, table
 
 _EXACT = r"""
 WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents),
@@ -167,3 +167,24 @@ def op7_quality_rules(spark, d):
         "content_lines",
         F.round("content_share", 6).alias("content_share"),
     )
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark, d):
+    return ngrams.score_texts(table(spark, d, "documents"))
+
+
+@query("op1_suffix_array_dedup")
+def op1_suffix_array_dedup(spark, d):
+    length = F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)")
+    with Scratch(spark) as scratch:
+        cleaned = substrings.remove_repeats(table(spark, d, "documents"), scratch)
+        return kept(
+            cleaned.select(
+                "doc_id",
+                "n_bytes",
+                length.alias("n_removed"),
+                F.size("spans").cast("bigint").alias("n_spans"),
+                F.sha2("kept", 256).alias("kept_sha256"),
+            )
+        )
