@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortspark.llm import chat, exact, fingerprints, licences, ngrams, packing, quality, secrets, substrings
+from cohortspark.llm import chat, exact, fingerprints, licences, ngrams, packing, pieces, quality, secrets, substrings
 from cohortspark.llm.common import Scratch, kept, query, table
 
 _EXACT = r"""
@@ -188,3 +188,20 @@ def op1_suffix_array_dedup(spark, d):
                 F.sha2("kept", 256).alias("kept_sha256"),
             )
         )
+
+
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark, d):
+    made = pieces.encode_texts(table(spark, d, "documents"), PIECE_MODEL)
+    return made.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_ids"),
+        F.round("score", 6).alias("score"),
+        F.transform("alternatives", lambda a: F.round(a["score"], 6)).alias("other_scores"),
+        F.transform("alternatives", lambda a: a["patches"]).alias("other_patches"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.col("whole").alias("round_trip"),
+    )
