@@ -78,7 +78,8 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     rows = _split(digests, repeat_filter(digests, words), words)
     # rows alike in id and text are counted together, so a group of copies is summed up before it is shuffled
     alike = rows.filter("_maybe").groupBy("digest", "id").agg(F.count(F.lit(1)).alias("_n"))
-    groups = alike.groupBy("digest").agg(F.min("id").alias("keep_id"), F.sum("_n").alias("group_size"))
+    # stored, so that the join below has plain exchanges on both sides and a digest of many ids is split between tasks
+    groups = kept(alike.groupBy("digest").agg(F.min("id").alias("keep_id"), F.sum("_n").alias("group_size")))
     block = F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPY_BLOCK))).alias("_block")
     blocks = alike.join(groups, "digest").select("*", block).repartition("digest", "id", "_block")
     size = F.least(F.lit(COPY_BLOCK), F.col("_n") - F.col("_block") * COPY_BLOCK)
@@ -112,8 +113,10 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
     rows = _split(packed, repeat_filter(digests, words), words)
     alike = rows.filter("_maybe").groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n"))
-    groups = alike.groupBy("digest").agg(
-        F.min_by(F.struct("id", "n"), F.struct(F.col("id").isNull(), "id")).alias("first")
+    groups = kept(
+        alike.groupBy("digest").agg(
+            F.min_by(F.struct("id", "n"), F.struct(F.col("id").isNull(), "id")).alias("first")
+        )
     )
     stay = rows.filter("_maybe").join(groups, "digest").filter(F.col("id").eqNullSafe(F.col("first.id")))
     one = stay.filter("first.n = 1").select("row")

@@ -140,7 +140,7 @@ def _scanned(
     lists = places.select(F.col("all").alias("list")).distinct()
     each = lists.select("list", F.explode("list").alias("s")).select("list", "s", F.col("s.value").alias("value"))
     mark = F.struct("s.start", "s.kind", "s.stop", "live")
-    marked = each.join(live, "value").groupBy("list").agg(F.collect_list(mark).alias("marked"))
+    marked = kept(each.join(live, "value").groupBy("list").agg(F.collect_list(mark).alias("marked")))
     base = [i for i, k in enumerate(kinds) if k.base]
     found = F.array_sort(F.filter("marked", lambda s: s["kind"].isin(base) | s["live"]))
     some = seen.filter(F.size("all") > 0).join(marked, F.col("all") == F.col("list")).select(*carried, found.alias("found"))
