@@ -28,7 +28,7 @@ MARK = "▁"  # stands for a space, as in the vocabulary files
 UNIT = 1_000_000  # scores are whole millionths of a nat, so sums are exact in any order
 UNKNOWN_NATS = 10
 NEVER = 2**62
-REMEMBERED = 400_000  # words whose segmentations a task keeps; when full it starts anew
+REMEMBERED = 350_000  # words whose segmentations a task keeps, and as many from before
 
 
 @dataclass(frozen=True)
@@ -135,8 +135,18 @@ class _Words(dict):
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
+        self.before: dict[str, tuple[int, bytes, int]] = {}
+
+    def age(self) -> None:
+        """Start anew, keeping what was known at hand: words that come again are taken over, the others go next time."""
+        self.before = dict(self)
+        self.clear()
 
     def __missing__(self, word: str) -> tuple[int, bytes, int]:
+        entry = self.before.get(word)
+        if entry is not None:
+            self[word] = entry
+            return entry
         into, ahead, edge = _lattice(word, self.pieces)
         parts, gone, j, other = [], 0, len(word), -NEVER
         while j:
@@ -189,7 +199,7 @@ class Encoder:
         if not text:
             return 0, b"", []
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known.age()
         words, entries = self._chain(text)
         scores, packed, losses = zip(*entries)
         score = sum(scores)
