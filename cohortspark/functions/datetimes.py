@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -73,14 +75,21 @@ def parse_datetime(fmt: str, text: Column | str) -> Column:
 
 
 def regexp_extract_or_null(text: Column | str, regex: str) -> Column:
-    """First match (its first capture group when there is one), or null without a match."""
-    import re
-
-    if re.compile(regex).groups:
+    """First match (its first capture group when there is one), or null without a match.  ``regex`` is in Java's syntax."""
+    if _has_group(regex):
         return F.when(F.rlike(_col(text), F.lit(regex)), F.regexp_extract(_col(text), regex, 1))
     return F.regexp_substr(_col(text), F.lit(regex))
 
 
+def _has_group(regex: str) -> bool:
+    """Whether a pattern captures: an opening bracket outside of escapes, quotes and character classes that no ``?``
+    follows, or one of a named group."""
+    plain = re.sub(r"\\Q.*?(\\E|$)|\\.", "", regex, flags=re.DOTALL)
+    while (inner := re.sub(r"\[[^\[\]]*\]", "", plain)) != plain:
+        plain = inner
+    return bool(re.search(r"\((?!\?)|\(\?<(?![=!])", plain))
+
+
 def regexp_contains(text: Column | str, regex: str) -> Column:
     return F.rlike(_col(text), F.lit(regex))
 

@@ -165,12 +165,15 @@ def histogram(df: DataFrame, column: str, edges: Sequence[float], by: Sequence[s
 
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Histogram of ``bins`` equal bins between the lowest and the highest value."""
+    """Histogram of ``bins`` equal bins between the lowest and the highest value; a constant lies in the middle of bins
+    of total width 1."""
     bounds = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi")).alias("b"))
     v = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("_v"))
     v = v.withColumn("_b", bounds.scalar())
-    width = (F.col("_b.hi") - F.col("_b.lo")) / bins
-    bin_no = F.least(F.floor((F.col("_v") - F.col("_b.lo")) / width), F.lit(bins - 1)).cast("int")
+    spread = F.col("_b.hi") > F.col("_b.lo")
+    width = F.when(spread, (F.col("_b.hi") - F.col("_b.lo")) / bins).otherwise(F.lit(1.0 / bins))
+    low = F.when(spread, F.col("_b.lo")).otherwise(F.col("_b.lo") - F.lit(0.5))
+    bin_no = F.least(F.floor((F.col("_v") - low) / width), F.lit(bins - 1)).cast("int")
     found = v.groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return all_bins.join(found, "bin", "left").select("bin", F.coalesce("_n", F.lit(0)).alias("n"))

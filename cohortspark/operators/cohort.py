@@ -82,8 +82,8 @@ def cohort_flow(
 
 
 def retention(part: DataFrame, whole: DataFrame, key: str) -> DataFrame:
-    """Percent of the distinct ids of ``whole`` that are left in ``part``."""
+    """Percent of the distinct ids of ``whole`` that are left in ``part``; null when ``whole`` has none."""
     left = part.agg(F.count_distinct(key)).scalar()
     return whole.agg(F.count_distinct(key).alias("n_all")).select(
-        "n_all", left.alias("n_left"), (left * 100.0 / F.col("n_all")).alias("percent")
+        "n_all", left.alias("n_left"), F.try_divide(left * 100.0, F.col("n_all")).alias("percent")
     )

@@ -54,7 +54,7 @@ def from_micros(us: Column) -> Column:
 
 
 def order_number(df: DataFrame, column: str) -> Column:
-    """The order column as a number: timestamps become microseconds."""
+    """The order column as a number that never falls: timestamps become microseconds, texts their first bytes."""
     kind = df.schema[column].dataType.typeName()
     if kind == "timestamp_ntz":
         return micros(column)
@@ -62,6 +62,9 @@ def order_number(df: DataFrame, column: str) -> Column:
         return F.unix_micros(F.col(column))
     if kind == "date":
         return F.unix_date(F.col(column))
+    if kind == "string":  # the first six bytes: texts that agree in them lie in the same piece
+        head = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("bigint")
     return F.col(column)
 
 
@@ -266,7 +269,7 @@ def running_sum(
         {f"_c_{n}": F.sum(f"_c_{n}").over(over) for n in sums},
     )
     out = out.withColumns(
-        {n: F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in sums}
+        {n: F.coalesce(F.col(n) + F.col(f"_c_{n}"), F.col(n), F.col(f"_c_{n}")) for n in sums}
     )
     whole = {n: F.sum(c) for n, c in totals.items()}
     if not cut:

@@ -11,6 +11,9 @@ from cohortspark.functions.datetimes import datetime_add, datetime_diff, datetim
 from cohortspark.operators.grouped import previous_next
 
 
+NULL_PIECES = 1024  # over how many keys rows without an id are dealt
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -25,8 +28,12 @@ def interval_join(
 
     Every interval is listed once per bucket of days it touches and a point looks only into its own bucket, so the
     equi-join key is (subject, bucket): a subject with a long history is spread over many tasks, and the pairs that
-    are compared are close to the pairs that match.  A point lies in one bucket, so no match is found twice.
+    are compared are close to the pairs that match.  A point lies in one bucket, so no match is found twice.  The
+    listed intervals may be far more rows than the table they come from, which Spark's estimate does not see, so they
+    are sorted and merged, never broadcast.
     """
+    if how not in ("left", "inner"):
+        raise ValueError("an interval is listed once per bucket, so only left and inner joins keep its rows right")
 
     def bucket(ts: Column) -> Column:
         return F.floor(F.unix_date(ts.cast("date")) / F.lit(bucket_days)).cast("int")
@@ -36,6 +43,7 @@ def interval_join(
         intervals.filter(F.col(start) < F.col(end))
         .withColumnRenamed(key, "_key")
         .withColumn("_bucket", F.explode(F.sequence(bucket(F.col(start)), bucket(last))))
+        .hint("merge")
     )
     located = points.withColumn("_at", bucket(F.col(t)))
     on = (
@@ -152,12 +160,15 @@ def align_timelines(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> tuple[Da
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, column: str, name: str | None = None) -> DataFrame:
-    """Value of ``column`` for the row's id; ``dim`` has one row per id, so no row is multiplied.
+    """Value of ``column`` for the row's id (of several the smallest), so no row is multiplied.
 
-    Spark broadcasts ``dim`` when its measured size allows it, else sorts both sides.
+    Rows without an id find nothing; they are dealt by a hash of the row, not all to one task.
     """
-    side = dim.select(F.col(key), F.col(column).alias(name or column))
-    return df.join(side, key, "left")
+    name = name or column
+    side = dim.groupBy(F.col(key).alias("_key")).agg(F.min(column).alias(name)).withColumn("_deal", F.lit(0))
+    deal = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_PIECES))).otherwise(0).cast("int")
+    on = (F.col(key) == F.col("_key")) & (F.col("_row_deal") == F.col("_deal"))
+    return df.withColumn("_row_deal", deal).join(side, on, "left").select(*df.columns, name)
 
 
 def update_from(df: DataFrame, other: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -191,18 +202,20 @@ def outer_merge(a: DataFrame, b: DataFrame, on: Sequence[str], suffixes: tuple[s
 
 def missing_ids(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
     """Rows (present_in, missing_from, id) for every ordered pair of tables."""
-    ids = {name: f.select(key).distinct() for name, f in frames.items()}
-    out = None
-    for have, x in ids.items():
-        for lack, y in ids.items():
-            if have == lack:
-                continue
-            rows = x.join(y, key, "left_anti").select(
-                F.lit(have).alias("present_in"), F.lit(lack).alias("missing_from"), key
+    bits = {name: 1 << i for i, name in enumerate(frames)}
+    parts = [f.select(key, F.lit(bits[name]).alias("_in")) for name, f in frames.items()]
+    tagged = parts[0]
+    for part in parts[1:]:
+        tagged = tagged.unionByName(part)
+    pairs = [(a, b) for a in bits for b in bits if a != b]
+    listed = F.array(
+        *[
+            F.when(
+                (F.col("_in").bitwiseAND(bits[a]) != 0) & (F.col("_in").bitwiseAND(bits[b]) == 0),
+                F.struct(F.lit(a).alias("present_in"), F.lit(b).alias("missing_from")),
             )
-            out = rows if out is None else out.unionByName(rows)
-    return out
-
-
-def add_column(df: DataFrame, name: str, value: Column) -> DataFrame:
-    return df.withColumn(name, value)
+            for a, b in pairs
+        ]
+    )
+    seen = tagged.groupBy(key).agg(F.bit_or("_in").alias("_in"))
+    return seen.select(key, F.explode(listed).alias("_p")).filter("_p is not null").select("_p.*", key)

@@ -111,7 +111,25 @@ def oversample(df: DataFrame, label: str, id_column: str, seed=42) -> DataFrame:
     out = out.withColumn("_max", largest)
     extra = (F.col("_rank") <= F.col("_max") % F.col("_size")).cast("bigint")
     copies = F.floor(F.col("_max") / F.col("_size")) + extra
-    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))).drop("_rank", "_size", "_max")
+    return _repeated(out.withColumn("_copies", copies)).drop("_rank", "_size", "_max")
+
+
+COPY_BLOCK = 10_000
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    """Every row ``_copies`` times, numbered from 1 in ``copy``; listed by blocks, so no array grows with the copies."""
+    one = F.lit(1).cast("bigint")
+    blocks = F.when(F.col("_copies") > 0, F.sequence(one, F.col("_copies"), F.lit(COPY_BLOCK).cast("bigint")))
+    out = df.withColumn("_from", F.explode(blocks))
+    upto = F.least(F.col("_copies"), F.col("_from") + (COPY_BLOCK - 1))
+    return out.withColumn("copy", F.explode(F.sequence(F.col("_from"), upto))).drop("_copies", "_from")
+
+
+def plain_id(df: DataFrame, column: str) -> Column:
+    """An id of any type; whole numbers of any width as ``bigint``."""
+    whole = df.schema[column].dataType.typeName() in ("byte", "short", "integer")
+    return F.col(column).cast("bigint") if whole else F.col(column)
 
 
 def nearest_neighbours(
@@ -122,7 +140,8 @@ def nearest_neighbours(
     Rows are dealt by hash into blocks of about ``block_rows``; one task compares one block with another and returns
     only the k best per row, so neither a whole class nor all pairs ever meet in one place.
     """
-    rows = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector).alias("v"))
+    rows = df.select(plain_id(df, id_column).alias("id"), F.col(vector).alias("v"))
+    kind = rows.schema["id"].dataType.simpleString()
     blocks = rows.agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)), F.lit(1)).cast("int")).scalar()
     rows = rows.withColumn("_blocks", blocks)
     own = F.floor(hash_fraction(seed, "id") * F.col("_blocks")).cast("int")
@@ -137,6 +156,7 @@ def nearest_neighbours(
         x, y = np.stack(left["v"]).astype(float), np.stack(right["v"]).astype(float)
         ids, others = left["id"].to_numpy(), right["id"].to_numpy()
         xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+        places = np.unique(others, return_inverse=True)[1]
         n, out = min(k, len(y)), []
         for i in range(0, len(x), 256):
             part = slice(i, i + 256)
@@ -149,7 +169,7 @@ def nearest_neighbours(
                 [((x[i + row[j : j + 50_000]] - y[col[j : j + 50_000]]) ** 2).sum(axis=1) for j in range(0, len(row), 50_000)]
                 or [np.empty(0)]
             )
-            order = np.lexsort((others[col], d, row))
+            order = np.lexsort((places[col], d, row))
             row, col, d = row[order], col[order], d[order]
             place = np.arange(len(row)) - np.searchsorted(row, row)
             row, col, d = (a[place < k] for a in (row, col, d))
@@ -159,7 +179,7 @@ def nearest_neighbours(
     found = (
         base.groupBy("a", "b")
         .cogroup(against.groupBy("a", "b"))
-        .applyInPandas(best, "id bigint, neighbour bigint, d double")
+        .applyInPandas(best, f"id {kind}, neighbour {kind}, d double")
     )
     w = Window.partitionBy("id").orderBy("d", "neighbour")
     near = found.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).drop("d")
@@ -172,19 +192,19 @@ def smote(
     """Synthetic minority rows until the minority is as large as the largest class.
 
     Every synthetic row lies on the segment from a minority row to one of its k nearest minority rows; which one, and
-    how far along, is fixed by the hash of (seed, id, copy).  Returns (base id, copy, neighbour, label, vector).
+    how far along, is fixed by the hash of (seed, id, copy).  Returns (base id, copy, neighbour, label, vector).  A
+    minority of one row has no neighbour: the job fails and says so.
     """
     few = df.filter(F.col(label) == minority)
-    vectors = few.select(F.col(id_column).cast("bigint").alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
+    vectors = few.select(plain_id(df, id_column).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
     largest = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).scalar()
     ranked = _ranked(vectors, "_id", [], seed).withColumn("_new", largest - F.col("_size"))
+    alone = (F.col("_size") == 1) & (F.col("_new") > 0)
+    refusal = F.raise_error(F.lit("SMOTE needs at least two rows of the minority")).cast("bigint")
+    ranked = ranked.withColumn("_new", F.when(alone, refusal).otherwise(F.col("_new")))
     extra = (F.col("_rank") <= F.col("_new") % F.col("_size")).cast("bigint")
-    copies = (F.floor(F.col("_new") / F.col("_size")) + extra).cast("int")
-    wanted = (
-        ranked.filter(copies > 0)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-        .select("_id", "_v", "copy")
-    )
+    copies = F.floor(F.col("_new") / F.col("_size")) + extra
+    wanted = _repeated(ranked.withColumn("_copies", copies)).select("_id", "_v", "copy")
     near = nearest_neighbours(few, id_column, vector, k, block_rows, seed).withColumnRenamed("id", "_id")
     draw = F.conv(F.substring(seeded_hash(f"{seed}n", "_id", "copy"), 1, 8), 16, 10).cast("bigint")
     chosen = wanted.withColumn("_draw", draw).join(near, "_id").filter(F.col("place") == F.col("_draw") % F.col("found") + 1)

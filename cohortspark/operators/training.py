@@ -205,8 +205,11 @@ def align_predictions(tables: Mapping[str, DataFrame], id_column: str, probabili
 
 
 def soft_vote(probabilities: DataFrame, weights: Mapping[str, Column | float], classes: int = 2) -> DataFrame:
-    """Weighted mean of the models' class probabilities and the first class with the highest mean."""
+    """Weighted mean of the models' class probabilities and the first class with the highest mean; weights that sum to
+    0 count equally."""
     ws = {m: w if isinstance(w, Column) else F.lit(float(w)) for m, w in weights.items()}
+    none = sum(list(ws.values())[1:], list(ws.values())[0]) == 0
+    ws = {m: F.when(none, 1.0).otherwise(w) for m, w in ws.items()}
     total = sum(list(ws.values())[1:], list(ws.values())[0])
     parts = []
     for c in range(classes):

@@ -86,7 +86,10 @@ def multimodal_vote(
         row = binary_metrics(said[name], LABEL, "prediction").withColumn("model", F.lit(name))
         scores = row if scores is None else scores.unionByName(row)
     # three rows, one per modality
-    weights = {r["model"]: r["w"] or 0.0 for r in scores.select("model", vote_weight("accuracy").alias("w")).collect()}
+    # a model without (or with only) errors counts as if half a row were wrong (or right), so its odds are defined
+    half = 0.5 / max(1, said["static"].count())
+    sure = F.least(F.greatest(F.col("accuracy"), F.lit(half)), F.lit(1 - half))
+    weights = {r["model"]: r["w"] for r in scores.select("model", vote_weight(sure).alias("w")).collect()}
     votes = soft_vote(align_predictions(said, KEY, "probability"), weights)
     votes = votes.join(static.select(KEY, LABEL), KEY)
     total = binary_metrics(votes, LABEL, "prediction").withColumn("model", F.lit("vote"))

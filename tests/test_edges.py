@@ -400,3 +400,92 @@ def test_scores_of_other_runs_stay(spark, tmp_path):
     out = tb.read_scores(spark, str(tmp_path))
     assert got(out.select("model", "value"), "model") == [("fl", 0.7), ("lml", 0.6)]
     assert tb.read_scores(spark, str(tmp_path), "predictions", model="fl").count() == 0
+
+
+# --- found by the review of round 1 -------------------------------------------------------------------------------
+
+
+def test_running_sum_with_nulls_when_cut(spark):
+    from cohortspark.operators.grouped import running_sum
+
+    rows = [(1, i, None if i % 3 == 1 else float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "g int, o int, v double")
+    want = {r.o: r.s for r in running_sum(df, ["g"], "o", {"s": "v"}).collect()}
+    got = {r.o: r.s for r in running_sum(df, ["g"], "o", {"s": "v"}, target_rows=5).collect()}
+    assert got == want
+
+
+def test_text_order_when_cut(spark):
+    from cohortspark.operators.grouped import number_rows
+
+    names = sorted(f"{'né' if i % 2 else 'na'}{i:04d}" for i in range(60))
+    df = spark.createDataFrame([(1, n) for n in names], "g int, o string")
+    got = {r.o: r.n for r in number_rows(df, ["g"], "o", "n", target_rows=7).collect()}
+    assert got == {n: i + 1 for i, n in enumerate(names)}
+
+
+def test_constant_histogram(spark):
+    from cohortspark.operators.aggregates import equal_width_histogram
+
+    df = spark.createDataFrame([(3.0,)] * 5, "x double")
+    assert sorted((r.bin, r.n) for r in equal_width_histogram(df, "x", 4).collect()) == [(0, 0), (1, 0), (2, 5), (3, 0)]
+
+
+def test_retention_of_nobody(spark):
+    from cohortspark.operators.cohort import retention
+
+    df = spark.createDataFrame([], "k int")
+    assert [tuple(r) for r in retention(df, df, "k").collect()] == [(0, 0, None)]
+
+
+def test_java_patterns(spark):
+    from cohortspark.functions.datetimes import regexp_extract_or_null
+
+    df = spark.createDataFrame([("12 été 3",)], "t string")
+    row = df.select(
+        regexp_extract_or_null("t", r"\p{L}+").alias("a"),
+        regexp_extract_or_null("t", r"(\d+)\s\p{L}").alias("b"),
+        regexp_extract_or_null("t", r"[(]x").alias("c"),
+    ).first()
+    assert tuple(row) == ("été", "12", None)
+
+
+def test_lookup_keeps_rows(spark):
+    from cohortspark.operators.joins import lookup
+
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (None, "b"), (2, "c")], "k int, x string")
+    dim = spark.createDataFrame([(1, 5), (1, 6), (None, 7)], "k int, v int")
+    rows = [tuple(r) for r in lookup(df, dim, "k", "v", "w").collect()]
+    assert sorted(rows, key=str) == sorted([(1, "a", 5), (None, "b", None), (None, "b", None), (2, "c", None)], key=str)
+
+
+def test_smote_of_one_row_fails_and_text_ids_work(spark):
+    import pytest
+
+    from cohortspark.operators.sampling import smote
+
+    rows = [("a", 1, [0.0]), ("b", 0, [1.0]), ("c", 0, [2.0]), ("d", 0, [3.0])]
+    one = spark.createDataFrame(rows, "id string, y int, v array<double>")
+    with pytest.raises(Exception, match="at least two rows"):
+        smote(one, "y", 1, "id", "v").collect()
+    two = spark.createDataFrame([*rows, ("e", 1, [9.0])], "id string, y int, v array<double>")
+    (new,) = smote(two, "y", 1, "id", "v").collect()
+    assert {new.id, new.neighbour} == {"a", "e"} and 0 <= new.v[0] <= 9
+
+
+def test_interval_join_refuses_outer(spark):
+    import pytest
+
+    from cohortspark.operators.joins import interval_join
+
+    df = spark.createDataFrame([], "k int, t timestamp_ntz, s timestamp_ntz, e timestamp_ntz")
+    with pytest.raises(ValueError, match="left and inner"):
+        interval_join(df, df, "k", "t", "s", "e", how="full")
+
+
+def test_votes_of_weight_zero_count_equally(spark):
+    from cohortspark.operators.training import soft_vote
+
+    df = spark.createDataFrame([([0.2, 0.8], [0.4, 0.6])], "a array<double>, b array<double>")
+    row = soft_vote(df, {"a": 0.0, "b": 0.0}).first()
+    assert [round(x, 9) for x in row.vote] == [0.3, 0.7] and row.prediction == 1
