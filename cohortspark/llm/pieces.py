@@ -164,15 +164,29 @@ class _Words(dict):
         return entry
 
 
+def openers(whole: Sequence[str]) -> set[str]:
+    """Characters that stand behind a letter in no piece: between a letter and one of them a new piece begins."""
+    behind = {b for p in whole for a, b in zip(p, p[1:]) if a.isalpha()}
+    return {c for p in whole for c in p if c != MARK and not c.isalnum()} - behind
+
+
 class Encoder:
     """Encodes texts, remembering the words it has seen."""
 
     def __init__(self, pieces: Pieces, n: int):
         self.pieces, self.n = pieces, n
-        joined = sorted({c for p, (s, _) in pieces.prefixes.items() if s is not None and len(p) > 1 for c in p if c != MARK})
-        inner = "".join(map(re.escape, joined))
-        # a character that no longer piece holds is a lattice of its own
-        self.words = re.compile(f"{MARK}*[{inner}]+|{MARK}+|.", re.DOTALL)
+        whole = [p for p, (s, _) in pieces.prefixes.items() if s is not None and len(p) > 1]
+        joined = sorted({c for p in whole for c in p if c != MARK})
+
+        def some(chars) -> str:
+            return f"[{''.join(map(re.escape, chars))}]"
+
+        letters, others = [c for c in joined if c.isalpha()], [c for c in joined if not c.isalpha()]
+        opening = sorted(openers(whole))
+        # up to a letter that an opener follows; else all that pieces may join; a character that no longer piece holds
+        # is a lattice of its own
+        cut = f"{MARK}*{some(others)}*{some(letters)}+(?={some(opening)})|" if letters and others and opening else ""
+        self.words = re.compile(f"{cut}{MARK}*{some(joined)}+|{MARK}+|.", re.DOTALL)
         self.known = _Words(pieces)
         literal = tuple(pieces.byte_ids[b] for b in MARK.encode())
         self.literal = (pieces.unknown, struct.pack("<3i", *literal), NEVER)
