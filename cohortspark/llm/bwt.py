@@ -13,13 +13,10 @@ import numpy as np
 SEPARATOR = 255  # a byte that UTF-8 does not use; larger than every other
 
 
-def _first_bytes(text: np.ndarray, width: int = 8) -> np.ndarray:
-    """The ``width`` bytes at each place as one number, separators beyond the end."""
-    padded = np.concatenate([text, np.full(width, SEPARATOR, np.uint8)]).astype(np.uint64)
-    out = np.zeros(len(text), np.uint64)
-    for i in range(width):
-        out = (out << np.uint64(8)) | padded[i : i + len(text)]
-    return out
+def _first_bytes(text: np.ndarray) -> np.ndarray:
+    """The 8 bytes at each place as one number, separators beyond the end."""
+    padded = np.concatenate([text, np.full(8, SEPARATOR, np.uint8)])
+    return np.ndarray(len(text), ">u8", padded, strides=(1,)).astype(np.uint64)
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:

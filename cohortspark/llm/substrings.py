@@ -11,6 +11,7 @@ gets back, for each of its strings, the smallest id that has it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ LENGTH = 50
 SEED_BYTES = 20
 CHUNK = 1 << 17  # windows hashed at a time, so the arrays stay in the processor's cache
 HOT = 256  # a minimizer in about so many batches has each of its strings dealt by its own hash
+PARTS = 256  # by its hash a minimizer belongs to one part of its bucket; parts are expanded one after the other
+PART_BYTES = 1 << 18  # parts are joined up to about this size, so the arrays stay in the processor's cache
 
 _U = np.uint64
 
@@ -109,22 +112,29 @@ class _Batch:
         ids = self.owner[order]
         return 1 + (np.minimum.reduceat(ids, at) != np.maximum.reduceat(ids, at))
 
-    def candidates(self, found: dict[int, bytes], buckets: int, hot: int) -> Iterator[tuple[int, int, int, int, bytes]]:
-        """(bucket, first, last + 1, id, content) of the segments whose minimizer several documents may have."""
+    def candidates(
+        self, found: dict[int, bytes], buckets: int, hot: int
+    ) -> Iterator[tuple[int, int, int, int, bytes]]:
+        """(bucket, part, first, id, content) of the segments whose minimizer several documents may have."""
         hashes = mixed(self.values)
         seen = answers(hashes, buckets, 0, found)
-        dealt = (mixed(hashes) % _U(buckets)).astype(np.int64)
-        for i in np.flatnonzero(seen[self.value] > 1).tolist():
-            a, b, v, owner = int(self.first[i]), int(self.last[i]), self.value[i], int(self.owner[i])
-            if seen[v] > hot:
+        again = mixed(hashes)
+        dealt, part = again % _U(buckets), again // _U(buckets) % _U(PARTS)
+        chosen = np.flatnonzero(seen[self.value] > 1)
+        value = self.value[chosen]
+        columns = (dealt[value], part[value], seen[value] > hot, self.first[chosen], self.last[chosen], self.owner[chosen])
+        data, length = self.data, self.length
+        for bucket, mine, often, a, b, owner in zip(*(c.tolist() for c in columns)):
+            if often:
                 for p in range(a, b):
-                    content = self.data[p : p + self.length]
-                    yield xxhash.xxh64_intdigest(content) % buckets, p, p + 1, owner, content
+                    content = data[p : p + length]
+                    h = xxhash.xxh64_intdigest(content)
+                    yield h % buckets, h // buckets % PARTS, p, owner, content
             else:
-                yield int(dealt[v]), a, b, owner, self.data[a : b + self.length - 1]
+                yield bucket, mine, a, owner, data[a : b + length - 1]
 
 
-ASKED = "bucket int, batch string, body binary, sizes binary, ids binary, shared binary"
+ASKED = "bucket int, batch string, body binary, sizes binary, ids binary, shared binary, parts binary"
 FOUND = "batch string, bucket int, items binary, counts binary, lengths binary, ids binary"
 
 
@@ -139,23 +149,27 @@ def _second_request(
     batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: int
 ) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
-        [("bucket", pa.int32()), ("batch", pa.string())] + [(c, pa.binary()) for c in ("body", "sizes", "ids", "shared")]
+        [("bucket", pa.int32()), ("batch", pa.string())] + [(c, pa.binary()) for c in ("body", "sizes", "ids", "shared", "parts")]
     )
     for row in rows_of(batches):
         b = _Batch(row, length)
         by_bucket: dict[int, dict[bytes, list]] = {}
-        for bucket, _, _, owner, content in b.candidates(decoded(row["answers"]), buckets, hot):
-            known = by_bucket.setdefault(bucket, {}).setdefault(content, [owner, 0])
-            if owner != known[0]:
-                known[:] = min(owner, known[0]), 1
+        for bucket, part, _, owner, content in b.candidates(decoded(row["answers"]), buckets, hot):
+            items = by_bucket.setdefault(bucket, {})
+            known = items.get(content)
+            if known is None:
+                items[content] = [owner, 0, part]
+            elif owner != known[0]:
+                known[:2] = min(owner, known[0]), 1
         rows = [
             {
                 "bucket": bucket,
                 "batch": b.name,
-                "body": b"".join(items),
+                "body": pa.compress(b"".join(items), codec="zstd", asbytes=True),
                 "sizes": np.fromiter(map(len, items), np.uint32, len(items)).tobytes(),
                 "ids": np.array([x[0] for x in items.values()], np.int64).tobytes(),
-                "shared": bytes(x[1] for x in items.values()),
+                "shared": bytes([x[1] for x in items.values()]),
+                "parts": bytes([x[2] for x in items.values()]),
             }
             for bucket, items in by_bucket.items()
         ]
@@ -180,43 +194,64 @@ def smallest_ids(contents: list[bytes], ids: np.ndarray, length: int) -> tuple[n
     return starts, least[of_window]
 
 
+def _expanded(contents: list[bytes], owners: np.ndarray, parts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(from, to, size, id, lower): the smallest ids of each content's strings as runs, where each content's runs begin
+    and end, and whether one of them is smaller than the content's own id.  Equal strings are in one part."""
+    total = int(np.fromiter(map(len, contents), np.int64, len(contents)).sum())
+    group = parts % min(PARTS, 1 + total // PART_BYTES)
+    order = np.argsort(group, kind="stable")
+    run_from, run_to = np.empty(len(contents), np.int64), np.empty(len(contents), np.int64)
+    lower = np.empty(len(contents), bool)
+    sizes, found, done = [], [], 0
+    for s, e in zip(*runs(group[order])):
+        at = order[s:e]
+        starts, ids = smallest_ids([contents[i] for i in at.tolist()], owners[at], length)
+        ends = np.append(starts[1:], len(ids))
+        lower[at] = np.add.reduceat(ids < np.repeat(owners[at], ends - starts), starts) > 0
+        cuts = np.concatenate([[True], ids[1:] != ids[:-1]])
+        cuts[starts] = True
+        heads = np.flatnonzero(cuts)
+        first = np.searchsorted(heads, starts)
+        run_from[at] = done + first
+        run_to[at] = done + np.append(first[1:], len(heads))
+        sizes.append(np.diff(np.append(heads, len(ids))))
+        found.append(ids[heads])
+        done += len(heads)
+    return run_from, run_to, np.concatenate(sizes), np.concatenate(found), lower
+
+
 def _matched(rows: pa.Table, length: int) -> pa.Table:
     """All requests of one bucket: for each content that several documents have, or part of it, the smallest ids."""
     known: dict[bytes, int] = {}
     least: list[int] = []
     shared: list[int] = []
+    part_of: list[int] = []
     places = []
-    for body, sizes, ids, flags in zip(*(rows.column(c) for c in ("body", "sizes", "ids", "shared"))):
-        data, at, mine = body.as_py(), 0, []
-        flag = flags.as_py()
-        for j, (size, ident) in enumerate(
-            zip(np.frombuffer(sizes.as_py(), np.uint32).tolist(), np.frombuffer(ids.as_py(), np.int64).tolist())
-        ):
-            content = data[at : at + size]
-            at += size
-            i = known.setdefault(content, len(known))
-            if i == len(least):
+    for body, sizes, ids, flags, parts in zip(
+        *(rows.column(c).to_pylist() for c in ("body", "sizes", "ids", "shared", "parts"))
+    ):
+        ends = list(accumulate(np.frombuffer(sizes, np.uint32).tolist(), initial=0))
+        data = pa.decompress(body, decompressed_size=ends[-1], codec="zstd", asbytes=True)
+        mine = []
+        for (a, e), ident, flag, part in zip(pairwise(ends), np.frombuffer(ids, np.int64).tolist(), flags, parts):
+            content = data[a:e]
+            i = known.get(content)
+            if i is None:
+                i = known[content] = len(least)
                 least.append(ident)
-                shared.append(flag[j])
+                shared.append(flag)
+                part_of.append(part)
             elif ident != least[i]:
                 shared[i] = 1
                 least[i] = min(least[i], ident)
-            else:
-                shared[i] |= flag[j]
+            elif flag:
+                shared[i] = 1
             mine.append(i)
         places.append(mine)
-    owners = np.array(least, np.int64)
-    starts, ids = smallest_ids(list(known), owners, length)
-    ends = np.append(starts[1:], len(ids))
-    lower = np.add.reduceat(ids < np.repeat(owners, ends - starts), starts) > 0
+    run_from, run_to, run_size, run_id, lower = _expanded(
+        list(known), np.array(least, np.int64), np.array(part_of, np.int64), length
+    )
     told = lower | (np.array(shared) > 0)
-    cuts = np.concatenate([[True], ids[1:] != ids[:-1]])
-    cuts[starts] = True
-    run_at = np.flatnonzero(cuts)
-    run_size = np.diff(np.append(run_at, len(ids)))
-    run_id = ids[run_at]
-    run_from = np.searchsorted(run_at, starts)
-    run_to = np.append(run_from[1:], len(run_at))
     out = []
     for name, bucket, mine in zip(rows.column("batch").to_pylist(), rows.column("bucket").to_pylist(), places):
         mine = np.array(mine)
@@ -241,34 +276,55 @@ def _matched(rows: pa.Table, length: int) -> pa.Table:
     return pa.Table.from_pylist(out, schema=schema)
 
 
+def _hits(b: _Batch, row: dict[str, pa.Scalar], buckets: int, hot: int) -> tuple[np.ndarray, np.ndarray]:
+    """(from, to) of the bytes of the batch that runs of strings with a smaller id cover."""
+    none = np.zeros(0, np.int64)
+    matches = row["matches"].values
+    if matches is None or not len(matches):
+        return none, none
+    told: dict[int, dict[int, int]] = {}  # answers by the item's number in its bucket
+    counts, sizes, ids, known = [], [], [], 0
+    for m in matches.to_pylist():
+        items = np.frombuffer(m["items"], np.uint32).tolist()
+        told[m["bucket"]] = dict(zip(items, range(known, known + len(items))))
+        known += len(items)
+        counts.append(np.frombuffer(m["counts"], np.uint32))
+        sizes.append(np.frombuffer(m["lengths"], np.uint32))
+        ids.append(np.frombuffer(m["ids"], np.int64))
+    count = np.concatenate(counts).astype(np.int64)
+    size, least = np.concatenate(sizes).astype(np.int64), np.concatenate(ids)
+    begin = np.cumsum(count) - count
+    numbers: dict[int, dict[bytes, int]] = {bucket: {} for bucket in told}
+    firsts, owners, chosen = [], [], []
+    for bucket, _, first, owner, content in b.candidates(decoded(row["answers"]), buckets, hot):
+        items = numbers.get(bucket)
+        if items is None:
+            continue
+        answer = told[bucket].get(items.setdefault(content, len(items)))
+        if answer is not None:
+            firsts.append(first)
+            owners.append(owner)
+            chosen.append(answer)
+    if not chosen:
+        return none, none
+    chosen = np.array(chosen)
+    n = count[chosen]
+    head = np.cumsum(n) - n
+    at = np.arange(int(n.sum())) + np.repeat(begin[chosen] - head, n)
+    width = size[at]
+    before = np.cumsum(width) - width
+    open_ = before + np.repeat(np.array(firsts) - before[head], n)
+    lower = least[at] < np.repeat(np.array(owners), n)
+    return open_[lower], (open_ + width - 1 + b.length)[lower]
+
+
 CLEANED = "id bigint, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary"
 
 
 def _cleaned(batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
     for row in rows_of(batches):
         b = _Batch(row, length)
-        told: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-        matches = row["matches"].values
-        for m in matches.to_pylist() if matches is not None else []:
-            counts = np.frombuffer(m["counts"], np.uint32).astype(np.int64)
-            sizes, ids = np.frombuffer(m["lengths"], np.uint32).tolist(), np.frombuffer(m["ids"], np.int64).tolist()
-            ends = np.cumsum(counts).tolist()
-            for item, s, e in zip(np.frombuffer(m["items"], np.uint32).tolist(), [0, *ends], ends):
-                told[m["bucket"], item] = sizes[s:e], ids[s:e]
-        numbers: dict[int, dict[bytes, int]] = {}
-        open_, close = [], []
-        if told:
-            for bucket, first, _, owner, content in b.candidates(decoded(row["answers"]), buckets, hot):
-                items = numbers.setdefault(bucket, {})
-                answer = told.get((bucket, items.setdefault(content, len(items))))
-                if answer is None:
-                    continue
-                at = first
-                for size, least in zip(*answer):
-                    if least < owner:
-                        open_.append(at)
-                        close.append(at + size - 1 + length)
-                    at += size
+        open_, close = _hits(b, row, buckets, hot)
         change = np.bincount(open_, minlength=len(b.data) + 1) - np.bincount(close, minlength=len(b.data) + 1)
         gone = np.cumsum(change[:-1]) > 0
         spans, bodies = [], []
