@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from cohortspark.llm.bwt import SEPARATOR, equal_substrings
 from cohortspark.llm.common import Scratch, gathered, mixed, partitions, real_id, runs
 from cohortspark.llm.counting import (
-    BUCKETS_PER_PARTITION,
     REQUEST,
     answers,
     by_batch,
@@ -36,7 +35,8 @@ LENGTH = 50
 SEED_BYTES = 20
 CHUNK = 1 << 17  # windows hashed at a time, so the arrays stay in the processor's cache
 HOT = 256  # a minimizer in about so many batches has each of its strings dealt by its own hash
-PARTS = 256  # by its hash a minimizer belongs to one part of its bucket; parts are expanded one after the other
+BUCKETS_PER_PARTITION = 4
+PARTS = 16  # by its hash a minimizer belongs to one part of its bucket; parts are expanded one after the other
 PART_BYTES = 1 << 18  # parts are joined up to about this size, so the arrays stay in the processor's cache
 
 _U = np.uint64
@@ -134,8 +134,25 @@ class _Batch:
                 yield bucket, mine, a, owner, data[a : b + length - 1]
 
 
-ASKED = "bucket int, batch string, body binary, sizes binary, ids binary, shared binary, parts binary"
-FOUND = "batch string, bucket int, items binary, counts binary, lengths binary, ids binary"
+ASKED = "bucket int, batch string, n int, items binary, body binary"
+FOUND = "batch string, bucket int, n int, runs int, packed binary"
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """The columns byte by byte, all first bytes, then all second ones, compressed."""
+    planes = (c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns)
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, *columns: tuple[type, int]) -> list[np.ndarray]:
+    """Back to columns of the given (type, size)."""
+    widths = [np.dtype(kind).itemsize * n for kind, n in columns]
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=sum(widths), codec="zstd", asbytes=True), np.uint8)
+    ends = accumulate(widths, initial=0)
+    return [
+        np.ascontiguousarray(planes[a:b].reshape(-1, n).T).view(kind).ravel()
+        for (a, b), (kind, n) in zip(pairwise(ends), columns)
+    ]
 
 
 def _first_request(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -149,7 +166,7 @@ def _second_request(
     batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: int
 ) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
-        [("bucket", pa.int32()), ("batch", pa.string())] + [(c, pa.binary()) for c in ("body", "sizes", "ids", "shared", "parts")]
+        [("bucket", pa.int32()), ("batch", pa.string()), ("n", pa.int32()), ("items", pa.binary()), ("body", pa.binary())]
     )
     for row in rows_of(batches):
         b = _Batch(row, length)
@@ -165,11 +182,14 @@ def _second_request(
             {
                 "bucket": bucket,
                 "batch": b.name,
+                "n": len(items),
+                "items": _packed(
+                    np.fromiter(map(len, items), np.uint32, len(items)),
+                    np.diff(np.array([x[0] for x in items.values()], np.int64), prepend=0),
+                    np.array([x[1] for x in items.values()], np.uint8),
+                    np.array([x[2] for x in items.values()], np.uint8),
+                ),
                 "body": pa.compress(b"".join(items), codec="zstd", asbytes=True),
-                "sizes": np.fromiter(map(len, items), np.uint32, len(items)).tobytes(),
-                "ids": np.array([x[0] for x in items.values()], np.int64).tobytes(),
-                "shared": bytes([x[1] for x in items.values()]),
-                "parts": bytes([x[2] for x in items.values()]),
             }
             for bucket, items in by_bucket.items()
         ]
@@ -227,13 +247,13 @@ def _matched(rows: pa.Table, length: int) -> pa.Table:
     shared: list[int] = []
     part_of: list[int] = []
     places = []
-    for body, sizes, ids, flags, parts in zip(
-        *(rows.column(c).to_pylist() for c in ("body", "sizes", "ids", "shared", "parts"))
-    ):
-        ends = list(accumulate(np.frombuffer(sizes, np.uint32).tolist(), initial=0))
+    for n, items, body in zip(*(rows.column(c).to_pylist() for c in ("n", "items", "body"))):
+        sizes, steps, flags, parts = _unpacked(items, (np.uint32, n), (np.int64, n), (np.uint8, n), (np.uint8, n))
+        ends = list(accumulate(sizes.tolist(), initial=0))
         data = pa.decompress(body, decompressed_size=ends[-1], codec="zstd", asbytes=True)
         mine = []
-        for (a, e), ident, flag, part in zip(pairwise(ends), np.frombuffer(ids, np.int64).tolist(), flags, parts):
+        columns = (pairwise(ends), np.cumsum(steps).tolist(), flags.tolist(), parts.tolist())
+        for (a, e), ident, flag, part in zip(*columns):
             content = data[a:e]
             i = known.get(content)
             if i is None:
@@ -264,14 +284,18 @@ def _matched(rows: pa.Table, length: int) -> pa.Table:
             {
                 "batch": name,
                 "bucket": bucket,
-                "items": items.astype(np.uint32).tobytes(),
-                "counts": (b - a).astype(np.uint32).tobytes(),
-                "lengths": run_size[at].astype(np.uint32).tobytes(),
-                "ids": run_id[at].tobytes(),
+                "n": len(items),
+                "runs": len(at),
+                "packed": _packed(
+                    np.diff(items, prepend=0).astype(np.uint32),
+                    (b - a).astype(np.uint32),
+                    run_size[at].astype(np.uint32),
+                    run_id[at],
+                ),
             }
         )
     schema = pa.schema(
-        [("batch", pa.string()), ("bucket", pa.int32())] + [(c, pa.binary()) for c in ("items", "counts", "lengths", "ids")]
+        [("batch", pa.string()), ("bucket", pa.int32()), ("n", pa.int32()), ("runs", pa.int32()), ("packed", pa.binary())]
     )
     return pa.Table.from_pylist(out, schema=schema)
 
@@ -285,12 +309,14 @@ def _hits(b: _Batch, row: dict[str, pa.Scalar], buckets: int, hot: int) -> tuple
     told: dict[int, dict[int, int]] = {}  # answers by the item's number in its bucket
     counts, sizes, ids, known = [], [], [], 0
     for m in matches.to_pylist():
-        items = np.frombuffer(m["items"], np.uint32).tolist()
-        told[m["bucket"]] = dict(zip(items, range(known, known + len(items))))
-        known += len(items)
-        counts.append(np.frombuffer(m["counts"], np.uint32))
-        sizes.append(np.frombuffer(m["lengths"], np.uint32))
-        ids.append(np.frombuffer(m["ids"], np.int64))
+        n, runs_ = m["n"], m["runs"]
+        columns = (np.uint32, n), (np.uint32, n), (np.uint32, runs_), (np.int64, runs_)
+        steps, count, size, least = _unpacked(m["packed"], *columns)
+        told[m["bucket"]] = dict(zip(np.cumsum(steps).tolist(), range(known, known + n)))
+        known += n
+        counts.append(count)
+        sizes.append(size)
+        ids.append(least)
     count = np.concatenate(counts).astype(np.int64)
     size, least = np.concatenate(sizes).astype(np.int64), np.concatenate(ids)
     begin = np.cumsum(count) - count
@@ -372,7 +398,7 @@ def remove_repeats(
     sent = known.mapInArrow(lambda b: _second_request(b, length, buckets, hot), ASKED)
     found = sent.groupBy("bucket").applyInArrow(lambda rows: _matched(rows, length), FOUND)
     matches = found.groupBy("batch").agg(
-        F.collect_list(F.struct("bucket", "items", "counts", "lengths", "ids")).alias("matches")
+        F.collect_list(F.struct("bucket", "n", "runs", "packed")).alias("matches")
     )
     out = known.join(scratch.table(matches), "batch", "left")
     cleaned = out.mapInArrow(lambda b: _cleaned(b, length, buckets, hot), CLEANED)

@@ -129,6 +129,26 @@ def test_equal_substrings(alphabet):
         assert len(set(seen.values())) == len(seen)
 
 
+def test_parts_are_expanded_apart(monkeypatch):
+    rng = random.Random(9)
+    contents = sorted({bytes(rng.choices((b"ab", b"cd", b"ef")[k % 3], k=rng.randrange(6, 30))) for k in range(90)})
+    owners = np.array([rng.randrange(40) for _ in contents])
+    parts = np.array([(c[0] - 97) // 2 for c in contents])
+
+    def by_content():
+        first, last, size, ids, lower = substrings._expanded(contents, owners, parts, 6)
+        return [np.repeat(ids[a:b], size[a:b]).tolist() for a, b in zip(first, last)], lower.tolist()
+
+    whole = by_content()
+    monkeypatch.setattr(substrings, "PART_BYTES", 100)
+    assert by_content() == whole
+    least = {}
+    for c, o in zip(contents, owners.tolist()):
+        for p in range(len(c) - 5):
+            least[c[p : p + 6]] = min(o, least.get(c[p : p + 6], o))
+    assert whole[0] == [[least[c[p : p + 6]] for p in range(len(c) - 5)] for c in contents]
+
+
 # --- 2: exact groups ----------------------------------------------------------------------------------------------
 
 
