@@ -133,22 +133,26 @@ def plain_id(df: DataFrame, column: str) -> Column:
 
 
 def nearest_neighbours(
-    df: DataFrame, id_column: str, vector: str, k: int = 5, block_rows: int = 4096, seed=42
+    df: DataFrame, id_column: str, vector: str, k: int = 5, block_rows: int = 4096, seed=42, by: str | None = None
 ) -> DataFrame:
-    """Exact k nearest other rows by Euclidean distance: (id, neighbour, place, found).
+    """Exact k nearest other rows by Euclidean distance, of the same ``by`` if given: (id, neighbour, place, found).
 
     Rows are dealt by hash into blocks of about ``block_rows``; one task compares one block with another and returns
     only the k best per row, so neither a whole class nor all pairs ever meet in one place.
     """
-    rows = df.select(plain_id(df, id_column).alias("id"), F.col(vector).alias("v"))
+    group = F.col(by) if by else F.lit(0)
+    rows = df.select(plain_id(df, id_column).alias("id"), F.col(vector).alias("v"), group.alias("c"))
     kind = rows.schema["id"].dataType.simpleString()
-    blocks = rows.agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)), F.lit(1)).cast("int")).scalar()
-    rows = rows.withColumn("_blocks", blocks)
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)), F.lit(1)).cast("int")
+    if by:
+        rows = rows.join(rows.groupBy("c").agg(blocks.alias("_blocks")), "c")
+    else:
+        rows = rows.withColumn("_blocks", rows.agg(blocks).scalar())
     own = F.floor(hash_fraction(seed, "id") * F.col("_blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
 
     def side(a: str, b: str) -> DataFrame:
-        return rows.select(*[F.col(c).alias(n) for c, n in (("id", "id"), ("v", "v"), (a, "a"), (b, "b"))])
+        return rows.select(*[F.col(c).alias(n) for c, n in (("id", "id"), ("v", "v"), ("c", "c"), (a, "a"), (b, "b"))])
 
     base, against = side("own", "other"), side("other", "own")
 
@@ -177,8 +181,8 @@ def nearest_neighbours(
         return pd.concat(out)
 
     found = (
-        base.groupBy("a", "b")
-        .cogroup(against.groupBy("a", "b"))
+        base.groupBy("c", "a", "b")
+        .cogroup(against.groupBy("c", "a", "b"))
         .applyInPandas(best, f"id {kind}, neighbour {kind}, d double")
     )
     w = Window.partitionBy("id").orderBy("d", "neighbour")
@@ -196,26 +200,50 @@ def smote(
     minority of one row has no neighbour: the job fails and says so.
     """
     few = df.filter(F.col(label) == minority)
-    vectors = few.select(plain_id(df, id_column).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
-    largest = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).scalar()
-    ranked = _ranked(vectors, "_id", [], seed).withColumn("_new", largest - F.col("_size"))
+    rows = few.select(plain_id(df, id_column).alias("_id"), F.lit(minority).alias("_c"), F.col(vector).alias("_v"))
+    near = nearest_neighbours(rows, "_id", "_v", k, block_rows, seed)
+    return _synthetic(rows, near, _largest(df, label), seed, []).toDF(id_column, "copy", "neighbour", label, vector)
+
+
+def smote_classes(
+    df: DataFrame, label: str, id_column: str, vector: str, k: int = 5, seed=42, block_rows: int = 4096
+) -> DataFrame:
+    """Synthetic rows until every class is as large as the largest, as ``smote`` makes them for one class.
+
+    All classes are filled in one job; neighbours are rows of the same class.  Rows without a label are left out.
+    """
+    known = df.filter(F.col(label).isNotNull())
+    rows = known.select(plain_id(df, id_column).alias("_id"), F.col(label).alias("_c"), F.col(vector).alias("_v"))
+    largest = _largest(known, label)
+    smaller = rows.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < largest).select("_c")
+    rows = rows.join(smaller, "_c", "left_semi")
+    near = nearest_neighbours(rows, "_id", "_v", k, block_rows, seed, by="_c")
+    return _synthetic(rows, near, largest, seed, ["_c"]).toDF(id_column, "copy", "neighbour", label, vector)
+
+
+def _largest(df: DataFrame, label: str) -> Column:
+    """Rows of the largest class."""
+    return df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).scalar()
+
+
+def _synthetic(rows: DataFrame, near: DataFrame, largest: Column, seed, by: Sequence[str]) -> DataFrame:
+    """(id, copy, neighbour, class, vector) of new rows that fill every class ``_c`` of ``rows`` up to ``largest``;
+    ``by`` is empty where there is one class."""
+    rows = rows.withColumn("_v", F.col("_v").cast("array<double>"))
+    ranked = _ranked(rows, "_id", by, seed).withColumn("_new", largest - F.col("_size"))
     alone = (F.col("_size") == 1) & (F.col("_new") > 0)
     refusal = F.raise_error(F.lit("SMOTE needs at least two rows of the minority")).cast("bigint")
     ranked = ranked.withColumn("_new", F.when(alone, refusal).otherwise(F.col("_new")))
     extra = (F.col("_rank") <= F.col("_new") % F.col("_size")).cast("bigint")
     copies = F.floor(F.col("_new") / F.col("_size")) + extra
-    wanted = _repeated(ranked.withColumn("_copies", copies)).select("_id", "_v", "copy")
-    near = nearest_neighbours(few, id_column, vector, k, block_rows, seed).withColumnRenamed("id", "_id")
+    wanted = _repeated(ranked.withColumn("_copies", copies)).select("_id", "_c", "_v", "copy")
+    near = near.withColumnRenamed("id", "_id")
     draw = F.conv(F.substring(seeded_hash(f"{seed}n", "_id", "copy"), 1, 8), 16, 10).cast("bigint")
     chosen = wanted.withColumn("_draw", draw).join(near, "_id").filter(F.col("place") == F.col("_draw") % F.col("found") + 1)
-    other = vectors.select(F.col("_id").alias("neighbour"), F.col("_v").alias("_w"))
+    other = rows.select(F.col("_id").alias("neighbour"), F.col("_v").alias("_w"))
     step = hash_fraction(f"{seed}l", "_id", "copy")
     return chosen.join(other, "neighbour").select(
-        F.col("_id").alias(id_column),
-        "copy",
-        "neighbour",
-        F.lit(minority).alias(label),
-        F.zip_with("_v", "_w", lambda a, b: a + step * (b - a)).alias(vector),
+        "_id", "copy", "neighbour", "_c", F.zip_with("_v", "_w", lambda a, b: a + step * (b - a)).alias("_v")
     )
 
 

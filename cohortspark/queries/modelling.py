@@ -237,6 +237,26 @@ def smote(spark, d):
     )
 
 
+@query("smote_classes", f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings),
+ f AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_VH}) AS r, count(*) OVER (PARTITION BY label) AS n FROM v),
+ m AS (SELECT max(n) AS big FROM f),
+ nn AS (SELECT a.vec_id, b.vec_id AS neighbour,
+  row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x, b.x), b.vec_id) AS place
+  FROM f a JOIN f b ON a.label = b.label AND a.vec_id != b.vec_id),
+ w AS (SELECT vec_id, label, x, unnest(generate_series(1, CAST(floor((big - n) / n) + CASE WHEN r <= (big - n) % n THEN 1 ELSE 0 END AS BIGINT))) AS copy
+  FROM f, m),
+ p AS (SELECT *, {_U.format('42n', _COPY)} % 5 + 1 AS place, {_U.format('42l', _COPY)} / 4294967296.0::DOUBLE AS step FROM w)
+SELECT p.vec_id, p.label, p.copy, nn.neighbour, i AS position, round(p.x[i + 1] + p.step * (b.x[i + 1] - p.x[i + 1]), 6) AS value
+FROM p JOIN nn ON p.vec_id = nn.vec_id AND p.place = nn.place JOIN f b ON b.vec_id = nn.neighbour,
+ (SELECT unnest(generate_series(0, 63)) AS i) k""")
+def smote_classes(spark, d):
+    """Every class filled up to the largest."""
+    new = sp.smote_classes(vec(spark, d).select("vec_id", "embedding", "label"), "label", "vec_id", "embedding")
+    cells = F.posexplode("embedding").alias("position", "value")
+    return new.select("vec_id", "label", "copy", "neighbour", cells).withColumn("value", F.round("value", 6))
+
+
 # --- metrics ------------------------------------------------------------------------------------------------------
 
 

@@ -82,6 +82,25 @@ def interval_join_fuzzy(spark, d):
     return rounded(out, list(LABELS)).drop("data_start", "data_end")
 
 
+_CORE = _FUZZY.replace(EPI, f"(SELECT episode, subject, intime + INTERVAL 1 DAY AS intime, outtime FROM {EPI} c)")
+
+
+@query("interval_join_fuzzy_twice", f"""
+SELECT p.subject, t, {_R}, a.episode AS admission, s.episode AS stay FROM {_pivoted_sql()} p
+LEFT JOIN {_FUZZY} a ON p.subject = a.subject AND t >= a.data_start AND t < a.data_end
+LEFT JOIN {_CORE} s ON p.subject = s.subject AND t >= s.data_start AND t < s.data_end""")
+def interval_join_fuzzy_twice(spark, d):
+    """Measurements with their admission and their stay, which begins a day into the admission; both widened."""
+    admissions = epi(spark, d).select("episode", "subject", "intime", "outtime")
+    stays = admissions.withColumn("intime", F.col("intime") + F.expr("INTERVAL 1 DAY"))
+    out = _pivoted(spark, d)
+    for intervals, name in ((admissions, "admission"), (stays, "stay")):
+        bounds = jn.fuzzy_bounds(intervals, "subject", "intime", "outtime", "episode").drop("intime", "outtime")
+        bounds = bounds.withColumnRenamed("episode", name)
+        out = jn.interval_join(out, bounds, "subject", "t", "data_start", "data_end").drop("data_start", "data_end")
+    return rounded(out, list(LABELS))
+
+
 @query("pivot_series_median", f"""
 SELECT entity, day, round(avg(CASE WHEN item = 'view' AND value > 0 AND value < 300 THEN value END), 6) AS rate,
  round(avg(CASE WHEN item = 'click' AND value > 70 AND value < 120 THEN (value - 32) / 1.8

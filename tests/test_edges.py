@@ -268,6 +268,19 @@ def test_smote_fills_up_the_minority(spark):
         assert np.linalg.norm(p - a) + np.linalg.norm(p - b) == pytest.approx(np.linalg.norm(a - b))
 
 
+def test_smote_classes_fills_up_every_class(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, "a" if i < 20 else "b" if i < 29 else "c" if i < 33 else None, rng.normal(size=3).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, y string, v array<double>")
+    new = sp.smote_classes(df, "y", "id", "v", k=3, block_rows=4).collect()
+    label = {i: y for i, y, _ in rows}
+    assert sorted(r["y"] for r in new) == ["b"] * 11 + ["c"] * 16
+    assert all(label[r["id"]] == label[r["neighbour"]] == r["y"] and r["id"] != r["neighbour"] for r in new)
+    one = sp.smote(df.filter("y is not null"), "y", "c", "id", "v", k=3, block_rows=4).collect()
+    assert sorted(map(str, one)) == sorted(str(r) for r in new if r["y"] == "c")
+    assert sp.smote_classes(df.filter("id < 0"), "y", "id", "v").collect() == []
+
+
 def test_fix_length(spark):
     rows = [(1, f"2024-01-01 0{i}:00:00", float(i), 1) for i in range(3)]
     rows += [(2, f"2024-01-01 0{i}:00:00", float(i), 0) for i in range(7)]
