@@ -10,7 +10,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.llm.common import NULL_ID, Scratch, kept, real_id, runs, text_of
@@ -47,15 +47,29 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], names=["id", "fp"])
+        rest = batch.columns[2:]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(values, pa.int64()), *rest], names=["id", "fp", *batch.schema.names[2:]]
+        )
+
+
+def _id(id_column: str) -> Column:
+    return F.coalesce(F.col(id_column).cast("bigint"), F.lit(NULL_ID))
+
+
+def _digest(text_column: str) -> Column:
+    return F.md5(text_of(text_column).cast("binary"))
 
 
-def with_fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle: int) -> DataFrame:
+def with_fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle: int, digest: bool = False) -> DataFrame:
+    """Rows (id, fp), with ``digest`` also the digest of the text."""
     rows = docs.select(
-        F.coalesce(F.col(id_column).cast("bigint"), F.lit(NULL_ID)).alias("id"),
+        _id(id_column).alias("id"),
         text_of(text_column).cast("binary").alias("body"),
+        *([_digest(text_column).alias("digest")] if digest else []),
     )
-    return rows.mapInArrow(lambda batches: _fingerprints(batches, shingle), "id bigint, fp bigint")
+    schema = "id bigint, fp bigint" + (", digest string" if digest else "")
+    return rows.mapInArrow(lambda batches: _fingerprints(batches, shingle), schema)
 
 
 def block_masks(blocks: int, max_bits: int) -> list[int]:
@@ -171,6 +185,16 @@ def fingerprint_links(prints: DataFrame, n: int, max_bits: int = MAX_BITS) -> Da
     return dealt.mapInArrow(lambda batches: _links(batches, masks, max_bits), "a bigint, b bigint")
 
 
+def _rooted(rows: DataFrame, first: Column, max_bits: int, scratch: Scratch) -> DataFrame:
+    """Every distinct fingerprint of ``rows`` with the smallest ``first`` of its rows and the root of its component."""
+    nodes = scratch.table(rows.groupBy("fp").agg(F.min(first).alias("first")))
+    links = scratch.table(fingerprint_links(nodes.select("fp"), nodes.count(), max_bits).distinct())
+    roots = components(links, scratch)
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicate_groups(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -187,12 +211,7 @@ def near_duplicate_groups(
     """
     with Scratch(docs.sparkSession) as scratch:
         rows = kept(with_fingerprints(docs, id_column, text_column, shingle))
-        nodes = scratch.table(rows.groupBy("fp").agg(F.min("id").alias("first")))
-        links = scratch.table(fingerprint_links(nodes.select("fp"), nodes.count(), max_bits).distinct())
-        roots = components(links, scratch)
-        named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-            "fp", "first", F.coalesce("root", "fp").alias("root")
-        )
+        named = _rooted(rows, F.col("id"), max_bits, scratch)
         least = named.groupBy("root").agg(F.min("first").alias("component"))
         groups = kept(named.join(least, "root").select(F.col("fp").alias("print"), "component"))
     return rows.join(groups, F.col("fp") == F.col("print")).select(
@@ -209,13 +228,16 @@ def drop_near_duplicates(
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """One document of each group: the one with the smallest id, all columns unchanged.  Of several rows with that id
-    any one stays; of rows with a null id, which come last, too."""
-    groups = near_duplicate_groups(docs, id_column, text_column, shingle, max_bits)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("component_id").distinct()
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_column).cast("bigint").alias("id"))
-    return (
-        packed.join(stay, F.col("id").eqNullSafe(F.col("component_id")))
-        .dropDuplicates(["id"])
-        .select("row.*")
+    """One document of each group: the one with the smallest id (a null id is later than all others), all columns
+    unchanged.  Of several texts of a group with that id the one with the smallest digest stays, of rows with the same id
+    and text any one.  Groups stay apart where they share an id or have only null ids: each keeps a document."""
+    with Scratch(docs.sparkSession) as scratch:
+        rows = with_fingerprints(docs, id_column, text_column, shingle, digest=True)
+        named = _rooted(rows, F.struct("id", "digest"), max_bits, scratch)
+        stay = kept(named.groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.digest"))
+    packed = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        _id(id_column).alias("id"),
+        _digest(text_column).alias("digest"),
     )
+    return packed.join(stay, ["id", "digest"]).dropDuplicates(["id", "digest"]).select("row.*")

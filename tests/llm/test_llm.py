@@ -288,6 +288,26 @@ def test_near_duplicates(docs):
     assert Counter(r.doc_id for r in kept.collect()) == Counter({c for _, _, c in want})
 
 
+def test_near_copies_with_null_and_shared_ids(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(12)]
+    # null ids on unlike texts, one id on two unlike texts, one id on a text and on the copy of another document
+    rows = [(None, t) for t in texts[:5]] + [(None, texts[0]), (1, texts[5]), (1, texts[6]), (1, texts[6])]
+    rows += [(2, texts[7]), (3, texts[7]), (3, texts[8]), (None, texts[9]), (4, texts[9])]
+    rows += [(5, texts[10]), (5, texts[11]), (6, texts[10])]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    roots = plain_components(prints, 3)
+    assert len(set(roots)) == 12
+    want = {}
+    for (i, t), r in zip(rows, roots):
+        want[r] = min(want.get(r, (key(i), t)), (key(i), t))
+    docs = make(spark, [(i, t, "a") for i, t in rows]).repartition(5)
+    kept = fingerprints.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert Counter((key(r.doc_id), r.text) for r in kept.collect()) == Counter(want.values())
+
+
 def test_links_connect_like_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "WIDE", 8)
     rng = random.Random(5)
