@@ -1,13 +1,17 @@
 """Licence scans: normalised text units are compared to licence templates by the Dice coefficient over word bigrams.
 
-Everything is DataFrame expressions, in one pass without a shuffle; the templates are literals of the plan.
+Everything is DataFrame expressions, in one pass without a shuffle; the templates are literals of the plan: short notices
+here, standard headers and whole texts in the folder ``licence_texts``.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,8 +68,26 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright to this work."),
 )
 
+TEXTS = Path(__file__).parent / "licence_texts"
+TEXTS_BYTES = 1 << 18  # what the folder holds at most: all of it becomes literals of the plan
+
+
+def standard_templates() -> tuple[tuple[str, str], ...]:
+    """Standard headers and whole texts from files named by SPDX identifier and kind (``MIT.text.txt``), by name."""
+    files = sorted(TEXTS.glob("*.txt"))
+    if sum(f.stat().st_size for f in files) > TEXTS_BYTES:
+        raise ValueError(f"licence texts above {TEXTS_BYTES} bytes")
+    return tuple((f.name.rsplit(".", 2)[0], f.read_text(encoding="utf-8")) for f in files)
+
+
+#: The short notices first, so that of equal Dice they are reported.
+STANDARD: tuple[tuple[str, str], ...] = (*TEMPLATES, *standard_templates())
+
 THRESHOLD = 0.8
 LONG_WORD = 5
+#: Templates are taken together by their distinct bigrams; each tier has anchors of its own, looked for only in units long
+#: enough for its smallest template.
+TIERS = (1, 16, 48, 128, 512, 1200, 2200, 1 << 62)
 
 
 def template_bigrams(text: str) -> list[str]:
@@ -86,9 +108,9 @@ def anchors(templates: Sequence[Sequence[str]], threshold: float) -> tuple[list[
         wanted = len(grams) - math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9) + 1
         left = [g for g in grams if not set(g.split(" ")) & set(words) and g not in pairs]
         while len(grams) - len(left) < wanted:
-            long = sorted({w for g in left for w in g.split(" ") if len(w) >= LONG_WORD})
+            long = Counter(w for g in left for w in set(g.split(" ")) if len(w) >= LONG_WORD)
             if long:
-                words.append(max(long, key=lambda w: (min(len(w), 7), sum(w in g.split(" ") for g in left))))
+                words.append(max(sorted(long), key=lambda w: (min(len(w), 7), long[w])))
                 left = [g for g in left if words[-1] not in g.split(" ")]
             else:
                 pairs.append(max(left, key=len))
@@ -96,6 +118,18 @@ def anchors(templates: Sequence[Sequence[str]], threshold: float) -> tuple[list[
     return words, pairs
 
 
+def least_length(grams: Sequence[str], threshold: float) -> int:
+    """Characters that a unit with ``dice >= threshold`` has at least: it holds ``b * t / (2 - t)`` of the bigrams, and
+    each word, with the space behind it, is in two of them at most."""
+    common = math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
+    return sum(sorted(len(g) + 1 for g in grams)[:common]) // 2 - 1
+
+
+def _literal(texts: Sequence[str]) -> Column:
+    """Strings without a line feed as one literal of the plan, however many they are."""
+    return F.split(F.lit("\n".join(texts)), "\n")
+
+
 def words_of(text: Column) -> Column:
     """Normalised words in lower case, everything but letters and digits between words."""
     plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
@@ -126,7 +160,7 @@ def scan_licences(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    templates: Sequence[tuple[str, str]] = TEMPLATES,
+    templates: Sequence[tuple[str, str]] = STANDARD,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Units of the documents that match a template: doc_id, kind, number, licence, template, dice.
@@ -144,14 +178,14 @@ def scan_licences(
     least = min(len(b) for _, _, b in made)
 
     def likely(u: Column) -> Column:
-        known = F.size(F.filter(u["words"], lambda w: F.array_contains(F.lit(vocabulary), w)))
+        known = F.size(F.filter(u["words"], lambda w: w.isin(vocabulary)))
         bound = (F.size(F.array_distinct(u["words"])) - 1 + least) * (threshold / 2)
         return known >= F.greatest(bound - 1e-9, F.lit(1.0))
 
     def score(grams: Column, name: str, i: int, template: list[str]) -> Column:
         n, b = F.size(grams), len(template)
         fits = n.between(F.lit(threshold / (2 - threshold) * b - 1e-9), F.lit((2 - threshold) / threshold * b + 1e-9))
-        common = F.size(F.array_intersect(grams, F.lit(template)))
+        common = F.size(F.array_intersect(grams, _literal(template)))
         dice = F.when(fits, F.lit(2.0) * common / (n + b))
         return F.struct(dice.alias("dice"), F.lit(-i).alias("order"), F.lit(name).alias("licence"))
 
@@ -167,13 +201,21 @@ def scan_licences(
 
     # one nested expression: each lambda variable is evaluated once, where separate projections would be merged and
     # evaluated again for every use
-    words, pairs = anchors([m[2] for m in made], threshold)
-    pattern = "|".join(p.replace(" ", r"[^\p{L}\p{N}]+") for p in pairs)
+    def any_anchor(lower: Column, templates: list[list[str]]) -> Column:
+        words, pairs = anchors(templates, threshold)
+        has = F.exists(_literal(words), lambda w: F.contains(lower, w)) if words else F.lit(False)
+        pattern = "|".join(p.replace(" ", r"[^\p{L}\p{N}]+") for p in pairs)
+        return has | lower.rlike(pattern) if pairs else has
+
+    tiers = [[m[2] for m in made if low <= len(m[2]) < high] for low, high in zip(TIERS, TIERS[1:])]
 
     def marked(text: Column) -> Column:
+        def in_tier(t: Column, tier: list[list[str]]) -> Column:
+            long_enough = F.length(t) >= min(least_length(grams, threshold) for grams in tier)
+            return long_enough & any_anchor(t, tier)
+
         def any_in(t: Column) -> Column:
-            has = F.exists(F.lit(words), lambda w: F.contains(t, w))
-            return has | t.rlike(pattern) if pairs else has
+            return reduce(Column.__or__, [in_tier(t, tier) for tier in tiers if tier], F.lit(False))
 
         return F.transform(F.array(F.lower(text)), any_in)[0]
 

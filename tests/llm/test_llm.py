@@ -245,6 +245,35 @@ def test_anchors_are_in_every_match():
             assert any(g in pairs or set(g.split()) & set(words) for g in part)
 
 
+def plain_best(unit):
+    """Licence of the highest Dice by plain counting, with the first template of equal ones."""
+    grams = set(licences.template_bigrams(unit))
+    best = (0.0, None)
+    for name, text in licences.STANDARD:
+        template = set(licences.template_bigrams(text))
+        dice = 2 * len(grams & template) / (len(grams) + len(template))
+        best = (dice, name) if dice > best[0] + 1e-12 else best
+    return best[1] if best[0] >= licences.THRESHOLD else None
+
+
+def test_standard_licences(spark):
+    texts = [t for _, t in licences.standard_templates()]
+    whole = ["Copyright (c) 2020 Some One\n\n" + t for t in texts]
+    apart = [" ".join(t.split()) for t in texts]  # as one line
+    rng = random.Random(4)
+    cut = [" ".join(w for w in t.split() if rng.random() < 0.93) for t in texts]
+    rows = list(enumerate(whole + apart + cut))
+    docs = make(spark, [(i, t, "a") for i, t in rows])
+    found = {}
+    for r in licences.scan_licences(docs).collect():
+        found[r.doc_id, r.kind, r.number] = r.licence
+    got = [found.get((i, "document" if i < len(whole) else "line", 0)) for i, _ in rows]
+    assert got == [plain_best(t) for _, t in rows]
+    names = [n for n, _ in licences.standard_templates()]
+    assert got[len(whole) : 2 * len(whole)] == names
+    assert {"GPL-2.0-or-later", "LGPL-2.1-or-later", "AGPL-3.0-or-later", "BSD-2-Clause", "Zlib", "BSL-1.0"} < set(names)
+
+
 # --- 5: fingerprints ----------------------------------------------------------------------------------------------
 
 
