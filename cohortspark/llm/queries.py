@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortspark.llm import chat, exact, fingerprints, licences, ngrams, packing, pieces, quality, secrets, substrings
+from cohortspark.llm import chat, exact, fingerprints, language, licences, ngrams, packing, pieces, quality, repair
+from cohortspark.llm import secrets, substrings, tries
 from cohortspark.llm.common import Scratch, kept, query, table
 
 _EXACT = r"""
@@ -205,3 +206,179 @@ def op9_sentencepiece(spark, d):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.col("whole").alias("round_trip"),
     )
+
+
+def _crc32_sql(text: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    bits = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x // 2, (x % 2) * 3988292384))"
+    return f"xor(list_reduce({codes}, lambda a, b: {bits}, 4294967295::BIGINT), 4294967295)"
+
+
+def _language_sql() -> str:
+    """The same counts and scores in SQL."""
+    word = r"'\p{L}[\p{L}\p{M}]*'"
+    pieces = " UNION ALL ".join(
+        [f"SELECT lang, {n} AS kind, unnest({_grams_sql('w', n)}) AS e, n FROM wc" for n in language.LENGTHS]
+    )
+    backoff = " UNION ALL ".join(f"SELECT w, {n} AS kind, unnest({_grams_sql('w', n)}) AS e FROM unseen" for n in language.LENGTHS)
+    unit = language.UNIT
+    return rf"""
+WITH d AS (SELECT doc_id, lang, text, {_crc32_sql("doc_id::VARCHAR")} % 4 = 2 AS held_out FROM documents),
+tokens AS (SELECT doc_id, held_out, lang, unnest(regexp_extract_all(lower(text), {word})) AS w FROM d),
+wc AS (SELECT lang, w, count(*) AS n FROM tokens WHERE NOT held_out AND lang IS NOT NULL GROUP BY ALL),
+pieces AS ({pieces}),
+counts AS (SELECT lang, 0 AS kind, w AS e, n FROM wc UNION ALL SELECT lang, kind, e, sum(n)::BIGINT FROM pieces GROUP BY ALL),
+langs AS (SELECT lang, row_number() OVER (ORDER BY lang) AS g, count(*) OVER () AS many FROM (SELECT DISTINCT lang FROM wc)),
+sizes AS (SELECT kind, lang, n, count(*) AS size FROM counts GROUP BY ALL),
+sums AS (SELECT kind, lang, n, sum(size) OVER (PARTITION BY kind, lang ORDER BY n DESC) AS size FROM sizes),
+least AS (SELECT kind, lang, min(n) AS least FROM sums JOIN langs USING (lang) WHERE size <= {language.MODEL_ENTRIES} // many GROUP BY ALL),
+totals AS (SELECT kind, lang, sum(n) AS total FROM counts GROUP BY ALL),
+model AS (SELECT kind, lang, e, greatest(1, round({unit} * ({language.PENALTY} + log10(n / total))))::BIGINT AS gain
+    FROM counts JOIN least USING (kind, lang) JOIN totals USING (kind, lang) WHERE n >= least),
+per AS (SELECT doc_id, w, count(*) AS n FROM tokens GROUP BY ALL),
+unseen AS (SELECT DISTINCT w FROM per WHERE w NOT IN (SELECT e FROM model WHERE kind = 0)),
+tried AS ({backoff}),
+found AS (SELECT w, kind, count(*) AS many FROM tried WHERE (kind, e) IN (SELECT kind, e FROM model) GROUP BY ALL),
+longest AS (SELECT w, max(kind) AS kind, max_by(many, kind) AS many FROM found GROUP BY w),
+gains AS (SELECT e AS w, lang, gain FROM model WHERE kind = 0
+    UNION ALL SELECT w, lang, sum(gain)::BIGINT // any_value(many) FROM longest JOIN tried USING (w, kind) JOIN model USING (kind, e) GROUP BY w, lang),
+known AS (SELECT DISTINCT w FROM gains),
+counted AS (SELECT doc_id, sum(n) FILTER (w IN (SELECT w FROM known)) AS counted FROM per GROUP BY doc_id),
+sum_of AS (SELECT doc_id, lang, sum(n * gain) AS s FROM per JOIN gains USING (w) GROUP BY ALL),
+scored AS (SELECT doc_id, lang, g, many, coalesce(counted, 0) AS counted, coalesce(s, 0) AS s
+    FROM counted CROSS JOIN langs LEFT JOIN sum_of USING (doc_id, lang)),
+common AS (SELECT lang FROM wc GROUP BY lang ORDER BY sum(n) DESC, lang LIMIT 1),
+best AS (SELECT doc_id, max(s) AS top, any_value(counted) AS counted, any_value(many) AS many, arg_min(lang, (-s, g)) AS lang FROM scored GROUP BY doc_id),
+share AS (SELECT doc_id, sum(pow(10.0, (s - top) / ({unit} * best.counted))) AS total FROM scored JOIN best USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, held_out,
+    CASE WHEN best.doc_id IS NULL THEN 'und' WHEN counted = 0 THEN (SELECT lang FROM common) ELSE best.lang END AS lang_pred,
+    round(CASE WHEN best.doc_id IS NULL THEN 0.0 WHEN counted = 0 THEN 1 / many ELSE 1 / total END, 6) AS score
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN share USING (doc_id)
+"""
+
+
+def _grams_sql(word: str, n: int) -> str:
+    if n == 1:
+        return f"string_split({word}, '')"
+    padded = f"(' ' || {word} || ' ')"
+    return f"list_transform(range(1, length({word}) + {4 - n}), lambda i: substr({padded}, i, {n}))"
+
+
+@query("op11_language_id", _language_sql())
+def op11_language_id(spark, d):
+    docs = table(spark, d, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    held_out = F.coalesce(remainder == 2, F.lit(False))
+    model = language.fit(docs.filter(~held_out))
+    out = language.identify(docs, model, "doc_id", "text", held_out.alias("held_out"))
+    return out.withColumn("score", F.round("score", 6))
+
+
+_TRIE = rf"""
+WITH h AS (SELECT conv_id, {_crc32_sql("conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+own AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, ''))
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns FROM conversations GROUP BY conv_id),
+s AS (SELECT h.conv_id, list_concat(coalesce(b.turns, [])[1:h], o.turns[h + 1:]) AS s
+    FROM h JOIN own o USING (conv_id) LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
+pre AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS depth FROM s),
+nodes AS (SELECT s[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len(s)), '')) AS ends_sha256
+    FROM pre GROUP BY 1, 2),
+w AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(node[depth].x, '[^ 	-]+')) END AS words FROM nodes),
+kids AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+n AS (SELECT w.*, coalesce(n_children, 0) AS n_children FROM w LEFT JOIN kids USING (node)),
+below AS (SELECT a.node, sum((b.n_children = 0)::INT) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved_tokens
+    FROM n a JOIN n b ON b.depth >= a.depth AND b.node[1:a.depth] = a.node GROUP BY a.node)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves::BIGINT AS n_leaves,
+    saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN below USING (node) LEFT JOIN n p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1] AND p.depth = n.depth - 1
+"""
+
+
+def shared_heads(symbols, members):
+    """Conversations rebuilt to share their beginnings: the first h turns of conversation c - c % 20, then c's own turns
+    after its first h, where h = crc32(c) % 4."""
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    base = F.col("conv_id") - F.col("conv_id") % 20
+    heads = symbols.filter((F.col("conv_id") % 20 == 0) & (F.col("pos") < 3)).withColumnRenamed("conv_id", "base")
+    sizes = heads.groupBy("base").agg(F.count(F.lit(1)).alias("size"))
+    put = members.select("conv_id", base.alias("base"), h.alias("h")).join(heads, "base").filter("pos < h")
+    shift = F.least("h", F.coalesce("size", F.lit(0))) - F.col("h")
+    own = symbols.withColumns({"base": base, "h": h}).filter("pos >= h").join(sizes, "base", "left").withColumn("pos", F.col("pos") + shift)
+    columns = ["conv_id", F.col("pos").cast("bigint").alias("pos"), "symbol", "words"]
+    return put.select(*columns).unionByName(own.select(*columns))
+
+
+@query("op12_prefix_trie", _TRIE)
+def op12_prefix_trie(spark, d):
+    rows = table(spark, d, "conversations")
+    with Scratch(spark) as scratch:
+        members = scratch.table(rows.filter("conv_id is not null").select("conv_id").distinct())
+        symbols = scratch.table(tries.turn_symbols(rows))
+        symbols = scratch.table(shared_heads(symbols, members))
+        trie = tries.prefix_trie(symbols, members, scratch)
+        return kept(
+            trie.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+        )
+
+
+def _repair_sql() -> str:
+    """The same damage, faults and edits in SQL; the edits by a recursion over (cost, audit) pairs."""
+
+    def put(letter: str, cost: int | str, x: str) -> str:
+        return f"{{'c': {x}.c + {cost}, 'a': '{letter}' || {x}.a}}"
+
+    def least(*xs: str) -> str:
+        return f"list_sort([{', '.join(xs)}])[1]"
+
+    def row(q: str, initial: str | None, kept: str | None, changed: str) -> str:
+        keep = f"CASE WHEN stays AND i = '{initial}' THEN {put('K', 'extra', kept)} END" if initial else None
+        change = f"CASE WHEN stays THEN {put('R', '3 + extra', changed)} END"
+        return f"list_sort(list_filter([{', '.join(x for x in (put('D', 4, q), keep, change) if x)}], lambda x: x IS NOT NULL))[1]"
+
+    crc = _crc32_sql("k")
+    return rf"""
+WITH RECURSIVE told AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+hit AS (SELECT *, {crc} % 20 AS kind FROM told),
+changed AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, kind FROM hit WHERE kind <> 0),
+twice AS (SELECT conv_id, turn, role, text FROM changed UNION ALL SELECT conv_id, turn, role, text FROM changed WHERE kind = 3),
+rows AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+    count(*) OVER (PARTITION BY conv_id) AS size FROM twice),
+marked AS (SELECT *, left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+        WHEN regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault FROM rows),
+coded AS (SELECT conv_id, size - n + 1 AS k, i, fault IN ('fine', 'truncated') AS stays,
+    CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra FROM marked),
+best AS (SELECT DISTINCT conv_id, 0::BIGINT AS k, {{'c': 0, 'a': ''}} AS q, {{'c': 6, 'a': 'II'}} AS s, {{'c': 3, 'a': 'I'}} AS u, {{'c': 0, 'a': ''}} AS a FROM conversations
+    UNION ALL SELECT conv_id, k, {least('q', put('I', 3, 'w'))}, {least('s', put('I', 3, 'w'))}, w, {least('a', put('I', 3, 'u'))} FROM (
+        SELECT *, {least('u', put('I', 3, 'a'))} AS w FROM (
+            SELECT b.conv_id, c.k, {least("list_sort(list_filter([" + put('D', 4, 'b.q') + ", CASE WHEN stays AND i = 's' THEN " + put('K', 'extra', 'b.s') + " END, CASE WHEN stays AND i = 'u' THEN " + put('K', 'extra', 'b.u') + " END, CASE WHEN stays THEN " + put('R', '3 + extra', 'b.u') + " END], lambda x: x IS NOT NULL))[1]")} AS q,
+                {row('b.s', 'u', 'b.u', 'b.u')} AS s, {row('b.u', 'a', 'b.a', 'b.a')} AS u, {row('b.a', 'u', 'b.u', 'b.u')} AS a
+            FROM best b JOIN coded c ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND c.k = b.k + 1))),
+done AS (SELECT conv_id, max_by(q, k) AS w FROM best GROUP BY conv_id),
+held AS (SELECT conv_id, list({{'r': role, 't': text}} ORDER BY n) AS rows FROM rows GROUP BY conv_id),
+walk AS (SELECT d.conv_id, w.a AS audit, rows, 0 AS p, 0 AS used, '' AS last, []::VARCHAR[] AS out FROM done d LEFT JOIN held h ON h.conv_id IS NOT DISTINCT FROM d.conv_id
+    UNION ALL SELECT conv_id, audit, rows, p + 1, used + (e <> 'I')::INT, CASE WHEN e = 'D' THEN last ELSE left(r, 1) END,
+        CASE WHEN e = 'D' THEN out ELSE list_append(out, r || ':' || t) END FROM (
+        SELECT *, CASE WHEN e = 'K' THEN rows[used + 1].r WHEN last = 'u' THEN 'assistant' ELSE 'user' END AS r,
+            CASE WHEN e = 'I' THEN '' ELSE rows[used + 1].t END AS t FROM (SELECT *, substr(audit, p + 1, 1) AS e FROM walk WHERE p < length(audit)))),
+texts AS (SELECT conv_id, sha256(array_to_string(max_by(out, p), chr(10))) AS repaired_sha256 FROM walk GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY conv_id)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, w.c::BIGINT AS cost, w.a AS audit, repaired_sha256
+FROM done d JOIN texts t ON t.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+
+@query("op13_conversation_repair", _repair_sql())
+def op13_conversation_repair(spark, d):
+    rows = table(spark, d, "conversations")
+    made = repair.repair_conversations(repair.damaged(rows), rows.select("conv_id").distinct())
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    return made.withColumn("repaired_sha256", F.sha2(F.array_join(lines, "\n"), 256)).drop("turns")
