@@ -280,18 +280,36 @@ def judge(docs: DataFrame, field: Field | None, id_column: str = "doc_id", text_
 
 
 def keep_good(docs: DataFrame, field: Field | None, text_column: str = "text") -> DataFrame:
-    """The documents that ``judge`` keeps, all columns unchanged, without a shuffle."""
-    schema = docs.schema
-    at = docs.columns.index(text_column)
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bodies = [(t.as_py() or "").encode() for t in batch.column(at)]
-            ids = pa.array(range(len(bodies)), pa.int64())
-            pair = pa.RecordBatch.from_arrays([ids, pa.array(bodies, pa.binary())], names=["id", "body"])
-            (row,) = _measured([pair], field)
+    """The documents that ``judge`` keeps, all columns unchanged, without a shuffle.
+
+    Only the texts go to Python, and a yes or no comes back; the rows stay where they are.  A document with a null or
+    empty text goes, null ids and repeated rows are judged like any other, an empty table stays empty.
+    """
+
+    @F.arrow_udf("boolean")
+    def good(bodies: pa.Array) -> pa.Array:
+        out = []
+        for part in _parts(bodies):
+            ids = pa.nulls(len(part), pa.int64())
+            (row,) = _measured([pa.RecordBatch.from_arrays([ids, part], names=["id", "body"])], field)
             n, repeated, content = (row.column(i).to_numpy(zero_copy_only=False) for i in (1, 5, 8))
-            stays = (n >= LEAST_WORDS) & (100 * repeated <= MOST_REPEATED * n) & (content >= KEEP_SHARE * n)
-            yield batch.filter(pa.array(stays))
+            out.append((n >= LEAST_WORDS) & (100 * repeated <= MOST_REPEATED * n) & (content >= KEEP_SHARE * n))
+        return pa.array(np.concatenate(out) if out else [], pa.bool_())
+
+    return docs.filter(good(text_of(text_column).cast("binary")))
+
+
+PART_BYTES = 2 << 20  # texts whose features are held at once, but for a single longer one
+
 
-    return docs.mapInArrow(kept, schema)
+def _parts(bodies: pa.Array) -> Iterator[pa.Array]:
+    """The array in slices of up to ``PART_BYTES``."""
+    start, size = 0, 0
+    for i, body in enumerate(bodies):
+        n = len(body.as_buffer()) if body.is_valid else 0
+        if i > start and size + n > PART_BYTES:
+            yield bodies.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if len(bodies) > start:
+        yield bodies.slice(start)

@@ -6,11 +6,12 @@ Everything is DataFrame expressions.  Only candidates are shuffled, as hashes wi
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortspark.llm.common import kept, text_of
 
@@ -18,7 +19,9 @@ from cohortspark.llm.common import kept, text_of
 @dataclass(frozen=True)
 class Kind:
     """``pattern`` finds leftmost matches; a match stays when ``group`` has ``least`` characters.  ``gate`` is a
-    cheaper pattern that every text with such a match has.  Kinds that are not ``base`` count only when owned."""
+    cheaper pattern that every text with such a match has.  Kinds that are not ``base`` count only when owned.
+
+    ``gate`` lets a text without a match skip the search; it may let one pass, never stop a match."""
 
     name: str
     pattern: str
@@ -54,50 +57,100 @@ MAX_OWNERS, MAX_REPOSITORIES = 2, 4
 _SPAN = "struct<start:int,kind:int,stop:int,value:binary>"
 
 
-def _found(text: Column, number: int, kind: Kind) -> Column:
-    """Spans of one kind: the pieces between matches and the matches alternate, so their lengths give the places."""
-    pieces = F.split(text, kind.pattern, -1)
-    whole = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group)) if kind.group else whole
-    zipped = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(whole)).alias("gap"), whole.alias("match"), value.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,value:string>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["match"])
-        span = F.struct(begin.alias("start"), end.alias("stop"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
-
-    spans = F.aggregate(zipped, start, step, lambda acc: acc["out"])
-    stays = F.filter(
-        spans,
-        lambda s: (F.length(s["value"]) >= kind.least) & (s["value"].rlike(kind.needs) if kind.needs else F.lit(True)),
-    )
-    made = F.transform(
-        stays,
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            F.lit(number).alias("kind"),
-            s["stop"].alias("stop"),
-            F.unhex(F.sha2(s["value"], 256)).alias("value"),
-        ),
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once; used inside a function of array elements, an expression is worked
+    out again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(numbers: Column, first: Column) -> Column:
+    return F.aggregate(
+        numbers,
+        F.struct(first.alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.array_append(acc["out"], acc["at"] + n).alias("out")),
+        lambda acc: acc["out"],
     )
-    return F.when(text.rlike(kind.gate), made).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
-def _free(spans: Column, kinds: Sequence[Kind]) -> Column:
-    """Spans without those of added kinds that overlap a base span."""
-    base = [i for i, k in enumerate(kinds) if k.base]
+def _ends(lengths: Column) -> Column:
+    """Running sums of an array of whole numbers.  Sums are taken in blocks of about the root of its size, since adding
+    one element to an array copies it."""
+    size = F.size(lengths)
+    block = F.greatest(F.ceil(F.sqrt(size)).cast("int"), F.lit(1))
+    # a sequence must not run from 0 down to -1
+    starts = F.when(size > 0, F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)), block)).otherwise(F.array().cast("array<int>"))
+    blocks = F.transform(starts, lambda i: F.slice(lengths, i + 1, block))
+
+    def summed(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda acc, n: acc + n))
+        before = F.concat(F.array(F.lit(0)), _running(totals, F.lit(0)))
+        return _let(before, lambda at: F.flatten(F.transform(blocks, lambda b, i: _running(b, F.get(at, i)))))
 
-    def clear(s: Column) -> Column:
-        return ~F.exists(
-            spans, lambda o: o["kind"].isin(base) & (o["start"] < s["stop"]) & (s["start"] < o["stop"])
+    return _let(blocks, summed)
+
+
+def _found(text: Column, number: int, kind: Kind) -> Column:
+    """Spans of one kind: the pieces between matches and the matches alternate, so their lengths give the places."""
+
+    def spans(whole: Column) -> Column:
+        value = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group)) if kind.group else whole
+        gaps = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(whole))
+        lengths = F.zip_with(gaps, whole, lambda g, m: F.length(g) + F.length(m))
+        ends = _let(lengths, _ends)
+        stays = F.filter(
+            F.arrays_zip(ends.alias("stop"), whole.alias("match"), value.alias("value")),
+            lambda s: (F.length(s["value"]) >= kind.least) & (s["value"].rlike(kind.needs) if kind.needs else F.lit(True)),
+        )
+        return F.transform(
+            stays,
+            lambda s: F.struct(
+                (s["stop"] - F.length(s["match"])).alias("start"),
+                F.lit(number).alias("kind"),
+                s["stop"].alias("stop"),
+                F.unhex(F.sha2(s["value"], 256)).alias("value"),
+            ),
         )
 
-    return F.filter(spans, lambda s: s["kind"].isin(base) | clear(s))
+    made = _let(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), spans)
+    return F.when(text.rlike(kind.gate), made).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
-_MARKED = "array<struct<start:int,kind:int,stop:int,live:boolean>>"
+_MARKED = "array<struct<start:int,kind:int,stop:int,live:boolean,reach:int>>"
+
+
+def _marked(places: DataFrame, kinds: Sequence[Kind], max_owners: int, max_repositories: int) -> DataFrame:
+    """``key`` and ``found`` of every distinct text in ``places`` (key, owner, repository, all): its spans by start, then
+    kind, with ``live`` and ``reach``, where the live spans before it end.  Spans are rows here, so a text with many of
+    them is sorted like any other rows."""
+    base = F.col("kind").isin([i for i, k in enumerate(kinds) if k.base])
+    spans = places.select("key", "all").dropDuplicates(["key"]).select("key", F.explode("all").alias("s")).select("key", "s.*")
+    # added kinds stay where they overlap no base span: none that starts before it ends behind its start, and the first
+    # that starts behind it starts behind its end
+    ahead = Window.partitionBy("key").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    behind = Window.partitionBy("key").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
+    left, right = F.max(F.when(base, F.col("stop"))).over(ahead), F.min(F.when(base, F.col("start"))).over(behind)
+    free = spans.withColumns({"left": left, "right": right})
+    clear = (F.coalesce("left", F.col("start")) <= F.col("start")) & (F.coalesce("right", F.col("stop")) >= F.col("stop"))
+    free = kept(free.filter(base | clear).drop("left", "right"))
+    # a text with more (owner, repository) pairs than this has too many owners or too many repositories, so the pairs
+    # beyond decide nothing
+    pairs = places.select("key", "owner", "repository").distinct()
+    first = Window.partitionBy("key").orderBy("owner", "repository")
+    pairs = pairs.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= max_owners * max_repositories + 1)
+    shares = (
+        free.select("key", "value").distinct()
+        .join(pairs.drop("n"), "key")
+        .select("value", "owner", "repository")
+        .distinct()
+        .groupBy("value")
+        .agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories"))
+    )
+    few = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+    judged = free.join(shares.select("value", few.alias("live")), "value").filter(base | F.col("live"))
+    order = Window.partitionBy("key").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max(F.when(F.col("live"), F.col("stop"))).over(order), F.lit(0))
+    found = F.sort_array(F.collect_list(F.struct("start", "kind", "stop", "live", "reach")))
+    return judged.withColumn("reach", reach).groupBy("key").agg(found.alias("found"))
 
 
 def _scanned(
@@ -123,29 +176,17 @@ def _scanned(
         *more,
     )
     carried = ["doc_id", *(["text", "row"] if whole_rows else [])]
-    seen = rows.select(*carried, "owner", "repository", spans.alias("all"))
-    seen = seen.withColumn("all", _free(F.col("all"), kinds))
-    places = kept(seen.filter(F.size("all") > 0).select("owner", "repository", "all"))
-    # distinct (value, owner, repository) first, with partial sums, so a value in a third of all rows is small
-    values = F.array_distinct(F.transform("all", lambda s: s["value"]))
-    shares = (
-        places.select("owner", "repository", F.explode(values).alias("value"))
-        .distinct()
-        .groupBy("value")
-        .agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories"))
-    )
-    few = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
-    live = shares.select("value", few.alias("live"))
-    # documents with the same spans and values share one list, so copies of a document are judged once
-    lists = places.select(F.col("all").alias("list")).distinct()
-    each = lists.select("list", F.explode("list").alias("s")).select("list", "s", F.col("s.value").alias("value"))
-    mark = F.struct("s.start", "s.kind", "s.stop", "live")
-    marked = kept(each.join(live, "value").groupBy("list").agg(F.collect_list(mark).alias("marked")))
-    base = [i for i, k in enumerate(kinds) if k.base]
-    found = F.array_sort(F.filter("marked", lambda s: s["kind"].isin(base) | s["live"]))
-    some = seen.filter(F.size("all") > 0).join(marked, F.col("all") == F.col("list")).select(*carried, found.alias("found"))
-    none = seen.filter(F.size("all") == 0).select(*carried, F.array().cast(_MARKED).alias("found"))
-    return none.unionByName(some)
+    # copies of a text are judged once, under its digest
+    key = F.unhex(F.sha2("text", 256))
+    some = F.lit(False)
+    for k in kinds:
+        some = some | F.col("text").rlike(k.gate)
+    places = kept(rows.filter(some).select(key.alias("key"), "owner", "repository", spans.alias("all")).filter(F.size("all") > 0))
+    marked = kept(_marked(places, kinds, max_owners, max_repositories))
+    none = F.array().cast(_MARKED)
+    hit = rows.filter(some).select(*carried, key.alias("key")).join(marked, "key", "left")
+    hit = hit.select(*carried, F.coalesce("found", none).alias("found"))
+    return rows.filter(~some).select(*carried, none.alias("found")).unionByName(hit)
 
 
 def scan_secrets(
@@ -158,14 +199,14 @@ def scan_secrets(
     max_owners: int = MAX_OWNERS,
     max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
-    """One row per document: ``doc_id`` and ``found``, all spans by start, then kind: start, kind, stop, live.
+    """One row per document: ``doc_id`` and ``found``, all spans by start, then kind: start, kind, stop, live, reach.
 
     A value shared by at most ``max_owners`` owners and ``max_repositories`` repositories over all documents looks
     live, any other is a copied example.  Base spans are always in ``found``; spans of added kinds only when they look
     live and overlap no base span.  ``repository`` and ``owner`` default to the column ``source`` where there is one;
     nulls count as one owner.  Offsets are code points, ends exclusive.  Null texts are empty; repeated rows come back
     each; other columns are not read; an empty table gives an empty result.  Documents without a candidate are not
-    shuffled.
+    shuffled.  A text may hold any number of spans: each is a row of its own until it is judged.
     """
     return _scanned(
         docs, id_column, text_column, repository, owner, kinds, max_owners, max_repositories, whole_rows=False
@@ -179,8 +220,11 @@ def redact_secrets(
     mark: str = "[SECRET]",
     **options,
 ) -> DataFrame:
-    """The documents with every span that ``scan_secrets`` finds replaced by ``mark``; all columns stay, and documents
-    without a span are unchanged."""
+    """The documents with every span that looks live replaced by ``mark``, spans that overlap by one; all columns stay.
+
+    Copied examples, and documents without a live span, are unchanged; a null text stays null.  Null ids and repeated
+    rows come back as they are; an empty table gives an empty result.
+    """
     settings = {
         "repository": None,
         "owner": None,
@@ -189,17 +233,19 @@ def redact_secrets(
         "max_repositories": MAX_REPOSITORIES,
     }
     rows = _scanned(docs, id_column, text_column, whole_rows=True, **(settings | options))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    # four bytes a character, so a piece is found by its place; the mark of byte order in front is not part of the text
+    order = F.unhex(F.lit("0000FEFF"))
+    live = F.filter("found", lambda s: s["live"])
 
-    def step(acc: Column, s: Column) -> Column:
-        text = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        return F.struct(
-            F.greatest(acc["at"], s["stop"]).alias("at"),
-            F.when(s["start"] >= acc["at"], text).otherwise(acc["out"]).alias("out"),
-        )
+    def clean_text(wide: Column) -> Column:
+        def piece(start: Column, n: Column) -> Column:
+            return F.decode(F.concat(order, F.substring(wide, start * 4 + 1, n * 4)), "UTF-32")
+
+        pieces = F.transform(F.filter(live, lambda s: s["start"] >= s["reach"]), lambda s: piece(s["reach"], s["start"] - s["reach"]))
+        end = F.array_max(F.transform(live, lambda s: s["stop"]))
+        return F.concat(F.array_join(pieces, mark), F.lit(mark), piece(end, F.length("text") - end))
 
-    rest = F.lit(2**31 - 1)
-    clean = F.aggregate("found", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, rest)))
-    clean = F.when(F.size("found") == 0, F.col(f"row.`{text_column}`").cast("string")).otherwise(clean)
+    same = F.col(f"row.`{text_column}`").cast("string")
+    clean = F.when(F.size(live) == 0, same).otherwise(_let(F.encode("text", "UTF-32"), clean_text))
     columns = [clean.alias(c) if c == text_column else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     return rows.select(*columns)
