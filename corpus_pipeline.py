@@ -49,7 +49,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed sequences of ``documents``; each stage is stored as a table of the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    scratch = Scratch(spark)
+    before = None
     for _, stage in STAGES:
+        scratch = Scratch(spark)
         docs = scratch.table(stage(spark, docs, sf_dir))
+        if before:
+            before.__exit__()  # the stage is written, so nothing reads the one before it again
+        before = scratch
     return docs
