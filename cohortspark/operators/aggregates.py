@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.operators.grouped import (
-    TARGET_ROWS,
     large_groups,
     match,
     micros,
@@ -46,14 +45,10 @@ def median_by(
     rows; groups of larger entities go through counted values and running sums, which no single task holds.
     """
     plain = [F.median(c).alias(c) for c in columns]
-    large = large_groups(df, [entity], target_rows)
-    if large is None:
-        return df.groupBy(*keys).agg(*plain)
-    limit = target_rows or TARGET_ROWS
-    large = F.broadcast(large.select(entity))
+    large = F.broadcast(large_groups(df, [entity], target_rows))  # at most rows / target_rows ids
     few = df.join(large, entity, "left_anti").groupBy(*keys).agg(*plain)
     many = df.join(large, entity, "left_semi")
-    long = quantiles(unpivot(many, keys, columns), [*keys, "signal"], "value", {"_m": 0.5}, limit)
+    long = quantiles(unpivot(many, keys, columns), [*keys, "signal"], "value", {"_m": 0.5}, target_rows)
     wide = long.groupBy(*keys).agg(*[F.max(F.when(F.col("signal") == c, F.col("_m"))).alias(c) for c in columns])
     return few.unionByName(match(many.select(*keys).distinct(), wide, keys))
 

@@ -2,17 +2,19 @@
 
 A window function sorts a whole group in one task, so one key that holds a third of all rows decides the run time.
 The functions here give the same results as the plain window functions, but cut every group above ``TARGET_ROWS``
-into pieces at quantiles of its order column:
+into pieces along its order:
 
 * the window runs per (group, piece), so no task sorts more than about one piece;
 * what a piece needs from the pieces before or after it (a count, a sum, a last value) is one row per piece,
   worked out from pre-aggregated rows and joined back.
 
-Groups below the target stay whole, and when there is no large group the plan is the plain window.  Finding that out
-is one column-pruned count per group, run when the operator is called (as ``approxQuantile`` does); what comes back to
-the driver are the cut points of large groups only, at most ``2 * rows / TARGET_ROWS`` numbers.  That bound also lets
-the cut points and the carried rows be broadcast.  When all files a frame reads are below ``SMALL_INPUT`` bytes no group
-can be large and no count is run; giving ``target_rows`` always runs it.  Callers that know better pass ``split``.
+There is one plan for all inputs, and nothing runs before an action.  Rows chosen by a hash of their values place the
+cuts, so the cuts are a function of the data: they come out the same in every branch of a plan and after a lost
+executor.  Groups below the target have no cuts and stay whole; where no group has any, the joins meet an empty side
+and the adaptive plan leaves them out.  What remains is one more pass over the input for the chosen rows.
+
+Cut points and carried rows are at most ``2 * rows / TARGET_ROWS`` rows of a few values (a million for 2e12 rows),
+which is why they are broadcast.  Callers that know better pass ``split``.
 """
 
 from __future__ import annotations
@@ -24,10 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 TARGET_ROWS = 4_000_000
-SMALL_INPUT = 64 * 1024 * 1024
-MAX_PIECES = 1024
 SAMPLES = 1000  # rows per piece that place its cut
-STRIDE = 32
 WHOLE = "whole"
 PIECE = "_piece"
 CUTS = "_cuts"
@@ -53,28 +52,6 @@ def from_micros(us: Column) -> Column:
     return F.timestamp_add("MICROSECOND", us, epoch())
 
 
-def order_number(df: DataFrame, column: str) -> Column:
-    """The order column as a number that never falls: timestamps become microseconds, texts their first bytes."""
-    kind = df.schema[column].dataType.typeName()
-    if kind == "timestamp_ntz":
-        return micros(column)
-    if kind == "timestamp":
-        return F.unix_micros(F.col(column))
-    if kind == "date":
-        return F.unix_date(F.col(column))
-    if kind == "string":  # the first six bytes: texts that agree in them lie in the same piece
-        head = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("bigint")
-    return F.col(column)
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether everything the frame reads is below ``SMALL_INPUT`` bytes (unknown sizes count as large)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return total <= SMALL_INPUT
-
-
 def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on keys where null meets null; the key columns of ``left`` are kept."""
     renamed = right
@@ -87,94 +64,85 @@ def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "le
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], target_rows: int | None = None) -> DataFrame | None:
-    """Groups of more than ``target_rows`` rows with their size ``_n``; None when there are none."""
-    if target_rows is None and is_small(df):
-        return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > (target_rows or TARGET_ROWS))
-    return _kept(counts)
-
+def large_groups(df: DataFrame, keys: Sequence[str], target_rows: int | None = None) -> DataFrame:
+    """Groups of more than ``target_rows`` rows: at most ``rows / target_rows``."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > (target_rows or TARGET_ROWS)).select(*keys)
 
-def _kept(few: DataFrame) -> DataFrame | None:
-    """Rows of a frame that is small by construction, held as values; None when it is empty."""
-    rows = few.collect()
-    return few.sparkSession.createDataFrame(rows, few.schema) if rows else None
 
-
-def _strided(flat: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(0), F.size(flat) - 1, F.lit(STRIDE)), lambda i: F.slice(flat, i + 1, STRIDE)
-    )
+def _position(order: str, ties: Sequence[str]) -> Column:
+    """Where a row stands; positions compare like the order of a window, nulls first."""
+    return F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate([order, *ties])])
 
 
 def split_points(
-    df: DataFrame, keys: Sequence[str], order: str, target_rows: int | None = None
-) -> DataFrame | None:
-    """Cut points of the groups that hold more than ``target_rows`` rows; None when there are none.
+    df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = (), target_rows: int | None = None
+) -> DataFrame:
+    """Ascending cut points ``_cuts`` of the groups that hold more than about ``target_rows`` rows; no row for others.
 
-    ``target_rows`` defaults to ``TARGET_ROWS``.  One row per such group, with ``_cuts``: rows of ``STRIDE`` ascending
-    cut values, found in two short steps.
+    Every ``stride``-th row by a hash of all its columns is looked at; each time as many of them as stand for a target's
+    worth of rows have gone by, there is a cut.
     """
-    counts = large_groups(df, keys, target_rows)
-    if counts is None:
-        return None
     target = target_rows or TARGET_ROWS
-    rows = df.select(*keys, order_number(df, order).cast("double").alias("_o"))
-    # where exactly the cuts lie changes the balance of the pieces and never a result, so a sample places them
-    rows = rows.sample(fraction=min(1.0, SAMPLES / target), seed=7)
-    fractions = ",".join(str(i / MAX_PIECES) for i in range(1, MAX_PIECES))
-    if keys:
-        rows = match(rows, F.broadcast(counts), keys, "inner")
-    else:
-        rows = rows.withColumn("_n", F.lit(counts.first()["_n"]))
-    quantiles = rows.groupBy(*keys).agg(
-        F.max("_n").alias("_n"),
-        F.expr(f"percentile_approx(_o, cast(split('{fractions}', ',') AS array<double>), {8 * MAX_PIECES})").alias("_q"),
-    )
-    pieces = F.least(F.lit(MAX_PIECES), F.ceil(F.col("_n") / target)).cast("int")
-    picked = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(1), pieces - 1),
-            lambda i: F.element_at("_q", F.floor(i * MAX_PIECES / pieces).cast("int")),
-        )
-    )
-    cuts = quantiles.withColumn("_flat", picked).select(*keys, _strided(F.col("_flat")).alias(CUTS))
-    return _kept(cuts.filter(F.col(CUTS).isNotNull()))
-
-
-def grid_split(bounds: DataFrame, keys: Sequence[str], steps: str, target_rows: int | None = None) -> DataFrame | None:
+    stride = max(1, target // SAMPLES)
+    rows = df
+    if stride > 1:
+        hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+        rows = df.filter(F.pmod(F.xxhash64(*hashed), F.lit(stride)) == 0)
+    rows = rows.select(*keys, _position(order, ties).alias("_o"))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("_o"))
+    chosen = rows.withColumn("_r", number).filter(F.col("_r") % (target // stride) == 0)
+    cuts = chosen.groupBy(*keys).agg(F.sort_array(F.collect_set("_o")).alias(CUTS))
+    return cuts.filter(F.size(CUTS) > 0)
+
+
+def grid_split(bounds: DataFrame, keys: Sequence[str], steps: str, target_rows: int | None = None) -> DataFrame:
     """Cut points for series on a regular grid, from the number of grid steps per entity alone.
 
     A grid has one row per step, so equal cuts of the step number bound every piece without looking at the rows.
     """
     target = target_rows or TARGET_ROWS
-    flat = F.transform(
-        F.sequence(F.lit(1), F.ceil(F.col(steps) / target).cast("int") - 1), lambda i: i * F.lit(float(target)) - 0.5
-    )
-    large = bounds.filter(F.col(steps) > target).withColumn("_flat", flat)
-    return _kept(large.select(*keys, _strided(F.col("_flat")).alias(CUTS)))
+    numbers = F.sequence(F.lit(1), F.ceil(F.col(steps) / target).cast("int") - 1)
+    cuts = F.transform(numbers, lambda i: F.struct((i.cast("bigint") * F.lit(target).cast("bigint") - 1).alias("p0")))
+    return bounds.filter(F.col(steps) > target).select(*keys, cuts.alias(CUTS))
+
+
+def _piece(cuts: Column, position: Column) -> Column:
+    """How many cuts lie before the position, by halving."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+
+    def halved(acc: Column, _: Column) -> Column:
+        middle = F.shiftright(acc["lo"] + acc["hi"], 1)
+        open_, before = acc["lo"] < acc["hi"], F.get(cuts, middle) < position
+        return F.struct(
+            F.when(open_ & before, middle + 1).otherwise(acc["lo"]).alias("lo"),
+            F.when(open_ & ~before, middle).otherwise(acc["hi"]).alias("hi"),
+        )
+
+    return F.aggregate(rounds, start, halved, lambda acc: acc["lo"])
 
 
 def with_pieces(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
+    ties: Sequence[str] = (),
     split: DataFrame | str | None = None,
     target_rows: int | None = None,
 ) -> tuple[DataFrame, bool]:
-    """(frame with ``_piece``, whether any group is cut).  ``split``: cut points, ``WHOLE``, or None to find out."""
-    if split is None:
-        split = split_points(df, keys, order, target_rows)
-    if split is None or isinstance(split, str):
+    """(frame with ``_piece``, whether groups may be cut).  ``split``: cut points, ``WHOLE``, or None to place them."""
+    if isinstance(split, str):
         return df.withColumn(PIECE, F.lit(0)), False
+    if split is None:
+        split = split_points(df, keys, order, ties, target_rows)
+    else:
+        ties = ()
     if keys:
         df = match(df, F.broadcast(split), keys)
     else:
         df = df.withColumn(CUTS, split.select(CUTS).scalar())
-    o = order_number(df, order).cast("double")
-    row = F.size(F.filter(CUTS, lambda r: r[0] < o))
-    inside = F.size(F.filter(F.element_at(CUTS, F.greatest(row, F.lit(1))), lambda c: c < o))
-    piece = F.when(F.col(CUTS).isNull() | (row == 0), 0).otherwise((row - 1) * STRIDE + inside)
+    piece = F.when(F.col(CUTS).isNull(), 0).otherwise(_piece(F.col(CUTS), _position(order, ties)))
     return df.withColumn(PIECE, piece.cast("int")), True
 
 
@@ -192,8 +160,8 @@ def _with_carry(
 ) -> DataFrame:
     """Join to ``out`` what each piece of a large group needs from the others.
 
-    ``sums`` are aggregates per piece, ``carry`` turns them into values over the order of the pieces.  Without cut
-    groups the carried columns are null.
+    ``sums`` are aggregates per piece, ``carry`` turns them into values over the order of the pieces.  For groups that
+    are not cut the carried columns are null.
     """
     if not cut:
         kinds = pieces.groupBy(*keys, PIECE).agg(*[c.alias(n) for n, c in sums.items()]).schema
@@ -226,7 +194,7 @@ def number_rows(
     target_rows: int | None = None,
 ) -> DataFrame:
     """``row_number``, ``rank`` or ``dense_rank`` by ``order`` (then ``ties``) inside ``keys``."""
-    pieces, cut = with_pieces(df, keys, order, split, target_rows)
+    pieces, cut = with_pieces(df, keys, order, ties, split, target_rows)
     w = _window(keys, [order, *ties])
     local = {"row_number": F.row_number(), "rank": F.rank(), "dense_rank": F.dense_rank()}[method].over(w)
     levels = F.count(F.lit(1))
@@ -252,34 +220,29 @@ def running_sum(
 ) -> DataFrame:
     """Running totals up to and including the row; ``sums`` maps new column to summed column.
 
-    ``order`` must be unique inside a group (sum ties up first).  ``totals`` adds sums over the whole group: in the
-    same window when no group is cut, else from an aggregate.
+    ``order`` must be unique inside a group (sum ties up first).  ``totals`` adds sums over the whole group.
     """
     totals = totals or {}
-    pieces, cut = with_pieces(df, keys, order, split, target_rows)
+    pieces, cut = with_pieces(df, keys, order, (), split, target_rows)
     by = F.desc(order) if descending else F.asc(order)
     w = Window.partitionBy(*keys, PIECE).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
     over = _after(keys) if descending else _before(keys)
+    whole = Window.partitionBy(*keys, PIECE)
+    local = {n: F.sum(c).over(w) for n, c in sums.items()} | {n: F.sum(c).over(whole) for n, c in totals.items()}
+    all_pieces = Window.partitionBy(*keys)
     out = _with_carry(
-        pieces.withColumns({n: F.sum(c).over(w) for n, c in sums.items()}),
+        pieces.withColumns(local),
         pieces,
         cut,
         keys,
-        {f"_c_{n}": F.sum(c) for n, c in sums.items()},
-        {f"_c_{n}": F.sum(f"_c_{n}").over(over) for n in sums},
+        {f"_c_{n}": F.sum(c) for n, c in (sums | totals).items()},
+        {f"_c_{n}": F.sum(f"_c_{n}").over(over) for n in sums} | {f"_c_{n}": F.sum(f"_c_{n}").over(all_pieces) for n in totals},
     )
     out = out.withColumns(
         {n: F.coalesce(F.col(n) + F.col(f"_c_{n}"), F.col(n), F.col(f"_c_{n}")) for n in sums}
+        | {n: F.coalesce(f"_c_{n}", n) for n in totals}
     )
-    whole = {n: F.sum(c) for n, c in totals.items()}
-    if not cut:
-        out = out.withColumns({n: c.over(Window.partitionBy(*keys, PIECE)) for n, c in whole.items()})
-    elif keys and whole:
-        out = match(out, df.groupBy(*keys).agg(*[c.alias(n) for n, c in whole.items()]), keys)
-    elif whole:
-        row = df.agg(F.struct(*[c.alias(n) for n, c in whole.items()])).scalar()
-        out = out.withColumn("_t", row).withColumns({n: F.col(f"_t.{n}") for n in whole}).drop("_t")
-    return out.drop(*[f"_c_{n}" for n in sums], PIECE, CUTS)
+    return out.drop(*[f"_c_{n}" for n in sums | totals], PIECE, CUTS)
 
 
 def previous_next(
@@ -294,7 +257,7 @@ def previous_next(
 ) -> DataFrame:
     """Value of the row before (``previous``: new column -> source) and after (``following``)."""
     previous, following = previous or {}, following or {}
-    pieces, cut = with_pieces(df, keys, order, split, target_rows)
+    pieces, cut = with_pieces(df, keys, order, ties, split, target_rows)
     w = _window(keys, [order, *ties])
     position = F.struct(order, *ties)
     sums, carry, new = {}, {}, {}
@@ -327,7 +290,7 @@ def fill(
     Both directions look from the first row of the window to the current one, once ascending and once descending:
     a frame that ends at the last row would be re-read for every row.
     """
-    pieces, cut = with_pieces(df, keys, order, split, target_rows)
+    pieces, cut = with_pieces(df, keys, order, ties, split, target_rows)
     position = F.struct(order, *ties)
     up = Window.partitionBy(*keys, PIECE).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0)
     down = (

@@ -22,30 +22,40 @@ def interval_join(
     start: str,
     end: str,
     how: str = "left",
-    bucket_days: int = 1,
+    bucket_days: int | None = None,
 ) -> DataFrame:
     """Points joined to the intervals of the same subject with ``start <= t < end``.
 
     Every interval is listed once per bucket of days it touches and a point looks only into its own bucket, so the
-    equi-join key is (subject, bucket): a subject with a long history is spread over many tasks, and the pairs that
-    are compared are close to the pairs that match.  A point lies in one bucket, so no match is found twice.  The
-    listed intervals may be far more rows than the table they come from, which Spark's estimate does not see, so they
-    are sorted and merged, never broadcast.
+    equi-join key is (subject, bucket): a subject with a long history is spread over many tasks.  A point lies in one
+    bucket, so no match is found twice.  Unless given, a bucket is as long as the mean interval: then n intervals
+    of any lengths touch at most 3 n buckets, since their lengths add up to n buckets and each touches at most two more.
     """
     if how not in ("left", "inner"):
         raise ValueError("an interval is listed once per bucket, so only left and inner joins keep its rows right")
+    real = intervals.filter(F.col(start) < F.col(end))
+    # the last moment inside the interval
+    last = F.col(end) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.000001))
+
+    def day(ts: Column) -> Column:
+        return F.unix_date(ts.cast("date")).cast("bigint")
+
+    if bucket_days:
+        size = F.lit(bucket_days).cast("bigint")
+    else:
+        total = F.sum(day(last) - day(F.col(start)) + 1)
+        size = F.coalesce(real.agg(F.ceil(total / F.count(F.lit(1))).cast("bigint")).scalar(), F.lit(1).cast("bigint"))
 
     def bucket(ts: Column) -> Column:
-        return F.floor(F.unix_date(ts.cast("date")) / F.lit(bucket_days)).cast("int")
+        return F.floor(day(ts) / F.col("_size")).cast("bigint")
 
-    last = F.col(end) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0.000001))
     listed = (
-        intervals.filter(F.col(start) < F.col(end))
-        .withColumnRenamed(key, "_key")
+        real.withColumnRenamed(key, "_key")
+        .withColumn("_size", size)
         .withColumn("_bucket", F.explode(F.sequence(bucket(F.col(start)), bucket(last))))
-        .hint("merge")
+        .drop("_size")
     )
-    located = points.withColumn("_at", bucket(F.col(t)))
+    located = points.withColumn("_size", size).withColumn("_at", bucket(F.col(t))).drop("_size")
     on = (
         (F.col(key) == F.col("_key"))
         & (F.col("_at") == F.col("_bucket"))

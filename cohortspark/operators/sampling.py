@@ -135,14 +135,15 @@ def plain_id(df: DataFrame, column: str) -> Column:
 def nearest_neighbours(
     df: DataFrame, id_column: str, vector: str, k: int = 5, block_rows: int = 4096, seed=42, by: str | None = None
 ) -> DataFrame:
-    """Exact k nearest other rows by Euclidean distance, of the same ``by`` if given: (id, neighbour, place, found).
+    """Exact k nearest other rows by Euclidean distance, of the same ``by`` if given: (id, neighbour, place, found, c),
+    where ``c`` is the value of ``by`` (0 without).  Ids must differ inside a ``c``; the same id in another is another row.
 
     Rows are dealt by hash into blocks of about ``block_rows``; one task compares one block with another and returns
     only the k best per row, so neither a whole class nor all pairs ever meet in one place.
     """
     group = F.col(by) if by else F.lit(0)
     rows = df.select(plain_id(df, id_column).alias("id"), F.col(vector).alias("v"), group.alias("c"))
-    kind = rows.schema["id"].dataType.simpleString()
+    kind, class_kind = (rows.schema[c].dataType.simpleString() for c in ("id", "c"))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)), F.lit(1)).cast("int")
     if by:
         rows = rows.join(rows.groupBy("c").agg(blocks.alias("_blocks")), "c")
@@ -178,16 +179,16 @@ def nearest_neighbours(
             place = np.arange(len(row)) - np.searchsorted(row, row)
             row, col, d = (a[place < k] for a in (row, col, d))
             out.append(pd.DataFrame({"id": ids[i + row], "neighbour": others[col], "d": d}))
-        return pd.concat(out)
+        return pd.concat(out).assign(c=left["c"].iloc[0])
 
     found = (
         base.groupBy("c", "a", "b")
         .cogroup(against.groupBy("c", "a", "b"))
-        .applyInPandas(best, f"id {kind}, neighbour {kind}, d double")
+        .applyInPandas(best, f"id {kind}, neighbour {kind}, d double, c {class_kind}")
     )
-    w = Window.partitionBy("id").orderBy("d", "neighbour")
+    w = Window.partitionBy("c", "id").orderBy("d", "neighbour")
     near = found.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).drop("d")
-    return near.withColumn("found", F.count(F.lit(1)).over(Window.partitionBy("id")).cast("int"))
+    return near.withColumn("found", F.count(F.lit(1)).over(Window.partitionBy("c", "id")).cast("int"))
 
 
 def smote(
@@ -231,20 +232,24 @@ def _synthetic(rows: DataFrame, near: DataFrame, largest: Column, seed, by: Sequ
     ``by`` is empty where there is one class."""
     rows = rows.withColumn("_v", F.col("_v").cast("array<double>"))
     ranked = _ranked(rows, "_id", by, seed).withColumn("_new", largest - F.col("_size"))
-    alone = (F.col("_size") == 1) & (F.col("_new") > 0)
-    refusal = F.raise_error(F.lit("SMOTE needs at least two rows of the minority")).cast("bigint")
-    ranked = ranked.withColumn("_new", F.when(alone, refusal).otherwise(F.col("_new")))
     extra = (F.col("_rank") <= F.col("_new") % F.col("_size")).cast("bigint")
     copies = F.floor(F.col("_new") / F.col("_size")) + extra
     wanted = _repeated(ranked.withColumn("_copies", copies)).select("_id", "_c", "_v", "copy")
-    near = near.withColumnRenamed("id", "_id")
+    near = near.withColumnsRenamed({"id": "_id", "c": "_c"}) if by else near.withColumnRenamed("id", "_id").drop("c")
     draw = F.conv(F.substring(seeded_hash(f"{seed}n", "_id", "copy"), 1, 8), 16, 10).cast("bigint")
-    chosen = wanted.withColumn("_draw", draw).join(near, "_id").filter(F.col("place") == F.col("_draw") % F.col("found") + 1)
-    other = rows.select(F.col("_id").alias("neighbour"), F.col("_v").alias("_w"))
+    chosen = wanted.withColumn("_draw", draw).join(near, [*by, "_id"])
+    chosen = chosen.filter(F.col("place") == F.col("_draw") % F.col("found") + 1)
+    other = rows.select(*by, F.col("_id").alias("neighbour"), F.col("_v").alias("_w"))
     step = hash_fraction(f"{seed}l", "_id", "copy")
-    return chosen.join(other, "neighbour").select(
+    made = chosen.join(other, [*by, "neighbour"]).select(
         "_id", "copy", "neighbour", "_c", F.zip_with("_v", "_w", lambda a, b: a + step * (b - a)).alias("_v")
     )
+    # a row alone in its class meets no neighbour and would leave no trace in the join, so it is looked for beside it
+    alone = (F.col("_size") == 1) & (F.col("_new") > 0)
+    refusal = F.raise_error(F.lit("SMOTE needs at least two rows of the minority")).cast("boolean")
+    refused = ranked.filter(F.when(alone, refusal).otherwise(F.lit(False)))
+    none = F.lit(None).cast("bigint")
+    return made.unionByName(refused.select("_id", none.alias("copy"), F.col("_id").alias("neighbour"), "_c", "_v"))
 
 
 def class_weights(df: DataFrame, y: str, n: int) -> DataFrame:

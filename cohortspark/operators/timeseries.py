@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.operators.aggregates import column_medians, median_by
-from cohortspark.operators.grouped import WHOLE, fill, from_micros, grid_split, is_small, micros, previous_next
+from cohortspark.operators.grouped import fill, from_micros, grid_split, micros, previous_next
 from cohortspark.operators.windows import head_per_group
 
 HOUR_US = 3_600_000_000
@@ -46,12 +46,8 @@ def resample(
     no = F.floor(steps_away) if origin == "start" else F.ceil(steps_away)
     rows = rows.withColumn("_bin", no.cast("bigint"))
     binned = median_by(rows.drop("_us", "_steps"), [key, "_origin", "_bin"], columns, key, target_rows)
-    split = None
-    if origin == "start" and (target_rows is not None or not is_small(df)):
-        split = grid_split(bounds, [key], "_steps", target_rows)
-    if origin == "start":
-        split = split or WHOLE
-    binned = previous_next(binned, [key], "_bin", following={"_next": "_bin"}, split=split)
+    split = grid_split(bounds, [key], "_steps", target_rows) if origin == "start" else None
+    binned = previous_next(binned, [key], "_bin", following={"_next": "_bin"}, split=split, target_rows=target_rows)
     until = F.coalesce(F.col("_next") - 1, F.col("_bin"))
     out = binned.withColumn("_step", F.explode(F.sequence(F.col("_bin"), until)))
     here = F.col("_step") == F.col("_bin")
@@ -59,7 +55,7 @@ def resample(
         key, "_origin", "_step", *[F.when(here, F.col(c)).alias(c) for c in columns]
     )
     if fill_gaps:
-        out = fill(out, [key], "_step", columns, split=split)
+        out = fill(out, [key], "_step", columns, split=split, target_rows=target_rows)
     return out.select(key, from_micros(F.col("_origin") + F.col("_step") * step).alias(t), *columns)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.operators.metrics import classification_report
-from cohortspark.operators.sampling import hash_fraction, kfold, oversample, smote, undersample
+from cohortspark.operators.sampling import hash_fraction, kfold, oversample, smote_classes, undersample
 from cohortspark.session import cut_lineage
 
 VECTOR = "_vector"
@@ -98,16 +98,15 @@ def predict(model, df: DataFrame, features: str, keep: Sequence[str]) -> DataFra
 
 
 def resample_training(df: DataFrame, how: str | None, features: str, label: str, id_column: str, seed=42) -> DataFrame:
-    """Balance a training part: ``under``, ``over`` (repeat rows), ``smote`` (synthetic rows), or leave it."""
+    """Balance a training part: ``under``, ``over`` (repeat rows), ``smote`` (synthetic rows for
+    every class), or leave it."""
     if how is None:
         return df
     if how == "under":
         return undersample(df, label, id_column, seed=seed)
     if how == "over":
         return oversample(df, label, id_column, seed).drop("copy")
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    minority = min(counts, key=lambda v: (counts[v], v))
-    new = smote(df, label, minority, id_column, features, seed=seed)
+    new = smote_classes(df, label, id_column, features, seed=seed)
     rows = df.select(id_column, label, F.col(features).cast("array<double>").alias(features))
     return rows.unionByName(new.select(id_column, F.col(label).cast(df.schema[label].dataType).alias(label), features))
 

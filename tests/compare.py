@@ -61,10 +61,7 @@ def main(sf_dir, names, forced=False):
     from cohortspark.operators import grouped
 
     if forced:  # cut groups however small they are
-        grouped.SMALL_INPUT, grouped.TARGET_ROWS = -1, int(forced)
-        from cohortspark.operators import aggregates
-
-        aggregates.TARGET_ROWS = int(forced)
+        grouped.TARGET_ROWS = int(forced)
     spark = local_session(8, 8)
     con = connect(sf_dir)
     failed = 0

@@ -486,6 +486,44 @@ def test_smote_of_one_row_fails_and_text_ids_work(spark):
     assert {new.id, new.neighbour} == {"a", "e"} and 0 <= new.v[0] <= 9
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_smote_keeps_classes_apart(spark, adaptive):
+    """Ids that occur in two classes, and a class of one row, with and without adaptive plans."""
+    from cohortspark.operators.sampling import smote_classes
+
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        rows = [(i, "x", [float(i)]) for i in range(2)] + [(i, "y", [60.0 + i]) for i in range(3)] + [(i, "z", [9.0]) for i in range(6)]
+        df = spark.createDataFrame(rows, "id int, y string, v array<double>")
+        new = smote_classes(df, "y", "id", "v").collect()
+        assert sorted(r.y for r in new) == ["x"] * 4 + ["y"] * 3
+        assert all(0 <= r.v[0] <= 1 if r.y == "x" else 60 <= r.v[0] <= 62 for r in new)
+        lone = df.unionByName(spark.createDataFrame([(99, "w", [0.0])], df.schema))
+        with pytest.raises(Exception, match="at least two rows"):
+            smote_classes(lone, "y", "id", "v").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_interval_join_of_long_and_short_intervals(spark):
+    """Intervals of 400 days and a few of 40,000: the same pairs as when all are compared."""
+    from cohortspark.operators.joins import interval_join
+
+    day = F.lit("1900-01-01 00:00:00").cast("timestamp_ntz")
+    i = F.col("id")
+    intervals = spark.range(3_000).select(
+        (i % 40).alias("k"), i.alias("stay"),
+        F.timestamp_add("DAY", (i * 7 % 30_000).cast("int"), day).alias("s"),
+        F.timestamp_add("DAY", (i * 7 % 30_000 + F.when(i % 500 == 0, 40_000).otherwise(400)).cast("int"), day).alias("e"),
+    )
+    points = spark.range(2_000).select((i % 45).alias("k"), i.alias("n"), F.timestamp_add("HOUR", (i * 331).cast("int"), day).alias("t"))
+    got = interval_join(points, intervals, "k", "t", "s", "e")
+    both = points.alias("p").join(intervals.alias("q"), F.expr("p.k = q.k and p.t >= q.s and p.t < q.e"), "left")
+    want = both.selectExpr("p.*", "q.stay", "q.s", "q.e")
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def test_interval_join_refuses_outer(spark):
     import pytest
 

@@ -40,8 +40,8 @@ def test_numbers(rows, target, keys):
 
 @pytest.mark.parametrize("target", [50, 10_000])
 def test_many_pieces(rows, target):
-    points = g.split_points(rows, ["k"], "t", 10)
-    assert points.filter("k = 1").selectExpr("size(flatten(_cuts)) n").first().n > 64
+    points = g.split_points(rows, ["k"], "t", target_rows=10)
+    assert points.filter("k = 1").selectExpr("size(_cuts) n").first().n > 64
     w = Window.orderBy("t", "id")
     same(g.number_rows(rows, [], "t", "r", ties=["id"], target_rows=20),
          rows.withColumn("r", F.row_number().over(w)))
@@ -84,17 +84,59 @@ def test_hash_rank(rows):
          h.withColumn("r", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("k"))))
 
 
-def test_small_files_are_left_whole(spark, rows, tmp_path):
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Half of the rows in one key, and a key of null; times with nulls and ties, and texts."""
+    i = F.col("id")
+    key = F.when(i % 2 == 0, 7).when(i % 11 == 0, F.lit(None)).otherwise(i % 50)
+    return spark.range(40_000).select(
+        "id",
+        key.cast("int").alias("k"),
+        F.when(i % 13 == 0, F.lit(None)).otherwise(F.pmod(F.xxhash64("id"), F.lit(900))).alias("t"),
+        F.substring(F.md5(i.cast("string")), 1, 3).alias("s"),
+        F.when(i % 3 == 0, F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(100)).cast("double")).alias("v"),
+    ).cache()
+
+
+@pytest.mark.parametrize("order", ["t", "s"])
+def test_one_key_with_half_of_the_rows(skewed, order):
+    """Large enough that a sample places the cuts."""
+    target = 4_000
+    g_samples, g.SAMPLES = g.SAMPLES, 400
+    try:
+        pieces, _ = g.with_pieces(skewed, ["k"], order, ["id"], target_rows=target)
+        sizes = sorted(r["count"] for r in pieces.groupBy("k", g.PIECE).count().filter("k = 7").collect())
+        assert len(sizes) > 3 and sizes[-1] <= 2 * 20_000 / len(sizes)
+        w = Window.partitionBy("k").orderBy(order, "id")
+        same(g.number_rows(skewed, ["k"], order, "r", ties=["id"], target_rows=target), skewed.withColumn("r", F.row_number().over(w)))
+        want = skewed.withColumns({"p": F.lag("v").over(w), "f": F.lead("id").over(w)})
+        same(g.previous_next(skewed, ["k"], order, {"p": "v"}, {"f": "id"}, ties=["id"], target_rows=target), want)
+        want = skewed.withColumn("v", F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        same(g.fill(skewed, ["k"], order, ["v"], ["forward"], ties=["id"], target_rows=target), want)
+        w = Window.partitionBy("k").orderBy(order)
+        for method, rank in (("rank", F.rank()), ("dense_rank", F.dense_rank())):
+            same(g.number_rows(skewed, ["k"], order, "r", method=method, target_rows=target), skewed.withColumn("r", rank.over(w)))
+    finally:
+        g.SAMPLES = g_samples
+
+
+def test_nothing_runs_before_an_action(spark, rows, tmp_path):
     path = str(tmp_path / "rows")
     rows.write.parquet(path)
     small = spark.read.parquet(path)
-    assert g.is_small(small)
-    plan = g.number_rows(small, ["k"], "t", "r", ties=["id"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "_cuts" not in plan and "Join" not in plan
-    assert g.split_points(rows, ["k"], "t", 10_000) is None
+    spark.sparkContext.setJobGroup("before", "no job may be in this group")
+    made = [
+        g.number_rows(small, ["k"], "t", "r", ties=["id"]),
+        g.fill(small, ["k"], "t", ["v"], ties=["id"]),
+        g.previous_next(small, [], "t", {"p": "v"}, ties=["id"]),
+        g.quantiles(small, ["k"], "v", {"m": 0.5}),
+    ]
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("before")) == []
+    spark.sparkContext.setJobGroup("after", "")
+    assert g.split_points(rows, ["k"], "t", target_rows=10_000).count() == 0
     w = Window.partitionBy("k").orderBy("t", "id")
-    same(g.number_rows(small, ["k"], "t", "r", ties=["id"]), rows.withColumn("r", F.row_number().over(w)))
-    same(g.fill(small, ["k"], "t", ["v"], ties=["id"]), g.fill(rows, ["k"], "t", ["v"], ties=["id"], target_rows=40))
+    same(made[0], rows.withColumn("r", F.row_number().over(w)))
+    same(made[1], g.fill(rows, ["k"], "t", ["v"], ties=["id"], target_rows=40))
 
 
 def test_hash_rank_of_missing_classes_and_limit(spark):
