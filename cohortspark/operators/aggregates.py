@@ -44,13 +44,19 @@ def median_by(
     The built-in median keeps the distinct values of a group in memory.  It serves entities of up to ``target_rows``
     rows; groups of larger entities go through counted values and running sums, which no single task holds.
     """
-    plain = [F.median(c).alias(c) for c in columns]
     large = F.broadcast(large_groups(df, [entity], target_rows))  # at most rows / target_rows ids
-    few = df.join(large, entity, "left_anti").groupBy(*keys).agg(*plain)
-    many = df.join(large, entity, "left_semi")
+    few, many = df.join(large, entity, "left_anti"), df.join(large, entity, "left_semi")
+    return medians_apart(few, many, keys, columns, target_rows)
+
+
+def medians_apart(
+    few: DataFrame, many: DataFrame, keys: Sequence[str], columns: Sequence[str], target_rows: int | None = None
+) -> DataFrame:
+    """Median per group of every column: of ``few`` by the built-in median, of ``many`` by counted values."""
+    plain = few.groupBy(*keys).agg(*[F.median(c).alias(c) for c in columns])
     long = quantiles(unpivot(many, keys, columns), [*keys, "signal"], "value", {"_m": 0.5}, target_rows)
     wide = long.groupBy(*keys).agg(*[F.max(F.when(F.col("signal") == c, F.col("_m"))).alias(c) for c in columns])
-    return few.unionByName(match(many.select(*keys).distinct(), wide, keys))
+    return plain.unionByName(match(many.select(*keys).distinct(), wide, keys))
 
 
 def median_cont(column: Column | str) -> Column:

@@ -30,6 +30,7 @@ SAMPLES = 1000  # rows per piece that place its cut
 WHOLE = "whole"
 PIECE = "_piece"
 CUTS = "_cuts"
+Split = str | tuple[Column, Column] | None
 
 
 def epoch() -> Column:
@@ -96,17 +97,6 @@ def split_points(
     return cuts.filter(F.size(CUTS) > 0)
 
 
-def grid_split(bounds: DataFrame, keys: Sequence[str], steps: str, target_rows: int | None = None) -> DataFrame:
-    """Cut points for series on a regular grid, from the number of grid steps per entity alone.
-
-    A grid has one row per step, so equal cuts of the step number bound every piece without looking at the rows.
-    """
-    target = target_rows or TARGET_ROWS
-    numbers = F.sequence(F.lit(1), F.ceil(F.col(steps) / target).cast("int") - 1)
-    cuts = F.transform(numbers, lambda i: F.struct((i.cast("bigint") * F.lit(target).cast("bigint") - 1).alias("p0")))
-    return bounds.filter(F.col(steps) > target).select(*keys, cuts.alias(CUTS))
-
-
 def _piece(cuts: Column, position: Column) -> Column:
     """How many cuts lie before the position, by halving."""
     rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + 1)).cast("int"))
@@ -128,16 +118,18 @@ def with_pieces(
     keys: Sequence[str],
     order: str,
     ties: Sequence[str] = (),
-    split: DataFrame | str | None = None,
+    split: Split = None,
     target_rows: int | None = None,
 ) -> tuple[DataFrame, bool]:
-    """(frame with ``_piece``, whether groups may be cut).  ``split``: cut points, ``WHOLE``, or None to place them."""
+    """(frame with ``_piece``, whether groups may be cut).  ``split``: ``WHOLE``, the columns (piece of a row, whether its
+    group is cut) where the order itself tells them, or None to place cuts."""
     if isinstance(split, str):
         return df.withColumn(PIECE, F.lit(0)), False
-    if split is None:
-        split = split_points(df, keys, order, ties, target_rows)
-    else:
-        ties = ()
+    if split is not None:
+        piece, large = split
+        out = df.withColumn(CUTS, F.when(large, F.lit(True)))
+        return out.withColumn(PIECE, F.when(large, piece).otherwise(0).cast("int")), True
+    split = split_points(df, keys, order, ties, target_rows)
     if keys:
         df = match(df, F.broadcast(split), keys)
     else:
@@ -190,7 +182,7 @@ def number_rows(
     name: str,
     ties: Sequence[str] = (),
     method: str = "row_number",
-    split: DataFrame | str | None = None,
+    split: Split = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """``row_number``, ``rank`` or ``dense_rank`` by ``order`` (then ``ties``) inside ``keys``."""
@@ -215,7 +207,7 @@ def running_sum(
     sums: dict[str, str],
     descending: bool = False,
     totals: dict[str, str] | None = None,
-    split: DataFrame | str | None = None,
+    split: Split = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """Running totals up to and including the row; ``sums`` maps new column to summed column.
@@ -252,7 +244,7 @@ def previous_next(
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
     ties: Sequence[str] = (),
-    split: DataFrame | str | None = None,
+    split: Split = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """Value of the row before (``previous``: new column -> source) and after (``following``)."""
@@ -282,7 +274,7 @@ def fill(
     columns: Sequence[str],
     directions: Sequence[str] = ("forward", "backward"),
     ties: Sequence[str] = (),
-    split: DataFrame | str | None = None,
+    split: Split = None,
     target_rows: int | None = None,
 ) -> DataFrame:
     """Fill nulls from the nearest non-null row in each direction, in the order the directions are given.

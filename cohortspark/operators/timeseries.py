@@ -7,20 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.operators.aggregates import column_medians, median_by
-from cohortspark.operators.grouped import fill, from_micros, grid_split, micros, previous_next
+from cohortspark.operators import grouped
+from cohortspark.operators.aggregates import column_medians, medians_apart
+from cohortspark.operators.grouped import fill, from_micros, micros, previous_next
 from cohortspark.operators.windows import head_per_group
 
 HOUR_US = 3_600_000_000
 
 
-def _grid(df: DataFrame, key: str, t: str, step_hours: float, origin: str) -> tuple[DataFrame, int]:
-    """One row per entity: the grid's origin and its number of steps."""
+def _grid(df: DataFrame, key: str, t: str, step_hours: float, origin: str, target: int) -> tuple[DataFrame, int]:
+    """One row per entity: the grid's origin, and whether its rows or steps are more than ``target``."""
     step = int(step_hours * HOUR_US)
     lo, hi = micros(F.min(t)), micros(F.max(t))
     steps = (F.floor((hi - lo) / F.lit(step)) + 1) if origin == "start" else (F.ceil((hi - lo) / F.lit(step)) + 1)
     edges = df.filter(F.col(t).isNotNull()).groupBy(key)
-    return edges.agg((lo if origin == "start" else hi).alias("_origin"), steps.alias("_steps")), step
+    large = (steps > target) | (F.count(F.lit(1)) > target)
+    return edges.agg((lo if origin == "start" else hi).alias("_origin"), large.alias("_large")), step
 
 
 def resample(
@@ -40,22 +42,35 @@ def resample(
     are written out from each step to the next one present, so no grid table is built or joined.
     ``fill_gaps`` adds the forward, then backward fill in the same partitioning.
     """
-    bounds, step = _grid(df, key, t, step_hours, origin)
-    rows = df.filter(F.col(t).isNotNull()).select(key, micros(t).alias("_us"), *columns).join(bounds, key)
+    target = target_rows or grouped.TARGET_ROWS
+    bounds, step = _grid(df, key, t, step_hours, origin, target)
+    large = F.col("_large")
+    rows = df.filter(F.col(t).isNotNull()).select(key, micros(t).alias("_us"), *columns)
     steps_away = (F.col("_us") - F.col("_origin")) / F.lit(step)
     no = F.floor(steps_away) if origin == "start" else F.ceil(steps_away)
-    rows = rows.withColumn("_bin", no.cast("bigint"))
-    binned = median_by(rows.drop("_us", "_steps"), [key, "_origin", "_bin"], columns, key, target_rows)
-    split = grid_split(bounds, [key], "_steps", target_rows) if origin == "start" else None
-    binned = previous_next(binned, [key], "_bin", following={"_next": "_bin"}, split=split, target_rows=target_rows)
+
+    def numbered(ends: DataFrame) -> DataFrame:
+        return rows.join(ends, key).withColumn("_bin", no.cast("bigint")).drop("_us")
+
+    few = numbered(bounds).filter(~large)
+    # an entity is large by a target's worth of rows read or written, which bounds their number; where there is none the
+    # broadcast comes out empty, and what follows from it is not run
+    many = numbered(F.broadcast(bounds.filter(large)))
+    binned = medians_apart(few, many, [key, "_origin", "_large", "_bin"], columns, target_rows)
+
+    def pieces(number: str) -> tuple[Column, Column]:
+        """A grid has at most one row per step, so equal lengths of it bound every piece."""
+        return F.floor(F.col(number) / F.lit(target)), large
+
+    binned = previous_next(binned, [key], "_bin", following={"_next": "_bin"}, split=pieces("_bin"))
     until = F.coalesce(F.col("_next") - 1, F.col("_bin"))
     out = binned.withColumn("_step", F.explode(F.sequence(F.col("_bin"), until)))
     here = F.col("_step") == F.col("_bin")
     out = out.select(
-        key, "_origin", "_step", *[F.when(here, F.col(c)).alias(c) for c in columns]
+        key, "_origin", "_large", "_step", *[F.when(here, F.col(c)).alias(c) for c in columns]
     )
     if fill_gaps:
-        out = fill(out, [key], "_step", columns, split=split, target_rows=target_rows)
+        out = fill(out, [key], "_step", columns, split=pieces("_step"))
     return out.select(key, from_micros(F.col("_origin") + F.col("_step") * step).alias(t), *columns)
 
 
