@@ -30,7 +30,8 @@ MAX_LANGUAGES = 1_000
 UNIT = 1_000_000  # scores are whole millionths, so sums do not depend on their order
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-_CHUNK = 50_000  # words of a text that are held at once
+_CHUNK = 50_000  # words of a text that are held at once,
+_AT_ONCE = 500_000  # where it has more characters than this
 _HELD = 200_000  # distinct entries that a task counts before it passes them on
 _CACHE = 200_000  # unseen words that a task remembers
 _CACHED_LENGTH = 32  # longer ones are not remembered
@@ -38,7 +39,12 @@ _CACHED_LENGTH = 32  # longer ones are not remembered
 
 def words_of(text: str) -> Iterator[list[str]]:
     """Lower-case runs of letters, in lists of bounded length."""
-    found = (m.group() for m in _WORD.finditer(text.lower()))
+    lower = text.lower()
+    if len(lower) <= _AT_ONCE:
+        if part := _WORD.findall(lower):
+            yield part
+        return
+    found = (m.group() for m in _WORD.finditer(lower))
     while part := list(islice(found, _CHUNK)):
         yield part
 
@@ -61,36 +67,36 @@ class Model:
     words: dict[str, tuple[tuple[int, int], ...]]
     grams: dict[int, dict[str, tuple[tuple[int, int], ...]]]
 
-    def backoff(self, word: str) -> tuple[tuple[int, int], ...] | None:
-        """Mean gains of the known n-grams of the longest length that has any; None when no letter is known."""
+    def backoff(self, word: str) -> tuple[tuple[int, int], ...]:
+        """Mean gains of the known n-grams of the longest length that has any; empty when no letter is known."""
         for length, known in self.grams.items():
-            found = [known[g] for g in grams(word, length) if g in known]
+            found = [pairs for pairs in map(known.get, grams(word, length)) if pairs]
             if found:
                 total: dict[int, int] = {}
                 for pairs in found:
                     for g, gain in pairs:
                         total[g] = total.get(g, 0) + gain
                 return tuple((g, gain // len(found)) for g, gain in total.items())
-        return None
+        return ()
 
-    def classify(self, text: str | None, cache: dict[str, tuple | None]) -> tuple[str, float]:
+    def classify(self, text: str | None, cache: dict[str, tuple]) -> tuple[str, float]:
         """The language and its share of 10 ** (mean gain) over all languages."""
         total = [0] * len(self.languages)
         counted, letters = 0, False
+        words, seen = self.words.get, cache.get
         for part in words_of(text or ""):
             letters = True
             for word, n in Counter(part).items():
-                pairs = self.words.get(word)
+                pairs = words(word)
                 if pairs is None:
-                    if word in cache:
-                        pairs = cache[word]
-                    else:
+                    pairs = seen(word)
+                    if pairs is None:
                         pairs = self.backoff(word)
                         if len(word) <= _CACHED_LENGTH:
                             if len(cache) >= _CACHE:
                                 cache.clear()
                             cache[word] = pairs
-                    if pairs is None:
+                    if not pairs:
                         continue
                 counted += n
                 for g, gain in pairs:
