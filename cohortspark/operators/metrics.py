@@ -325,11 +325,14 @@ def overall_scores(scores: DataFrame, by: Sequence[str], values: Sequence[str])
     return scores.groupBy(*by).agg(*[F.avg(v).alias(v) for v in values])
 
 
-def cv_scores(folds: DataFrame, fold: str, metrics: Mapping[str, str]) -> DataFrame:
-    """One row per metric with its value in every fold and the mean; ``metrics`` maps name to column."""
-    rows = folds.unpivot([fold], list(metrics.values()), "_c", "value")
+def cv_scores(folds: DataFrame, fold: str, metrics: Mapping[str, str], by: Sequence[str] = ()) -> DataFrame:
+    """One row per metric with its value in every fold and the mean; ``metrics`` maps name to column.
+
+    With ``by``, one row per metric and group.
+    """
+    rows = folds.unpivot([*by, fold], list(metrics.values()), "_c", "value")
     names = F.create_map(*[F.lit(x) for name, c in metrics.items() for x in (c, name)])
-    return rows.withColumn("metric", names[F.col("_c")]).groupBy("metric").agg(
+    return rows.withColumn("metric", names[F.col("_c")]).groupBy(*by, "metric").agg(
         F.transform(F.array_sort(F.collect_list(F.struct(fold, "value"))), lambda s: s["value"]).alias("folds"),
         F.avg("value").alias("mean"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.operators import grouped
 from cohortspark.operators.aggregates import column_medians, medians_apart
-from cohortspark.operators.grouped import fill, from_micros, micros, previous_next
+from cohortspark.operators.grouped import fill, from_micros, match, micros, number_rows, previous_next
 from cohortspark.operators.windows import head_per_group
 
 HOUR_US = 3_600_000_000
@@ -119,17 +119,22 @@ def restrict_observed(stays: DataFrame, sources: Sequence[DataFrame], key: str)
 
 
 def fix_length(
-    df: DataFrame, key: str, t: str, step_hours: float, n: int, columns: Sequence[str], label: str | None = None
+    df: DataFrame, key: str, t: str, step_hours: float, n: int | None, columns: Sequence[str], label: str | None = None
 ) -> DataFrame:
-    """Exactly n rows per entity: the first n, or all plus rows of null signals at the following steps."""
+    """Exactly n rows per entity: the first n, or all plus rows of null signals at the following steps.
+
+    Without n, the longest series sets the length, so no row is cut.
+    """
     keep = [key, t, *([label] if label else []), *columns]
-    head = head_per_group(df.select(*keep), key, t, n)
+    head = df.select(*keep) if n is None else head_per_group(df.select(*keep), key, t, n)
     first = [F.min_by(label, t).alias(label)] if label else []
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.max(t).alias("_last"), *first)
+    length = counts.agg(F.max("_n")).scalar() if n is None else F.lit(n)
     step = int(step_hours * HOUR_US)
     added = (
-        counts.filter(F.col("_n") < n)
-        .withColumn("_i", F.explode(F.sequence(F.lit(1), (F.lit(n) - F.col("_n")).cast("int"))))
+        counts.withColumn("_to", length)
+        .filter(F.col("_n") < F.col("_to"))
+        .withColumn("_i", F.explode(F.sequence(F.lit(1), (F.col("_to") - F.col("_n")).cast("int"))))
         .withColumn(t, from_micros(micros("_last") + F.col("_i") * step))
         .select(
             key, t, *([label] if label else []),
@@ -163,12 +168,42 @@ def pad_ragged(df: DataFrame, panel: str, value: float = -2.0) -> DataFrame:
     return out.withColumn(panel, padded).drop("_len")
 
 
+def ragged_batches(
+    df: DataFrame, client: str, key: str, panel: str, batch_size: int, value: float = -2.0
+) -> DataFrame:
+    """Batches of series of similar length: ``batch`` numbers them per client, ``length`` is the own length.
+
+    Series are ranked by (length, key) inside their client and padded with the mask value to the longest of their
+    batch only, so a long series costs its own batch.  A client may be of any size: ranks are taken in pieces.
+    """
+    sized = df.withColumn("length", F.size(F.element_at(panel, 1)))
+    ranked = number_rows(sized.select(client, key, "length"), [client], "length", "_rank", [key])
+    size = F.lit(batch_size)
+    batches = ranked.withColumn("batch", F.floor((F.col("_rank") - 1) / size).cast("bigint"))
+    longest = batches.groupBy(client, "batch").agg(F.max("length").alias("_longest"))
+    placed = match(batches.select(client, key, "batch"), longest, [client, "batch"], "inner")
+    out = match(sized, placed, [client, key], "inner")
+    fill = F.array_repeat(F.lit(float(value)), F.col("_longest") - F.col("length"))
+    return out.withColumn(panel, F.transform(panel, lambda ch: F.concat(ch, fill))).drop("_longest")
+
+
+def padding_share(batches: DataFrame, by: Sequence[str], panel: str, length: str) -> DataFrame:
+    """Per batch its series, steps, cells and the share of cells that are padding."""
+    cells = F.sum(F.size(F.element_at(panel, 1)))
+    return batches.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("series"), F.sum(length).alias("steps"), cells.alias("cells"),
+        (1 - F.sum(length) / cells).alias("padding"),
+    )
+
+
 def flatten_panel(panel: Column | str) -> Column:
     return F.flatten(panel)
 
 
-def unflatten_panel(flat: Column | str, channels: int, steps: int) -> Column:
+def unflatten_panel(flat: Column | str, channels: int, steps: int | None = None) -> Column:
+    """Channels of ``steps`` values each; without it, the array is cut evenly."""
     col = F.col(flat) if isinstance(flat, str) else flat
+    steps = F.lit(steps) if steps else F.floor(F.size(col) / channels).cast("int")
     return F.transform(F.sequence(F.lit(0), F.lit(channels - 1)), lambda i: F.slice(col, i * steps + 1, steps))
 
 

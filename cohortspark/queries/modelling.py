@@ -439,18 +439,19 @@ def overall_scores(spark, d):
 
 
 @query("cv_scores", f"""
-SELECT metric, fold, round(value, 6) AS value, round(avg(value) OVER (PARTITION BY metric), 6) AS mean FROM
- (SELECT metric, fold, value FROM {_CUBE} c WHERE label = 2 AND model = 'fl') x""")
+SELECT model, label, metric, fold, round(value, 6) AS value, round(avg(value) OVER (PARTITION BY model, label, metric), 6) AS mean
+FROM {_CUBE} c""")
 def cv_scores(spark, d):
-    """Folds of one label side by side; the array of fold scores is written out as rows."""
-    cells = _cube(spark, d).filter((F.col("label") == 2) & (F.col("model") == "fl"))
-    names = ["precision", "recall", "auroc", "auprc"]
-    wide_rows = cells.groupBy("fold").agg(
-        *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(f"c_{m}") for m in names]
+    """Folds of every model and label side by side; the array of fold scores is written out as rows."""
+    metrics = {"precision": 1, "recall": 1, "auroc": 1, "auprc": 1, "mae": 0, "mse": 0}
+    wide_rows = _cube(spark, d).groupBy("model", "label", "fold").agg(
+        *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(f"c_{m}") for m in metrics]
     )
-    out = mt.cv_scores(wide_rows, "fold", {m: f"c_{m}" for m in names})
-    rows = out.select("metric", "mean", F.posexplode("folds").alias("fold", "value"))
-    return rounded(rows, ["value", "mean"])
+    out = mt.cv_scores(wide_rows, "fold", {m: f"c_{m}" for m in metrics}, ["model", "label"])
+    rows = out.select("model", "label", "metric", "mean", F.posexplode("folds").alias("fold", "value"))
+    # errors of the score itself have no label, class scores always have one
+    labelled = F.col("label").isNotNull() == F.col("metric").isin(*[m for m, of_class in metrics.items() if of_class])
+    return rounded(rows.filter(labelled), ["value", "mean"])
 
 
 _ROUNDS = f"""(SELECT entity % 3 AS fold, entity % 2 AS client, day(t) AS epoch, avg(value) AS loss FROM {SERIES} s

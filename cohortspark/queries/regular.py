@@ -122,8 +122,9 @@ def fix_length_series(spark, d):
     return rounded(ts.fix_length(wide(spark, d), "entity", "t", 8, 64, SIGNALS), SIGNALS)
 
 
-def _panel(spark, d, n=12):
-    return ts.to_panel(ts.fix_length(wide(spark, d), "entity", "t", 8, n, SIGNALS), "entity", "t", SIGNALS)
+def _panel(spark, d):
+    """Panels of whole series; the longest sets the number of steps."""
+    return ts.to_panel(ts.fix_length(wide(spark, d), "entity", "t", 8, None, SIGNALS), "entity", "t", SIGNALS)
 
 
 def _cells(panels):
@@ -134,56 +135,82 @@ def _cells(panels):
     )
 
 
-def _cells_sql(n=12):
-    return " UNION ALL ".join(
-        f"SELECT entity, {i} AS channel, row_number() OVER (PARTITION BY entity ORDER BY t) - 1 AS step, round({s}, 6) AS value "
-        f"FROM {_fixed_sql(n, 8)} f" for i, s in enumerate(SIGNALS))
+_LONGEST = f"(SELECT max(n) FROM (SELECT count(*) AS n FROM {WIDE} w GROUP BY entity) l)"
+_CELLS = f"WITH f AS MATERIALIZED {_fixed_sql(_LONGEST, 8)}, c AS (" + " UNION ALL ".join(
+    f"SELECT entity, {i} AS channel, row_number() OVER (PARTITION BY entity ORDER BY t) - 1 AS step, round({s}, 6) AS value FROM f"
+    for i, s in enumerate(SIGNALS)) + ")"
 
 
-@query("panel_arrays", _cells_sql())
+@query("panel_arrays", f"{_CELLS} SELECT entity, channel, step, value FROM c")
 def panel_arrays(spark, d):
     return _cells(_panel(spark, d))
 
 
-@query("pad_panel", f"""
-SELECT entity, channel, step, value FROM ({_cells_sql()}) c WHERE step < 8
-UNION ALL SELECT entity, channel, step + 12, 0.0 FROM ({_cells_sql()}) c WHERE false""")
+@query("pad_panel", f"{_CELLS} SELECT entity, channel, step, value FROM c WHERE step < 48")
 def pad_panel(spark, d):
-    """Panels of 12 steps cut to 8."""
-    return _cells(_panel(spark, d).withColumn("panel", ts.pad_panel("panel", 8)))
+    """Panels of whole series cut to the 48 steps of an observation window."""
+    return _cells(_panel(spark, d).withColumn("panel", ts.pad_panel("panel", 48)))
 
 
 @query("pad_panel_longer", f"""
-SELECT entity, channel, step, value FROM ({_cells_sql()}) c
-UNION ALL SELECT entity, channel, step + 12, 0.0 FROM ({_cells_sql()}) c WHERE step < 4""")
+{_CELLS} SELECT entity, channel, k.step, CASE WHEN k.step < {_LONGEST} THEN value ELSE 0.0 END AS value
+FROM (SELECT DISTINCT entity, channel FROM c) e CROSS JOIN (SELECT unnest(generate_series(0, 127)) AS step) k
+LEFT JOIN c USING (entity, channel, step)""")
 def pad_panel_longer(spark, d):
-    """Panels of 12 steps padded with zeros to 16."""
-    return _cells(_panel(spark, d).withColumn("panel", ts.pad_panel("panel", 16)))
+    """Panels of whole series padded with zeros to 128 steps."""
+    return _cells(_panel(spark, d).withColumn("panel", ts.pad_panel("panel", 128)))
 
 
-@query("flatten_panel", f"SELECT entity, channel * 12 + step AS position, value FROM ({_cells_sql()}) c")
+@query("flatten_panel", f"{_CELLS} SELECT entity, channel * {_LONGEST} + step AS position, value FROM c")
 def flatten_panel(spark, d):
     flat = _panel(spark, d).select("entity", ts.flatten_panel("panel").alias("flat"))
-    again = flat.withColumn("flat", ts.flatten_panel(ts.unflatten_panel("flat", len(SIGNALS), 12)))
+    again = flat.withColumn("flat", ts.flatten_panel(ts.unflatten_panel("flat", len(SIGNALS))))
     return again.select("entity", F.posexplode("flat").alias("position", "value")).withColumn("value", F.round("value", 6))
 
 
-_RAGGED = f"(SELECT entity, date_diff('day', DATE '2024-01-01', CAST(t AS DATE)) AS day, value, t FROM {SERIES} s)"
+_STEPS = f"(SELECT entity, t, value, row_number() OVER (PARTITION BY entity ORDER BY t) - 1 AS step FROM {SERIES} x)"
 
 
 @query("pad_ragged", f"""
-WITH s AS (SELECT x.entity, t, value, row_number() OVER (PARTITION BY x.entity ORDER BY t) - 1 AS step
-  FROM {SERIES} x JOIN {_STAYS} e ON x.entity = e.entity WHERE t < intime + INTERVAL 96 HOUR),
- k AS (SELECT unnest(generate_series(0, (SELECT max(step) FROM s))) AS step)
+WITH s AS {_STEPS}, k AS (SELECT unnest(generate_series(0, (SELECT max(step) FROM s))) AS step)
 SELECT e.entity, k.step, coalesce(s.value, -2) AS value FROM (SELECT DISTINCT entity FROM s) e CROSS JOIN k
 LEFT JOIN s ON s.entity = e.entity AND s.step = k.step""")
 def pad_ragged(spark, d):
-    """Windowed series of different lengths, masked to the longest."""
-    panels = ts.to_panel(observation_window(spark, d), "entity", "t", ["value"])
+    """Whole series of different lengths, masked to the longest."""
+    panels = ts.to_panel(series(spark, d), "entity", "t", ["value"])
     padded = ts.pad_ragged(panels, "panel")
     return padded.select("entity", F.posexplode(F.element_at("panel", 1)).alias("step", "value"))
 
 
+_RAGGED = f"""s AS {_STEPS}, n AS (SELECT entity, entity % 4 AS client, count(*) AS n FROM s GROUP BY 1, 2),
+ b AS (SELECT *, (row_number() OVER (PARTITION BY client ORDER BY n, entity) - 1) // 16 AS batch FROM n),
+ m AS (SELECT *, max(n) OVER (PARTITION BY client, batch) AS longest FROM b)"""
+
+
+def _ragged(spark, d):
+    panels = ts.to_panel(series(spark, d), "entity", "t", ["value"])
+    return ts.ragged_batches(panels.withColumn("client", F.col("entity") % 4), "client", "entity", "panel", 16)
+
+
+@query("ragged_batches", f"""
+WITH {_RAGGED} SELECT m.client, m.batch, m.entity, k.step, coalesce(s.value, -2) AS value
+FROM m CROSS JOIN (SELECT unnest(generate_series(0, (SELECT max(n) FROM n))) AS step) k
+LEFT JOIN s ON s.entity = m.entity AND s.step = k.step WHERE k.step < m.longest""")
+def ragged_batches(spark, d):
+    """Batches of 16 series of similar length per client, masked to the longest of the batch."""
+    return _ragged(spark, d).select(
+        "client", "batch", "entity", F.posexplode(F.element_at("panel", 1)).alias("step", "value")
+    )
+
+
+@query("ragged_padding", f"""
+WITH {_RAGGED} SELECT client, batch, count(*) AS series, sum(n) AS steps, max(longest) * count(*) AS cells,
+ round(1 - sum(n) / (max(longest) * count(*)), 6) AS padding FROM m GROUP BY 1, 2""")
+def ragged_padding(spark, d):
+    """Share of mask values per batch."""
+    return rounded(ts.padding_share(_ragged(spark, d), ["client", "batch"], "panel", "length"), ["padding"])
+
+
 @query("series_quality", f"""
 SELECT count(*) FILTER (n < 64) AS fewer, count(*) FILTER (n = 64) AS exact, count(*) FILTER (n > 64) AS more,
  count(*) FILTER (days > 28) AS long_span, count(*) FILTER (dup > 0) AS with_duplicates, sum(dup) AS duplicate_rows,
