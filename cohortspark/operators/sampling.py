@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from cohortspark.operators.grouped import hash_rank, number_rows, seeded_hash
 from cohortspark.operators.labels import equal_bin, label_bins
+from cohortspark.session import staged
 
 
 def hash_fraction(seed: int | str, *ids: Column | str) -> Column:
@@ -132,61 +133,149 @@ def plain_id(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("bigint") if whole else F.col(column)
 
 
+def _best(x: np.ndarray, ids: np.ndarray, y: np.ndarray, others: np.ndarray, k: int):
+    """Rows, neighbours and squared distances of the k best ``y`` for every ``x``, nearest first, then by id."""
+    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    places = np.unique(others, return_inverse=True)[1]
+    n, out = min(k, len(y)), []
+    for i in range(0, len(x), 256):
+        part = slice(i, i + 256)
+        near = xx[part, None] + yy[None, :] - 2 * x[part] @ y.T
+        near[ids[part, None] == others[None, :]] = np.inf
+        # the product form is inexact in its last digits: everything within them of the k-th is measured again
+        cut = np.partition(near, n - 1, axis=1)[:, n - 1] + 1e-9 * (xx[part] + yy.max())
+        row, col = np.nonzero((near <= cut[:, None]) & np.isfinite(near))
+        d = np.concatenate(
+            [((x[i + row[j : j + 50_000]] - y[col[j : j + 50_000]]) ** 2).sum(axis=1) for j in range(0, len(row), 50_000)]
+            or [np.empty(0)]
+        )
+        order = np.lexsort((places[col], d, row))
+        row, col, d = row[order], col[order], d[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        row, col, d = (a[place < k] for a in (row, col, d))
+        out.append((i + row, others[col], d))
+    return tuple(np.concatenate(parts) for parts in zip(*out))
+
+
+def pivot_blocks(rows: DataFrame, block_rows: int, seed, max_pivots: int = 256) -> DataFrame:
+    """Rows (id, v, c) with the block they belong to and their distance from every pivot of their class ``c``:
+    (id, v, c, cell, block, dist).
+
+    Pivots are rows chosen by hash, about one per ``block_rows`` rows of the class and at most about ``max_pivots``; a
+    cell is the rows that lie nearest to a pivot.  Cells above ``block_rows`` are dealt into blocks by hash.  Vectors are
+    shuffled once, by slices of even size, so a large class or cell is never in one task.
+    """
+    kind, class_kind = (rows.schema[c].dataType.simpleString() for c in ("id", "c"))
+    hashed = rows.withColumn("_h", hash_fraction(f"{seed}p", "id"))
+    slices = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)), F.lit(1)).cast("int")
+    sizes = hashed.groupBy("c").agg(F.count(F.lit(1)).alias("_n"), slices.alias("_s"), F.min("_h").alias("_first"))
+    hashed = hashed.join(sizes, "c")
+    # both sides of a cogroup come from the same rows, so the columns of each are named anew
+    own = [F.col(c).alias(c) for c in ("id", "v", "c")]
+    dealt = hashed.select(*own, F.floor(F.col("_h") * F.col("_s")).cast("int").alias("a"))
+    share = F.least(F.col("_s"), F.lit(max_pivots)) / F.col("_n")
+    pivots = hashed.filter(F.col("_h") <= F.greatest("_first", share)).select(
+        *own, F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("a")
+    )
+
+    def measure(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty:
+            return pd.DataFrame({"id": [], "v": [], "c": [], "cell": [], "dist": []})
+        p = np.stack(right.sort_values("id")["v"]).astype(float)
+        x = np.stack(left["v"]).astype(float)
+        d = np.empty((len(x), len(p)))
+        for j in range(len(p)):
+            d[:, j] = np.sqrt(((x - p[j]) ** 2).sum(axis=1))
+        return pd.DataFrame(
+            {"id": left["id"], "v": left["v"], "c": left["c"], "cell": d.argmin(axis=1), "dist": list(d)}
+        )
+
+    cells = (
+        dealt.groupBy("c", "a")
+        .cogroup(pivots.groupBy("c", "a"))
+        .applyInPandas(measure, f"id {kind}, v array<double>, c {class_kind}, cell int, dist array<double>")
+    )
+    parts = cells.groupBy("c", "cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("_parts"))
+    part = F.floor(hash_fraction(f"{seed}b", "id") * F.col("_parts"))
+    return cells.join(parts, ["c", "cell"]).select(
+        "id", "v", "c", "cell", F.concat_ws(":", "cell", part.cast("bigint")).alias("block"), "dist"
+    )
+
+
+def neighbour_visits(blocks: DataFrame, k: int) -> DataFrame:
+    """Best neighbours inside the own block, and the other blocks that may hold better ones:
+    (id, v, c, block, near, visits).
+
+    The k-th distance inside the own block bounds the search (no bound with fewer than k others).  A block whose rows
+    are between lo and hi away from pivot p holds nothing nearer to a row at distance d from p than d - hi or lo - d,
+    by the triangle inequality; only blocks where this beats the bound are visited.
+    """
+    kind, class_kind = (blocks.schema[c].dataType.simpleString() for c in ("id", "c"))
+
+    def own(rows: pd.DataFrame) -> pd.DataFrame:
+        x, ids = np.stack(rows["v"]).astype(float), rows["id"].to_numpy()
+        row, other, d = _best(x, ids, x, ids, k)
+        first = np.searchsorted(row, np.arange(len(x) + 1))
+        near = [[(other[j], d[j]) for j in range(lo, hi)] for lo, hi in zip(first[:-1], first[1:])]
+        reach = [np.sqrt(n[-1][1]) if len(n) == k else np.inf for n in near]
+        return rows[["id", "v", "c", "block", "dist"]].assign(near=near, reach=reach)
+
+    searched = blocks.groupBy("c", "block").applyInPandas(
+        own, f"id {kind}, v array<double>, c {class_kind}, block string, dist array<double>, "
+             f"near array<struct<neighbour: {kind}, d: double>>, reach double",
+    )
+    to_pivot = F.element_at("dist", F.col("cell") + 1)
+    bounds = blocks.groupBy("c", "block").agg(
+        F.max("cell").alias("cell"), F.min(to_pivot).alias("lo"), F.max(to_pivot).alias("hi")
+    )
+    tables = bounds.groupBy("c").agg(F.collect_list(F.struct("block", "cell", "lo", "hi")).alias("_table"))
+
+    def may_hold(b: Column) -> Column:
+        d = F.element_at("dist", b["cell"] + 1)
+        least = F.greatest(d - b["hi"], b["lo"] - d)
+        slack = (d + b["hi"]) * 1e-9  # distances are rounded
+        return (b["block"] != F.col("block")) & (least <= F.col("reach") + slack)
+
+    visits = F.transform(F.filter("_table", may_hold), lambda b: b["block"])
+    return searched.join(tables, "c").select("id", "v", "c", "block", "near", visits.alias("visits"))
+
+
 def nearest_neighbours(
-    df: DataFrame, id_column: str, vector: str, k: int = 5, block_rows: int = 4096, seed=42, by: str | None = None
+    df: DataFrame, id_column: str, vector: str, k: int = 5, block_rows: int = 4096, seed=42, by: str | None = None,
+    max_pivots: int = 256,
 ) -> DataFrame:
     """Exact k nearest other rows by Euclidean distance, of the same ``by`` if given: (id, neighbour, place, found, c),
     where ``c`` is the value of ``by`` (0 without).  Ids must differ inside a ``c``; the same id in another is another row.
 
-    Rows are dealt by hash into blocks of about ``block_rows``; one task compares one block with another and returns
-    only the k best per row, so neither a whole class nor all pairs ever meet in one place.
+    Rows lie in blocks around pivots.  A row is compared with its own block, then sent to those other blocks only that
+    can hold a nearer one; one task compares one block with the rows of one other, and returns the k best per row.
+    Blocks and first results are written to the shared folder, so no comparison is made twice.
     """
     group = F.col(by) if by else F.lit(0)
-    rows = df.select(plain_id(df, id_column).alias("id"), F.col(vector).alias("v"), group.alias("c"))
+    vectors = F.col(vector).cast("array<double>")
+    rows = df.select(plain_id(df, id_column).alias("id"), vectors.alias("v"), group.alias("c"))
     kind, class_kind = (rows.schema[c].dataType.simpleString() for c in ("id", "c"))
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)), F.lit(1)).cast("int")
-    if by:
-        rows = rows.join(rows.groupBy("c").agg(blocks.alias("_blocks")), "c")
-    else:
-        rows = rows.withColumn("_blocks", rows.agg(blocks).scalar())
-    own = F.floor(hash_fraction(seed, "id") * F.col("_blocks")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-
-    def side(a: str, b: str) -> DataFrame:
-        return rows.select(*[F.col(c).alias(n) for c, n in (("id", "id"), ("v", "v"), ("c", "c"), (a, "a"), (b, "b"))])
-
-    base, against = side("own", "other"), side("other", "own")
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    blocks = staged(pivot_blocks(rows, block_rows, seed, max_pivots))
+    searched = staged(neighbour_visits(blocks, k))
+    inside = searched.select("id", "c", F.explode("near").alias("_n")).select("id", "_n.neighbour", "_n.d", "c")
+    own = [F.col(c).alias(c) for c in ("id", "v", "c")]
+    left = searched.select(*own, F.col("block").alias("a"), F.explode("visits").alias("b"))
+    met = left.select("c", "a", "b").distinct()
+    right = blocks.select(*own, F.col("block").alias("b")).join(met, ["c", "b"])
+    right = right.select(*[F.col(c).alias(c) for c in ("id", "v", "c", "a", "b")])
+
+    def other(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         x, y = np.stack(left["v"]).astype(float), np.stack(right["v"]).astype(float)
-        ids, others = left["id"].to_numpy(), right["id"].to_numpy()
-        xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
-        places = np.unique(others, return_inverse=True)[1]
-        n, out = min(k, len(y)), []
-        for i in range(0, len(x), 256):
-            part = slice(i, i + 256)
-            near = xx[part, None] + yy[None, :] - 2 * x[part] @ y.T
-            near[ids[part, None] == others[None, :]] = np.inf
-            # the product form is inexact in its last digits: everything within them of the k-th is measured again
-            cut = np.partition(near, n - 1, axis=1)[:, n - 1] + 1e-9 * (xx[part] + yy.max())
-            row, col = np.nonzero((near <= cut[:, None]) & np.isfinite(near))
-            d = np.concatenate(
-                [((x[i + row[j : j + 50_000]] - y[col[j : j + 50_000]]) ** 2).sum(axis=1) for j in range(0, len(row), 50_000)]
-                or [np.empty(0)]
-            )
-            order = np.lexsort((places[col], d, row))
-            row, col, d = row[order], col[order], d[order]
-            place = np.arange(len(row)) - np.searchsorted(row, row)
-            row, col, d = (a[place < k] for a in (row, col, d))
-            out.append(pd.DataFrame({"id": ids[i + row], "neighbour": others[col], "d": d}))
-        return pd.concat(out).assign(c=left["c"].iloc[0])
-
-    found = (
-        base.groupBy("c", "a", "b")
-        .cogroup(against.groupBy("c", "a", "b"))
-        .applyInPandas(best, f"id {kind}, neighbour {kind}, d double, c {class_kind}")
+        row, neighbour, d = _best(x, left["id"].to_numpy(), y, right["id"].to_numpy(), k)
+        return pd.DataFrame({"id": left["id"].to_numpy()[row], "neighbour": neighbour, "d": d}).assign(c=left["c"].iloc[0])
+
+    outside = (
+        left.groupBy("c", "a", "b")
+        .cogroup(right.groupBy("c", "a", "b"))
+        .applyInPandas(other, f"id {kind}, neighbour {kind}, d double, c {class_kind}")
     )
     w = Window.partitionBy("c", "id").orderBy("d", "neighbour")
+    found = inside.unionByName(outside)
     near = found.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).drop("d")
     return near.withColumn("found", F.count(F.lit(1)).over(Window.partitionBy("c", "id")).cast("int"))
 

@@ -255,6 +255,30 @@ def test_neighbours_against_brute_force(spark, block):
         assert [have[(i, p)] for p in range(1, 6)] == want
 
 
+def test_neighbours_of_clustered_rows_visit_few_blocks(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 5)) * 100
+    x = np.concatenate([c + rng.normal(size=(40, 5)) for c in centres] + [np.repeat(centres[:1], 120, axis=0)])
+    df = spark.createDataFrame(
+        [(i, v.tolist(), ("a", "b")[i % 2]) for i, v in enumerate(x)], "id long, v array<double>, y string"
+    )
+    near = sp.nearest_neighbours(df, "id", "v", 4, block_rows=20, by="y")
+    have = {(r["id"], r["place"]): r["neighbour"] for r in near.collect()}
+    for i in range(len(x)):
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        same = [j for j in np.lexsort((np.arange(len(x)), d)) if j != i and j % 2 == i % 2][:4]
+        assert [have[(i, p)] for p in range(1, 5)] == same
+    # the rows are sent to a small part of the blocks
+    blocks = sp.pivot_blocks(df.select("id", "v", F.col("y").alias("c")), 20, 42)
+    visits = sp.neighbour_visits(blocks, 4)
+    sent = visits.agg(F.avg(F.size("visits"))).first()[0]
+    total = blocks.select("c", "block").distinct().count() / 2
+    assert total >= 15 and sent < total / 3
+    # a row of its own has nobody to meet
+    assert sp.nearest_neighbours(df.limit(1), "id", "v", 4).collect() == []
+    assert sp.nearest_neighbours(df.filter("id < 0"), "id", "v", 4, by="y").collect() == []
+
+
 def test_smote_fills_up_the_minority(spark):
     rng = np.random.default_rng(6)
     rows = [(i, int(i < 8), rng.normal(size=3).tolist()) for i in range(40)]
