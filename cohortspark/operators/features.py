@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cohortspark.functions.fixed import AGE_EDGES, AGE_LABELS, STATIC_FEATURES
 from cohortspark.functions.scalars import bin_column, case
 from cohortspark.operators.aggregates import aggregate_signals
+from cohortspark.operators.grouped import number_rows
 from cohortspark.operators.joins import merge_features
 
 
@@ -41,6 +42,38 @@ def label_encode(df: DataFrame, vocab: Mapping[str, Sequence]) -> DataFrame:
     )
 
 
+def dictionary(df: DataFrame, column: str) -> DataFrame:
+    """(value, code) of every distinct value in sorted order, codes from 0; of any size, ranked in pieces."""
+    values = df.select(F.col(column).alias("value")).filter(F.col(column).isNotNull()).distinct()
+    return number_rows(values, [], "value", "code").withColumn("code", F.col("code") - 1)
+
+
+def encode_joined(df: DataFrame, dictionaries: Mapping[str, DataFrame]) -> DataFrame:
+    """``label_encode`` by join with dictionaries of any size; Spark broadcasts those that are small.
+
+    Unseen and null values give null.  A value that most rows share is split by the adaptive join.
+    """
+    out = df
+    for c, codes in dictionaries.items():
+        named = codes.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        out = out.join(named, F.col(c) == F.col("_value"), "left").withColumn(c, F.col("_code")).drop("_value", "_code")
+    return out.select(*df.columns)
+
+
+def one_hot_sparse(df: DataFrame, dictionaries: Mapping[str, DataFrame], features: str) -> DataFrame:
+    """One-hot features as (size, positions) in the struct ``features``, for dictionaries of any size.
+
+    The columns stand one after another in the order of ``dictionaries``; unseen and null values set no position.
+    """
+    out = encode_joined(df, dictionaries)
+    sizes = [codes.agg(F.count(F.lit(1))).scalar() for codes in dictionaries.values()]
+    out = out.withColumns({f"_size{i}": n for i, n in enumerate(sizes)})
+    starts = [sum((F.col(f"_size{j}") for j in range(i)), F.lit(0)) for i in range(len(sizes) + 1)]
+    hot = F.array_compact(F.array(*[F.col(c) + start for c, start in zip(dictionaries, starts)]))
+    packed = F.struct(starts[-1].cast("bigint").alias("size"), hot.cast("array<bigint>").alias("positions"))
+    return out.withColumn(features, packed).drop(*dictionaries, *[f"_size{i}" for i in range(len(sizes))])
+
+
 def minmax_scale(df: DataFrame, bounds: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Scale by (signal, lowest, highest) rows of the training part; a constant column gives null."""
     picks = [

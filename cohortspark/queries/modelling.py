@@ -23,6 +23,43 @@ def one_hot(spark, d):
     return ft.one_hot(rows, ft.vocabulary(rows, ["c_mktsegment"]))
 
 
+def _codes_sql(column, source):
+    return (f"(SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT {column} AS v FROM {source}) x"
+            " WHERE v IS NOT NULL)")
+
+
+def _parts(spark, d):
+    lines = table(spark, d, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", F.concat(F.lit("part "), "l_partkey").alias("part"), "l_shipdate")
+
+
+_PARTS = "(SELECT l_orderkey, l_linenumber, 'part ' || l_partkey AS part, l_shipdate FROM lineitem)"
+
+
+@query("label_encode_joined", f"""
+SELECT l_orderkey, l_linenumber, a.code AS part, b.code AS l_shipdate FROM {_PARTS} p
+LEFT JOIN {_codes_sql('part', _PARTS + " t WHERE l_linenumber < 4")} a ON p.part = a.v
+LEFT JOIN {_codes_sql('l_shipdate', _PARTS + " t WHERE l_linenumber < 4")} b ON p.l_shipdate = b.v""")
+def label_encode_joined(spark, d):
+    """Part and day of every line, coded by the dictionaries of the training part (the first lines of an order)."""
+    rows = _parts(spark, d)
+    train = rows.filter("l_linenumber < 4")
+    return ft.encode_joined(rows, {c: ft.dictionary(train, c) for c in ("part", "l_shipdate")})
+
+
+@query("one_hot_sparse", f"""
+WITH a AS {_codes_sql('part', _PARTS + " t WHERE l_linenumber < 4")}, b AS {_codes_sql('l_shipdate', _PARTS + " t WHERE l_linenumber < 4")},
+ n AS (SELECT (SELECT count(*) FROM a) AS na, (SELECT count(*) FROM b) AS nb)
+SELECT l_orderkey, l_linenumber, na + nb AS size, a.code AS position FROM {_PARTS} p JOIN a ON p.part = a.v, n
+UNION ALL SELECT l_orderkey, l_linenumber, na + nb, na + b.code FROM {_PARTS} p JOIN b ON p.l_shipdate = b.v, n""")
+def one_hot_sparse(spark, d):
+    """The same as sparse positions, written out as rows."""
+    rows = _parts(spark, d)
+    train = rows.filter("l_linenumber < 4")
+    hot = ft.one_hot_sparse(rows, {c: ft.dictionary(train, c) for c in ("part", "l_shipdate")}, "features")
+    return hot.select("l_orderkey", "l_linenumber", "features.size", F.explode("features.positions").alias("position"))
+
+
 @query("label_encode", """
 SELECT c_custkey, r - 1 AS c_mktsegment FROM customer JOIN
  (SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) AS r FROM (SELECT DISTINCT c_mktsegment FROM customer) x) y

@@ -5,12 +5,13 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortspark.operators import features as ft
 from cohortspark.operators import metrics as mt
 from cohortspark.operators import sampling as sp
 from cohortspark.operators import training as tr
-from cohortspark.queries.base import IMB, SERIES, imb, query, r6, rounded, series, table, vec
+from cohortspark.queries.base import IMB, SERIES, WEEKLY, imb, query, r6, rounded, series, table, vec, weekly
 from cohortspark.session import shared_dir
 from cohortspark.sources import tables as tb
 
@@ -141,6 +142,33 @@ def snapshot_roundtrip(spark, d):
     return tb.read_snapshot(spark, path).withColumn("item", F.col("item").cast("string"))
 
 
+def _bucketed(spark, d):
+    """Events and weekly stays as tables with the same buckets of entities."""
+    folder, run = _folder(spark), uuid4().hex
+    rows = series(spark, d).select("entity", "t", "value", "item")
+    events = tb.write_bucketed(rows, f"events_{run}", "entity", 8, ["t"], f"{folder}/events")
+    stays = tb.write_bucketed(weekly(spark, d), f"stays_{run}", "entity", 8, ["intime"], f"{folder}/stays")
+    return events, stays
+
+
+@query("bucketed_join", f"""
+SELECT e.entity, week, t, value, row_number() OVER (PARTITION BY e.entity ORDER BY t, week) AS place
+FROM {SERIES} e JOIN {WEEKLY} w ON e.entity = w.entity AND t >= intime AND t <= outtime""")
+def bucketed_join(spark, d):
+    """Tables bucketed by entity, joined and numbered by entity without a shuffle."""
+    events, stays = (rows.hint("merge") for rows in _bucketed(spark, d))
+    met = events.join(stays, "entity").filter("t >= intime AND t <= outtime")
+    place = F.row_number().over(Window.partitionBy("entity").orderBy("t", "week"))
+    return met.select("entity", "week", "t", "value", place.alias("place"))
+
+
+@query("create_table", "SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders")
+def create_table(spark, d):
+    """A catalog table sorted inside its files, read back by name."""
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return tb.create_table(rows, f"orders_{uuid4().hex}", ["o_custkey", "o_orderdate"], path=_folder(spark) + "/orders")
+
+
 @query("scores_roundtrip", f"""
 SELECT 'bin' AS label, 'fl' AS model, CAST(2 AS INTEGER) AS n_clients, CAST(96 AS INTEGER) AS "window", 'test' AS split, 'accuracy' AS metric,
  doc_id % 5 AS fold, CASE WHEN lang = 'en' THEN 1 ELSE 2 END AS client, 0 AS epoch,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 SCORE_SCHEMA = (
@@ -48,6 +48,9 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Parquet files; with ``partition_by``, rows are gathered per folder first, so folders hold few files."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
@@ -63,16 +66,34 @@ def write_table(df: DataFrame, folder: str, name: str, hours: int) -> str:
     return path
 
 
-def create_table(df: DataFrame, name: str, order: Sequence[str] = (), total_order: bool = False) -> None:
-    """CREATE TABLE AS SELECT.  Rows are sorted inside every file; a total order only on request."""
+def create_table(
+    df: DataFrame, name: str, order: Sequence[str] = (), total_order: bool = False, path: str | None = None
+) -> DataFrame:
+    """CREATE TABLE AS SELECT.  Rows are sorted inside every file; a total order only on request.
+
+    With ``path`` the files lie there.  Returns the table as it is read back.
+    """
     out = df.orderBy(*order) if order and total_order else df.sortWithinPartitions(*order) if order else df
-    out.write.mode("overwrite").saveAsTable(name)
+    _at(out.write.mode("overwrite"), path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def write_bucketed(
+    df: DataFrame, name: str, key: str, buckets: int, order: Sequence[str] = (), path: str | None = None
+) -> DataFrame:
+    """Table bucketed by entity, so that later joins and windows on the entity need no shuffle.
 
+    Rows are dealt to their buckets first, so every bucket is one sorted file.  Returns the table as it is read back;
+    tables that are joined need the same number of buckets.
+    """
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key, *order)
+    writer = _at(dealt.write.mode("overwrite"), path).bucketBy(buckets, key).sortBy(key, *order)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
 
-def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, order: Sequence[str] = ()) -> None:
-    """Table bucketed by entity, so that later joins and windows on the entity need no shuffle."""
-    writer = df.write.mode("overwrite").bucketBy(buckets, key)
-    (writer.sortBy(key, *order) if order else writer).saveAsTable(name)
+
+def _at(writer: DataFrameWriter, path: str | None) -> DataFrameWriter:
+    return writer.option("path", path) if path else writer
 
 
 def code_table(spark: SparkSession, rows: Iterable[tuple], schema: str = "code string, type string") -> DataFrame:
@@ -81,9 +102,12 @@ def code_table(spark: SparkSession, rows: Iterable[tuple], schema: str = "code s
 
 
 def write_scores(df: DataFrame, folder: str, kind: str = "scores") -> None:
-    """Add the rows of a run; rows of the same run key (a partition) are replaced, other runs stay."""
+    """Add the rows of a run; rows of the same run key (a partition) are replaced, other runs stay.
+
+    Rows are gathered by run key into files of the advisory size: small runs share a task, a large run is split.
+    """
     (
-        df.repartition(*RUN_KEY)
+        df.hint("rebalance", *[F.col(c) for c in RUN_KEY])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*RUN_KEY)

@@ -342,6 +342,64 @@ def test_random_kernels(spark):
     assert out[2]["features"][7] == pytest.approx(np.mean(np.array(conv) > 0))
 
 
+@pytest.mark.parametrize("target", [None, 40])
+def test_dictionaries_of_any_size(spark, monkeypatch, target):
+    from cohortspark.operators import grouped
+
+    if target:
+        monkeypatch.setattr(grouped, "TARGET_ROWS", target)
+    train = spark.range(900).select(F.concat(F.lit("v"), F.col("id") % 450).alias("a"), (F.col("id") % 7).alias("b"))
+    codes = {c: ft.dictionary(train, c) for c in ("a", "b")}
+    values = sorted({f"v{i % 450}" for i in range(900)})
+    assert got(codes["a"], "code") == [(v, i) for i, v in enumerate(values)]
+    rows = [(1, "v17", 6), (2, "other", 0), (3, None, None), (4, "v9", 99)]
+    test = spark.createDataFrame(rows, "k int, a string, b long")
+    out = got(ft.encode_joined(test, codes), "k")
+    assert out == [(1, values.index("v17"), 6), (2, None, 0), (3, None, None), (4, values.index("v9"), None)]
+    hot = [(r.k, r.f.size, r.f.positions) for r in ft.one_hot_sparse(test, codes, "f").orderBy("k").collect()]
+    assert hot == [(1, 457, [values.index("v17"), 456]), (2, 457, [450]), (3, 457, []), (4, 457, [values.index("v9")])]
+    # equal to the dictionary on the driver where that is allowed
+    few = {"b": ft.vocabulary(train, ["b"])["b"]}
+    assert got(ft.label_encode(test, few), "k") == got(ft.encode_joined(test, {"b": codes["b"]}), "k")
+    none = ft.dictionary(train.filter("a is null"), "a")
+    assert got(ft.encode_joined(test, {"a": none}), "k")[0] == (1, None, 6)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(500).select((F.col("id") % 20).alias("e"), F.col("id").alias("t"))
+    a = tb.write_bucketed(rows, "bucketed_a", "e", 4, ["t"], f"{tmp_path}/a")
+    b = tb.write_bucketed(rows.groupBy("e").count(), "bucketed_b", "e", 4, [], f"{tmp_path}/b")
+    try:
+        w = wn.Window.partitionBy("e").orderBy("t")
+        out = a.join(b.hint("merge"), "e").withColumn("r", F.row_number().over(w))
+        plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+        assert "Exchange" not in plan
+        assert out.count() == 500 and out.agg(F.max("r")).first()[0] == 25
+    finally:
+        spark.sql("DROP TABLE bucketed_a")
+        spark.sql("DROP TABLE bucketed_b")
+
+
+def test_large_runs_are_split_over_files(spark, tmp_path):
+    from pathlib import Path
+
+    large = spark.range(200_000).select(
+        F.lit("bin").alias("label"), F.when(F.col("id") % 10 == 0, "lml").otherwise("fl").alias("model"),
+        F.lit(2).alias("n_clients"), F.lit(96).alias("window"), F.lit("test").alias("split"), F.lit("mae").alias("metric"),
+        F.lit(0).alias("fold"), F.lit(0).alias("client"), F.col("id").cast("int").alias("epoch"),
+        F.rand(3).alias("value"),
+    )
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        tb.write_scores(large.repartition(8), str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = {m: len(list(Path(tmp_path).rglob(f"model={m}/**/*.parquet"))) for m in ("fl", "lml")}
+    assert files["fl"] > 2 and files["lml"] >= 1
+    assert tb.read_scores(spark, str(tmp_path), model="fl").count() == 180_000
+
+
 def test_vocabulary_is_shared_and_bounded(spark):
     train = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
     vocab = ft.vocabulary(train, ["c"])
