@@ -105,6 +105,24 @@ def undersample(
     return _ranked(marked, id_column, [label], seed, lambda size: F.col("_keep")).drop("_rank", "_size", "_keep")
 
 
+def balanced_bootstrap(df: DataFrame, label: str, id_column: str, trees: int, seed=42) -> DataFrame:
+    """One balanced sample per tree: every class gives as many rows as the smallest class has, drawn with replacement.
+
+    Returns the rows with ``tree`` (from 0) and ``draw`` (from 1 inside tree and class).  The drawn rank is the hash of
+    (seed, class, tree, draw) over the rows of the class in hash order, so a sample is the same on any partitioning;
+    rows without a label are left out.
+    """
+    rows = df.filter(F.col(label).isNotNull())
+    ranked = _ranked(rows, id_column, [label], seed)
+    sizes = rows.groupBy(F.col(label).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    wanted = sizes.withColumn("_copies", sizes.agg(F.min("_n")).scalar())
+    wanted = _repeated(wanted.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))))
+    drawn = F.floor(hash_fraction(f"{seed}t", "_c", "tree", "copy") * F.col("_n")) + 1
+    draws = wanted.select("_c", "tree", F.col("copy").alias("draw"), drawn.alias("_at"))
+    met = draws.join(ranked, (F.col("_c") == F.col(label)) & (F.col("_at") == F.col("_rank")))
+    return met.select(*df.columns, "tree", "draw")
+
+
 def oversample(df: DataFrame, label: str, id_column: str, seed=42) -> DataFrame:
     """Repeat rows of every class up to the size of the largest, evenly; ``copy`` numbers the repeats from 1."""
     out = _ranked(df, id_column, [label], seed)

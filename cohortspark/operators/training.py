@@ -8,19 +8,21 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import product
 from multiprocessing.pool import ThreadPool
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.operators.metrics import classification_report
-from cohortspark.operators.sampling import hash_fraction, kfold, oversample, smote_classes, undersample
-from cohortspark.session import cut_lineage
+from cohortspark.operators.sampling import balanced_bootstrap, hash_fraction, kfold, oversample, smote_classes, undersample
+from cohortspark.session import cut_lineage, shared_dir
 
 VECTOR = "_vector"
 
@@ -75,19 +77,59 @@ def fit_gbt(df: DataFrame, features: str, label: str, **params):
     return boosted(label, **params).fit(as_vectors(df, features, label))
 
 
-def balance_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Weight that gives every class the same total."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.struct(F.sum("_n").alias("all"), F.count(F.lit(1)).alias("k"))).scalar()
-    shares = counts.withColumn("_t", total)
-    weight = F.col("_t.all") / (F.col("_t.k") * F.col("_n"))
-    return df.join(shares.select(label, weight.alias(name)), label)
-
-
-def fit_balanced_forest(df: DataFrame, features: str, label: str, **params):
-    """Forest whose trees see every class with equal weight in their bootstrap."""
-    weighted = as_vectors(balance_weights(df, label), features, label)
-    return forest(label, weightCol="weight", **params).fit(weighted)
+class VotingForest:
+    """Trees fitted apart, which vote with the mean of their class probabilities."""
+
+    def __init__(self, trees: Sequence):
+        self.trees = list(trees)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with the mean ``probability`` and the class where it is highest, the lower class of equal ones."""
+        names = df.columns
+        total = None
+        out = df
+        for i, tree in enumerate(self.trees):
+            # only the probability of a tree is written out
+            tree = tree.copy().setFeaturesCol(VECTOR).setProbabilityCol(f"_p{i}").setRawPredictionCol("").setPredictionCol("")
+            out = tree.transform(out)
+            said = vector_to_array(f"_p{i}")
+            total = said if total is None else F.zip_with(total, said, lambda a, b: a + b)
+            if i % 10 == 9 or i + 1 == len(self.trees):
+                out = out.select(*names, total.alias("_total"))
+                total = F.col("_total")
+        n = float(len(self.trees))
+        mean = F.transform("_total", lambda p: p / n)
+        out = out.select(*names, mean.alias("_mean"))
+        best = (F.array_position("_mean", F.array_max("_mean")) - 1).cast("double")
+        return out.select(*names, array_to_vector("_mean").alias("probability"), best.alias("prediction"))
+
+    @property
+    def featureImportances(self):
+        return Vectors.dense(np.mean([tree.featureImportances.toArray() for tree in self.trees], axis=0))
+
+
+def fit_balanced_forest(
+    df: DataFrame, features: str, label: str, id_column: str, seed: int = 42, parallelism: int = 4, **params
+) -> VotingForest:
+    """Forest whose every tree is fitted on its own balanced bootstrap sample (see ``balanced_bootstrap``).
+
+    The samples of all trees are drawn in one job and written below the shared folder, a folder per tree; they hold
+    trees x classes x rows of the smallest class, not a multiple of the whole table.
+    """
+    settings = {**FOREST, **params}
+    trees = settings.pop("numTrees")
+    sample = balanced_bootstrap(df.select(id_column, label, features), label, id_column, trees, seed)
+    path = f"{shared_dir(df.sparkSession)}/bootstrap-{uuid4().hex}"
+    sample.repartition("tree", label).write.partitionBy("tree").parquet(path)
+    drawn = df.sparkSession.read.schema(sample.schema).parquet(path)
+
+    def fit(tree: int):
+        rows = as_vectors(drawn.filter(F.col("tree") == tree), features, label)
+        single = {**settings, "numTrees": 1, "bootstrap": False, "seed": seed + tree}
+        return RandomForestClassifier(featuresCol=VECTOR, labelCol=label, **single).fit(rows)
+
+    with ThreadPool(parallelism) as pool:
+        return VotingForest(pool.map(fit, range(trees)))
 
 
 def predict(model, df: DataFrame, features: str, keep: Sequence[str]) -> DataFrame:

@@ -50,7 +50,24 @@ def gbt_predict(spark, d):
 @query("balanced_forest")
 def balanced_forest(spark, d):
     train, test = _parts(spark, d)
-    return _said(tr.fit_balanced_forest(train, "embedding", "y", **FAST_FOREST), test)
+    return _said(tr.fit_balanced_forest(train, "embedding", "y", "vec_id", **FAST_FOREST), test)
+
+
+_HASH = "md5(concat_ws('|', '42', CAST(vec_id AS VARCHAR)))"
+_DRAWN = "CAST(('0x' || substr(md5(concat_ws('|', '42t', y, tree, draw)), 1, 8)) AS BIGINT)"
+
+
+@query("balanced_bootstrap", f"""
+WITH r AS (SELECT vec_id, CASE WHEN label < 2 THEN 1 ELSE 0 END AS y FROM embeddings),
+ k AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {_HASH}, vec_id) AS place FROM r),
+ n AS (SELECT y, count(*) AS n FROM r GROUP BY 1),
+ d AS (SELECT y, n, tree, draw FROM n, (SELECT unnest(generate_series(0, 19)) AS tree) t,
+  (SELECT unnest(generate_series(1, (SELECT min(n) FROM n))) AS draw) w),
+ p AS (SELECT *, floor({_DRAWN} / 4294967296.0::DOUBLE * n) + 1 AS place FROM d)
+SELECT tree, y, draw, vec_id FROM p JOIN k USING (y, place)""")
+def balanced_bootstrap(spark, d):
+    """Which row every tree of the balanced forest draws."""
+    return sp.balanced_bootstrap(_rows(spark, d), "y", "vec_id", 20).select("tree", "y", "draw", "vec_id")
 
 
 @query("logistic_panel")

@@ -279,6 +279,50 @@ def test_neighbours_of_clustered_rows_visit_few_blocks(spark):
     assert sp.nearest_neighbours(df.filter("id < 0"), "id", "v", 4, by="y").collect() == []
 
 
+def test_balanced_bootstrap_against_plain_python(spark):
+    from hashlib import md5
+
+    rows = [(i, None if i == 50 else "few" if i % 11 == 0 else "many") for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, y string")
+    out = sp.balanced_bootstrap(df, "y", "id", 3, seed=9)
+    have = sorted((r.tree, r.y, r.draw, r.id) for r in out.collect())
+
+    def drawn(*parts):
+        return int(md5("|".join(map(str, parts)).encode()).hexdigest()[:8], 16) / 2**32
+
+    classes = {}
+    for i, y in rows:
+        if y:
+            classes.setdefault(y, []).append(i)
+    for ids in classes.values():
+        ids.sort(key=lambda i: (md5(f"9|{i}".encode()).hexdigest(), i))
+    n = min(map(len, classes.values()))
+    want = [
+        (t, y, j, ids[int(drawn("9t", y, t, j) * len(ids))])
+        for t in range(3) for y, ids in classes.items() for j in range(1, n + 1)
+    ]
+    assert have == sorted(want)
+    assert sp.balanced_bootstrap(df.filter("id < 0"), "y", "id", 3).collect() == []
+
+
+def test_balanced_forest_votes_with_the_mean_of_its_trees(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, int(i < 20), (rng.normal(size=3) + (2.5 if i < 20 else 0)).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, y int, v array<double>")
+    model = tr.fit_balanced_forest(df, "v", "y", "id", numTrees=12, maxDepth=4)
+    out = tr.predict(model, df, "v", ["id", "y"]).collect()
+    assert sum(r.prediction == r.y for r in out) > 260 and sum(r.prediction for r in out if r.y) >= 16
+    apart = [{r.id: r.probability for r in tr.predict(t, df, "v", ["id"]).collect()} for t in model.trees[:12]]
+    for r in out[:40]:
+        assert r.probability == pytest.approx(np.mean([p[r.id] for p in apart], axis=0))
+        assert r.prediction == int(np.argmax(r.probability))
+    assert sum(model.featureImportances.toArray()) == pytest.approx(1)
+    again = tr.fit_balanced_forest(df, "v", "y", "id", numTrees=12, maxDepth=4)
+    assert [r.probability for r in tr.predict(again, df, "v", ["id"]).orderBy("id").collect()] == [
+        r.probability for r in sorted(out, key=lambda r: r.id)
+    ]
+
+
 def test_smote_fills_up_the_minority(spark):
     rng = np.random.default_rng(6)
     rows = [(i, int(i < 8), rng.normal(size=3).tolist()) for i in range(40)]
