@@ -73,7 +73,7 @@ def op6_chat_formatting(spark, d):
 
 def _licence_sql() -> str:
     """The same scan in SQL, with the templates as values."""
-    grams = [(i, name, licences.template_bigrams(text)) for i, (name, text) in enumerate(licences.TEMPLATES)]
+    grams = [(i, name, licences.template_bigrams(text)) for i, (name, text) in enumerate(licences.STANDARD)]
     values = ", ".join(f"({i}, '{name}', '{g}')" for i, name, gs in grams for g in gs)
     return rf"""
 WITH t(template, licence, gram) AS (VALUES {values}),
@@ -285,7 +285,8 @@ pre AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS depth FROM s),
 nodes AS (SELECT s[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
     sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len(s)), '')) AS ends_sha256
     FROM pre GROUP BY 1, 2),
-w AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(node[depth].x, '[^ 	-]+')) END AS words FROM nodes),
+w AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(node[depth].x, '[^ 	-
+]+')) END AS words FROM nodes),
 kids AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
 n AS (SELECT w.*, coalesce(n_children, 0) AS n_children FROM w LEFT JOIN kids USING (node)),
 below AS (SELECT a.node, sum((b.n_children = 0)::INT) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved_tokens
@@ -348,9 +349,12 @@ twice AS (SELECT conv_id, turn, role, text FROM changed UNION ALL SELECT conv_id
 rows AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
     count(*) OVER (PARTITION BY conv_id) AS size FROM twice),
 marked AS (SELECT *, left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before,
-    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+    CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
         WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
-        WHEN regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault FROM rows),
+        WHEN regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault FROM rows),
 coded AS (SELECT conv_id, size - n + 1 AS k, i, fault IN ('fine', 'truncated') AS stays,
     CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra FROM marked),
 best AS (SELECT DISTINCT conv_id, 0::BIGINT AS k, {{'c': 0, 'a': ''}} AS q, {{'c': 6, 'a': 'II'}} AS s, {{'c': 3, 'a': 'I'}} AS u, {{'c': 0, 'a': ''}} AS a FROM conversations
