@@ -84,7 +84,6 @@ def standard_templates() -> tuple[tuple[str, str], ...]:
 STANDARD: tuple[tuple[str, str], ...] = (*TEMPLATES, *standard_templates())
 
 THRESHOLD = 0.8
-LONG_WORD = 5
 #: Templates are taken together by their distinct bigrams; each tier has anchors of its own, looked for only in units long
 #: enough for its smallest template.
 TIERS = (1, 16, 48, 128, 512, 1200, 2200, 1 << 62)
@@ -96,33 +95,26 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
-def anchors(templates: Sequence[Sequence[str]], threshold: float) -> tuple[list[str], list[str]]:
-    """Words and bigrams of which every unit with ``dice >= threshold`` to a template has at least one.
+def least_common(n: int, threshold: float) -> int:
+    """Bigrams of a template's ``n`` that a unit with ``dice >= threshold`` shares at least: ``n * t / (2 - t)``."""
+    return math.ceil(n * threshold / (2 - threshold) - 1e-9)
 
-    Such a unit shares ``c >= b * t / (2 - t)`` of the template's ``b`` bigrams, so it has one of any ``b - c + 1`` of
-    them.  Long words stand for all bigrams they are in; where a template has none left, single bigrams are added.
+
+def anchors(templates: Sequence[Sequence[str]], threshold: float) -> list[str]:
+    """Words of which every unit with ``dice >= threshold`` to a template has at least one.
+
+    Such a unit shares ``least_common`` of the template's ``b`` bigrams, so it has one of any ``b - least_common + 1`` of
+    them, and both words of that one.  Long words that stand in many bigrams are taken first.
     """
     words: list[str] = []
-    pairs: list[str] = []
     for grams in sorted(templates, key=len):
-        wanted = len(grams) - math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9) + 1
-        left = [g for g in grams if not set(g.split(" ")) & set(words) and g not in pairs]
-        while len(grams) - len(left) < wanted:
-            long = Counter(w for g in left for w in set(g.split(" ")) if len(w) >= LONG_WORD)
-            if long:
-                words.append(max(sorted(long), key=lambda w: (min(len(w), 7), long[w])))
-                left = [g for g in left if words[-1] not in g.split(" ")]
-            else:
-                pairs.append(max(left, key=len))
-                left.remove(pairs[-1])
-    return words, pairs
-
-
-def least_length(grams: Sequence[str], threshold: float) -> int:
-    """Characters that a unit with ``dice >= threshold`` has at least: it holds ``b * t / (2 - t)`` of the bigrams, and
-    each word, with the space behind it, is in two of them at most."""
-    common = math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
-    return sum(sorted(len(g) + 1 for g in grams)[:common]) // 2 - 1
+        allowed = least_common(len(grams), threshold) - 1  # bigrams that may stay without an anchor
+        left = [g for g in grams if not set(g.split(" ")) & set(words)]
+        while len(left) > allowed:
+            count = Counter(w for g in left for w in set(g.split(" ")))
+            words.append(max(sorted(count), key=lambda w: (min(len(w), 7), count[w])))
+            left = [g for g in left if words[-1] not in g.split(" ")]
+    return words
 
 
 def _literal(texts: Sequence[str]) -> Column:
@@ -142,18 +134,29 @@ def _bigrams(words: Column) -> Column:
 
 
 def _units(text: Column) -> Column:
-    """The lines, the paragraphs of several lines, and the whole text where it has several paragraphs."""
-    paragraphs = F.split(text, r"\n[\x20\t\r]*\n")
+    """Words of the lines, of the paragraphs of several lines, and of the whole text where it has several paragraphs.
 
-    def unit(kind: str, number: Column, body: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), number.cast("int").alias("number"), body.alias("body"))
+    No word goes over a line feed, so the words of a whole text are those of its lines.
+    """
+    between = r"\n[\x20\t\r]*\n"
 
-    lines = F.transform(F.split(text, "\n"), lambda x, i: unit("line", i, x))
-    blocks = F.filter(
-        F.transform(paragraphs, lambda x, i: unit("paragraph", i, x)), lambda u: F.contains(u["body"], F.lit("\n"))
-    )
-    whole = F.when(F.size(paragraphs) > 1, F.array(unit("document", F.lit(0), text)))
-    return F.concat(lines, blocks, F.coalesce(whole, F.array().cast("array<struct<kind:string,number:int,body:string>>")))
+    def unit(kind: str, number: Column, words: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), number.cast("int").alias("number"), words.alias("words"))
+
+    def with_lines(lines: Column) -> Column:
+        numbered = F.transform(F.split(text, between), lambda x, i: F.struct(i.alias("number"), x.alias("body")))
+        blocks = F.transform(
+            F.filter(numbered, lambda p: F.contains(p["body"], F.lit("\n"))),
+            lambda p: unit("paragraph", p["number"], words_of(p["body"])),
+        )
+        several = F.concat(blocks, F.array(unit("document", F.lit(0), F.flatten(lines))))
+        single = F.array(unit("paragraph", F.lit(0), F.flatten(lines)))
+        alone = F.array().cast("array<struct<kind:string,number:int,words:array<string>>>")
+        larger = F.when(text.rlike(between), several).when(F.size(lines) > 1, single).otherwise(alone)
+        return F.concat(F.transform(lines, lambda x, i: unit("line", i, x)), larger)
+
+    # in a lambda, so that the lines are worked out once
+    return F.transform(F.array(F.transform(F.split(text, "\n"), words_of)), with_lines)[0]
 
 
 def scan_licences(
@@ -168,19 +171,12 @@ def scan_licences(
     Units are the lines (``number`` counts from 0), paragraphs of several lines, and the whole text when it has
     several paragraphs.  Dice is ``2 * common / (a + b)`` over distinct bigrams.  With ``dice >= t`` a unit has
     between ``t / (2 - t)`` and ``(2 - t) / t`` times as many bigrams as the template; templates outside are not
-    compared.  Before that, texts and units are left out that have none of the ``anchors``, or fewer words of any
-    template than the bound on common bigrams demands.  The template with the highest Dice is reported, of equal ones the first.  Null and empty texts
-    have no units that match.  Repeated rows are reported each; other columns are not read.
+    compared.  Before that, units are left out that have none of the ``anchors`` of the templates of their size, or fewer
+    words of these templates than the bound on common bigrams demands.  The template with the highest Dice is reported,
+    of equal ones the first.  Null and empty texts have no units that match.  Repeated rows are reported each; other columns are not read.
     """
     made = [(name, i, template_bigrams(text)) for i, (name, text) in enumerate(templates)]
     made = [m for m in made if m[2]]
-    vocabulary = sorted({w for _, _, b in made for pair in b for w in pair.split(" ")})
-    least = min(len(b) for _, _, b in made)
-
-    def likely(u: Column) -> Column:
-        known = F.size(F.filter(u["words"], lambda w: w.isin(vocabulary)))
-        bound = (F.size(F.array_distinct(u["words"])) - 1 + least) * (threshold / 2)
-        return known >= F.greatest(bound - 1e-9, F.lit(1.0))
 
     def score(grams: Column, name: str, i: int, template: list[str]) -> Column:
         n, b = F.size(grams), len(template)
@@ -193,35 +189,34 @@ def scan_licences(
         scores = F.filter(F.array(*[score(u["grams"], *m) for m in made]), lambda s: s["dice"] >= threshold)
         return F.struct(u["kind"].alias("kind"), u["number"].alias("number"), F.array_max(scores).alias("best"))
 
-    def with_words(u: Column) -> Column:
-        return F.struct(u["kind"].alias("kind"), u["number"].alias("number"), words_of(u["body"]).alias("words"))
-
     def with_grams(u: Column) -> Column:
         return F.struct(u["kind"].alias("kind"), u["number"].alias("number"), _bigrams(u["words"]).alias("grams"))
 
-    # one nested expression: each lambda variable is evaluated once, where separate projections would be merged and
-    # evaluated again for every use
-    def any_anchor(lower: Column, templates: list[list[str]]) -> Column:
-        words, pairs = anchors(templates, threshold)
-        has = F.exists(_literal(words), lambda w: F.contains(lower, w)) if words else F.lit(False)
-        pattern = "|".join(p.replace(" ", r"[^\p{L}\p{N}]+") for p in pairs)
-        return has | lower.rlike(pattern) if pairs else has
-
     tiers = [[m[2] for m in made if low <= len(m[2]) < high] for low, high in zip(TIERS, TIERS[1:])]
 
-    def marked(text: Column) -> Column:
-        def in_tier(t: Column, tier: list[list[str]]) -> Column:
-            long_enough = F.length(t) >= min(least_length(grams, threshold) for grams in tier)
-            return long_enough & any_anchor(t, tier)
+    def likely(u: Column, tier: list[list[str]]) -> Column:
+        """Can the unit match a template of the tier: by its words, an anchor, its size, and the words it shares."""
+        words, sizes = u["words"], [len(grams) for grams in tier]
+        vocabulary = sorted({w for grams in tier for pair in grams for w in pair.split(" ")})
+        least, most = min(sizes), (2 - threshold) / threshold * max(sizes)
 
-        def any_in(t: Column) -> Column:
-            return reduce(Column.__or__, [in_tier(t, tier) for tier in tiers if tier], F.lit(False))
+        def by_distinct(distinct: Column) -> Column:  # a unit has at least ``distinct - 1`` bigrams
+            known = F.size(F.filter(words, lambda w: w.isin(vocabulary)))
+            return (distinct - 1 <= most + 1e-9) & (known >= (distinct - 1 + least) * (threshold / 2) - 1e-9)
 
-        return F.transform(F.array(F.lower(text)), any_in)[0]
+        wanted = anchors(tier, threshold)
+        return (
+            (F.size(words) > least_common(least, threshold))
+            & F.exists(words, lambda w: w.isin(wanted))
+            & F.exists(F.array(F.size(F.array_distinct(words))), by_distinct)
+        )
 
-    text = text_of(text_column)
-    raw = F.when(marked(text), F.filter(_units(text), lambda u: marked(u["body"])))
-    units = F.filter(F.transform(raw, with_words), likely)
+    def marked(u: Column) -> Column:
+        return reduce(Column.__or__, [likely(u, tier) for tier in tiers if tier], F.lit(False))
+
+    # one nested expression: each lambda variable is evaluated once, where separate projections would be merged and
+    # evaluated again for every use
+    units = F.filter(_units(text_of(text_column)), marked)
     found = F.filter(F.transform(F.transform(units, with_grams), best), lambda u: u["best"].isNotNull())
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.explode(found).alias("u"))
     best = rows.select("doc_id", "u.kind", "u.number", "u.best")
