@@ -89,9 +89,19 @@ THRESHOLD = 0.8
 TIERS = (1, 16, 48, 128, 512, 1200, 2200, 1 << 62)
 
 
+def plain_words(text: str) -> list[str]:
+    """Normalised words of a template."""
+    return re.sub(r"[\W_]+", " ", text.lower()).split()
+
+
+def opening(text: str) -> str:
+    """The first two words of a template."""
+    return " ".join(plain_words(text)[:2])
+
+
 def template_bigrams(text: str) -> list[str]:
     """Distinct word bigrams of a normalised template, in order."""
-    words = re.sub(r"[\W_]+", " ", text.lower()).split()
+    words = plain_words(text)
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
@@ -133,8 +143,8 @@ def _bigrams(words: Column) -> Column:
     return F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
 
 
-def _units(text: Column) -> Column:
-    """Words of the lines, of the paragraphs of several lines, and of the whole text where it has several paragraphs.
+def _units(text: Column, lines: Column) -> Column:
+    """Words of the lines (given), of the paragraphs of several lines, and of the whole text where it has several paragraphs.
 
     No word goes over a line feed, so the words of a whole text are those of its lines.
     """
@@ -143,20 +153,16 @@ def _units(text: Column) -> Column:
     def unit(kind: str, number: Column, words: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), number.cast("int").alias("number"), words.alias("words"))
 
-    def with_lines(lines: Column) -> Column:
-        numbered = F.transform(F.split(text, between), lambda x, i: F.struct(i.alias("number"), x.alias("body")))
-        blocks = F.transform(
-            F.filter(numbered, lambda p: F.contains(p["body"], F.lit("\n"))),
-            lambda p: unit("paragraph", p["number"], words_of(p["body"])),
-        )
-        several = F.concat(blocks, F.array(unit("document", F.lit(0), F.flatten(lines))))
-        single = F.array(unit("paragraph", F.lit(0), F.flatten(lines)))
-        alone = F.array().cast("array<struct<kind:string,number:int,words:array<string>>>")
-        larger = F.when(text.rlike(between), several).when(F.size(lines) > 1, single).otherwise(alone)
-        return F.concat(F.transform(lines, lambda x, i: unit("line", i, x)), larger)
-
-    # in a lambda, so that the lines are worked out once
-    return F.transform(F.array(F.transform(F.split(text, "\n"), words_of)), with_lines)[0]
+    numbered = F.transform(F.split(text, between), lambda x, i: F.struct(i.alias("number"), x.alias("body")))
+    blocks = F.transform(
+        F.filter(numbered, lambda p: F.contains(p["body"], F.lit("\n"))),
+        lambda p: unit("paragraph", p["number"], words_of(p["body"])),
+    )
+    several = F.concat(blocks, F.array(unit("document", F.lit(0), F.flatten(lines))))
+    single = F.array(unit("paragraph", F.lit(0), F.flatten(lines)))
+    alone = F.array().cast("array<struct<kind:string,number:int,words:array<string>>>")
+    larger = F.when(text.rlike(between), several).when(F.size(lines) > 1, single).otherwise(alone)
+    return F.concat(F.transform(lines, lambda x, i: unit("line", i, x)), larger)
 
 
 def scan_licences(
@@ -168,8 +174,10 @@ def scan_licences(
 ) -> DataFrame:
     """Units of the documents that match a template: doc_id, kind, number, licence, template, dice.
 
-    Units are the lines (``number`` counts from 0), paragraphs of several lines, and the whole text when it has
-    several paragraphs.  Dice is ``2 * common / (a + b)`` over distinct bigrams.  With ``dice >= t`` a unit has
+    Units are the lines (``number`` counts from 0), paragraphs of several lines, the whole text when it has several
+    paragraphs, and passages: a passage begins at any word of the text (``number`` counts words from 0) where the first
+    two words of a template stand, and has as many words as that template (fewer at the end of the text), wherever lines
+    and paragraphs end.  So a notice is found inside a comment block or a long line too.  Dice is ``2 * common / (a + b)`` over distinct bigrams.  With ``dice >= t`` a unit has
     between ``t / (2 - t)`` and ``(2 - t) / t`` times as many bigrams as the template; templates outside are not
     compared.  Before that, units are left out that have none of the ``anchors`` of the templates of their size, or fewer
     words of these templates than the bound on common bigrams demands.  The template with the highest Dice is reported,
@@ -214,10 +222,42 @@ def scan_licences(
     def marked(u: Column) -> Column:
         return reduce(Column.__or__, [likely(u, tier) for tier in tiers if tier], F.lit(False))
 
+    openings = sorted({opening(templates[i][1]) for _, i, _ in made})
+    first_words = sorted({o.split(" ")[0] for o in openings})
+
+    def at(words: Column, i: Column) -> Column:
+        return F.concat(words[i], F.lit(" "), words[i + 1])
+
+    def passage(words: Column, i: Column) -> Column:
+        begun = at(words, i)
+
+        def whole(name: str, order: int, template: list[str]) -> Column:
+            n = len(plain_words(templates[order][1]))
+            left = F.size(words) - i > least_common(len(template), threshold)
+            cut = F.array(_bigrams(F.slice(words, i + 1, F.lit(n))))
+            one = F.transform(cut, lambda grams: score(grams, name, order, template))[0]
+            return F.when((begun == opening(templates[order][1])) & left, one)
+
+        scores = F.filter(F.array(*[whole(*m) for m in made]), lambda s: s["dice"] >= threshold)
+        return F.struct(F.lit("passage").alias("kind"), i.cast("int").alias("number"), F.array_max(scores).alias("best"))
+
+    def passages(words: Column) -> Column:
+        places = F.when(F.size(words) > 1, F.sequence(F.lit(0), F.size(words) - 2))
+        begun = F.filter(places, lambda i: words[i].isin(first_words) & at(words, i).isin(openings))
+        return F.transform(F.coalesce(begun, F.array().cast("array<int>")), lambda i: passage(words, i))
+
+    def matched(lines: Column) -> Column:
+        units = F.filter(_units(text, lines), marked)
+        return F.concat(
+            F.transform(F.transform(units, with_grams), best),
+            F.transform(F.array(F.flatten(lines)), passages)[0],
+        )
+
     # one nested expression: each lambda variable is evaluated once, where separate projections would be merged and
     # evaluated again for every use
-    units = F.filter(_units(text_of(text_column)), marked)
-    found = F.filter(F.transform(F.transform(units, with_grams), best), lambda u: u["best"].isNotNull())
+    text = text_of(text_column)
+    lines = F.array(F.transform(F.split(text, "\n"), words_of))
+    found = F.filter(F.transform(lines, matched)[0], lambda u: u["best"].isNotNull())
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.explode(found).alias("u"))
     best = rows.select("doc_id", "u.kind", "u.number", "u.best")
     return best.select(

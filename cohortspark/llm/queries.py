@@ -75,6 +75,8 @@ def _licence_sql() -> str:
     """The same scan in SQL, with the templates as values."""
     grams = [(i, name, licences.template_bigrams(text)) for i, (name, text) in enumerate(licences.STANDARD)]
     values = ", ".join(f"({i}, '{name}', '{g}')" for i, name, gs in grams for g in gs)
+    texts = [(i, text) for i, (_, text) in enumerate(licences.STANDARD)]
+    begun = ", ".join(f"({i}, '{licences.opening(t)}', {len(licences.plain_words(t))})" for i, t in texts)
     return rf"""
 WITH t(template, licence, gram) AS (VALUES {values}),
 size AS (SELECT template, licence, count(*) AS b FROM t GROUP BY ALL),
@@ -93,7 +95,19 @@ grams AS (SELECT doc_id, kind, number, list_distinct(list_transform(generate_ser
     FROM words WHERE len(w) > 1),
 each AS (SELECT doc_id, kind, number, len(g) AS a, unnest(g) AS gram FROM grams),
 common AS (SELECT doc_id, kind, number, a, template, licence, count(*) AS c FROM each JOIN t USING (gram) GROUP BY ALL),
-scored AS (SELECT doc_id, kind, number, licence, template, 2.0 * c / (a + b) AS dice FROM common JOIN size USING (template, licence)
+begun(template, pair, n) AS (VALUES {begun}),
+text_words AS (SELECT doc_id, list_filter(string_split(regexp_replace(
+    lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+places AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 1)) AS i FROM text_words WHERE len(w) > 1),
+passages AS (SELECT doc_id, i - 1 AS number, template, list_slice(w, i, i + n - 1) AS w
+    FROM places JOIN begun ON pair = w[i] || ' ' || w[i + 1]),
+passage_grams AS (SELECT doc_id, number, template, list_distinct(list_transform(generate_series(1, len(w) - 1),
+    lambda i: w[i] || ' ' || w[i + 1])) AS g FROM passages),
+passage_each AS (SELECT doc_id, number, template, len(g) AS a, unnest(g) AS gram FROM passage_grams),
+passage_common AS (SELECT doc_id, 'passage' AS kind, number, a, template, licence, count(*) AS c
+    FROM passage_each JOIN t USING (template, gram) GROUP BY ALL),
+every AS (SELECT * FROM common UNION ALL BY NAME SELECT * FROM passage_common),
+scored AS (SELECT doc_id, kind, number, licence, template, 2.0 * c / (a + b) AS dice FROM every JOIN size USING (template, licence)
     WHERE 2.0 * c / (a + b) >= {licences.THRESHOLD}),
 best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, kind, number ORDER BY dice DESC, template) AS r FROM scored)
 SELECT doc_id, kind, number, licence, template, round(dice, 6) AS dice FROM best WHERE r = 1

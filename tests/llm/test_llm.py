@@ -231,7 +231,52 @@ def test_licences(spark):
     docs = make(spark, [(i, t, "a") for i, t in rows])
     got = Counter((r.doc_id, r.kind, r.number, r.licence) for r in licences.scan_licences(docs).collect())
     want = {(1, "line", 1, "MIT"): 1, (5, "paragraph", 1, "MIT"): 2, (5, "document", 0, "MIT"): 2, (None, "line", 0, "Apache-2.0"): 1}
-    assert {k: n for k, n in got.items() if k[:2] != (5, "line")} == want
+    assert {k: n for k, n in got.items() if k[:2] != (5, "line") and k[1] != "passage"} == want
+
+
+def plain_passages(text):
+    """Word position -> (licence, Dice) of passages that begin as a template does, by plain counting."""
+    words = licences.plain_words(text or "")
+    out = {}
+    for name, template in licences.STANDARD:
+        whole, want = licences.plain_words(template), set(licences.template_bigrams(template))
+        for i in range(len(words) - 1):
+            if words[i : i + 2] != whole[:2]:
+                continue
+            part = words[i : i + len(whole)]
+            grams = {f"{a} {b}" for a, b in zip(part, part[1:])}
+            dice = 2 * len(grams & want) / (len(grams) + len(want))
+            if dice >= licences.THRESHOLD and dice > out.get(i, ("", 0))[1] + 1e-12:
+                out[i] = (name, dice)
+    return out
+
+
+def test_licence_passages(spark):
+    standard = dict(licences.standard_templates())
+    header = next(t for n, t in licences.standard_templates() if n == "Apache-2.0" and len(t) > 400)
+    block = "/*\n" + "\n".join(f" * {x}" for x in standard["MIT"].split("\n")) + "\n */\nint main() { return 0; }"
+    rng = random.Random(9)
+    texts = [
+        block,
+        "x " * 5000 + header.replace("\n", " ") + " and then code " * 3000,
+        "It is released under the MIT License. Patches are welcome. Licensed under CC BY 4.0. Licensed under",
+        " ".join(w for w in header.split() if rng.random() < 0.9),
+        "licensed under " * 3000,
+        "gnu general " * 40,
+        "released under",
+        "released",
+        "",
+        None,
+        *[t for _, t in licences.TEMPLATES],
+    ]
+    found = {}
+    for r in licences.scan_licences(make(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect():
+        if r.kind == "passage":
+            found[r.doc_id, r.number] = (r.licence, r.dice)
+    want = {(i, at): (n, round(d, 6)) for i, t in enumerate(texts) for at, (n, d) in plain_passages(t).items()}
+    assert found == want
+    assert any(i == 0 for i, _ in want) and {at for i, at in want if i == 1} == {5000}
+    assert [n for (i, _), (n, _) in sorted(want.items()) if i == 2] == ["MIT", "CC-BY-4.0"]
 
 
 def test_anchors_are_in_every_match():
