@@ -10,6 +10,7 @@ are the n best choices along the chain.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 from collections.abc import Iterator, Sequence
@@ -29,6 +30,7 @@ UNIT = 1_000_000  # scores are whole millionths of a nat, so sums are exact in a
 UNKNOWN_NATS = 10
 NEVER = 2**62
 REMEMBERED = 350_000  # words whose segmentations a task keeps, and as many from before
+LONGEST_REMEMBERED = 64  # characters
 
 
 @dataclass(frozen=True)
@@ -130,38 +132,80 @@ def best_segmentations(word: str, pieces: Pieces, n: int) -> list[tuple[int, tup
     return out
 
 
+def _tree(prefixes: dict[str, tuple]) -> dict[str, tuple]:
+    """The pieces by character: character to (score or None, ids, the next characters)."""
+    root: dict[str, tuple] = {}
+    nodes = {"": root}
+    for text in sorted(prefixes, key=len):
+        nodes[text] = {}
+        nodes[text[:-1]][text[-1]] = (*prefixes[text], nodes[text])
+    return root
+
+
 class _Words(dict):
-    """Words to (score, packed ids, loss of the second best segmentation), worked out when first asked for."""
+    """Words to (score, packed ids, loss of the second best segmentation, do the ids give the word back), worked out when
+    first asked for.  Words of more than ``LONGEST_REMEMBERED`` characters are worked out each time, so what is
+    remembered is bounded in bytes."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.before: dict[str, tuple[int, bytes, int]] = {}
+        self.tree = _tree(pieces.prefixes)
+        self.before: dict[str, tuple[int, bytes, int, bool]] = {}
 
     def age(self) -> None:
         """Start anew, keeping what was known at hand: words that come again are taken over, the others go next time."""
         self.before = dict(self)
         self.clear()
 
-    def __missing__(self, word: str) -> tuple[int, bytes, int]:
+    def __missing__(self, word: str) -> tuple[int, bytes, int, bool]:
         entry = self.before.get(word)
-        if entry is not None:
+        if entry is None:
+            entry = self._viterbi(word)
+        if len(word) <= LONGEST_REMEMBERED:
             self[word] = entry
-            return entry
-        into, ahead, edge = _lattice(word, self.pieces)
-        parts, gone, j, other = [], 0, len(word), -NEVER
+        return entry
+
+    def _viterbi(self, word: str) -> tuple[int, bytes, int, bool]:
+        """Forward pass with the best and the second best score of every prefix; of equal paths into a place the one
+        with the longest last piece is best."""
+        n, tree, unknown, never = len(word), self.tree, self.pieces.unknown, -(1 << 59)
+        ahead, second = [never] * (n + 1), [never] * (n + 1)
+        start, last = [0] * (n + 1), [()] * (n + 1)
+        ahead[0] = 0
+        for i in range(n):
+            here, after, branch, j = ahead[i], second[i], tree, i
+            hit = tree.get(word[i])
+            if hit is None or hit[0] is None:  # no piece for this character alone
+                branch = {word[i]: (unknown, self._spelled(word[i]), {} if hit is None else hit[2])}
+            while j < n:
+                hit = branch.get(word[j])
+                if hit is None:
+                    break
+                score, own, branch = hit
+                j += 1
+                if score is None:
+                    continue
+                total, best = here + score, ahead[j]
+                if total > best:
+                    if best > second[j]:
+                        second[j] = best
+                    ahead[j], start[j], last[j] = total, i, own
+                elif total > second[j]:
+                    second[j] = total
+                if after > never and after + score > second[j]:
+                    second[j] = after + score
+        parts, j = [], n
         while j:
-            here = into[j]
-            if len(here) > 1:  # the best path that leaves the best one here
-                for k, (i, s, _) in enumerate(here):
-                    if k != edge[j] and gone + s + ahead[i] > other:
-                        other = gone + s + ahead[i]
-            j, s, own = here[edge[j]]
-            gone += s
-            parts.append(own)
+            parts.append(last[j])
+            j = start[j]
         ids = [i for own in reversed(parts) for i in own]
-        loss = gone - other if other > -NEVER else NEVER
-        entry = self[word] = (gone, struct.pack(f"<{len(ids)}i", *ids), loss)
-        return entry
+        back = self.pieces.decoded
+        whole = b"".join([back[i] for i in ids]) == word.replace(MARK, " ").encode()
+        loss = ahead[n] - second[n] if second[n] > never else NEVER
+        return ahead[n], struct.pack(f"<{len(ids)}i", *ids), loss, whole
+
+    def _spelled(self, character: str) -> tuple[int, ...]:
+        return tuple([self.pieces.byte_ids[b] for b in (" " if character == MARK else character).encode()])
 
 
 def openers(whole: Sequence[str]) -> set[str]:
@@ -189,7 +233,7 @@ class Encoder:
         self.words = re.compile(f"{cut}{MARK}*{some(joined)}+|{MARK}+|.", re.DOTALL)
         self.known = _Words(pieces)
         literal = tuple(pieces.byte_ids[b] for b in MARK.encode())
-        self.literal = (pieces.unknown, struct.pack("<3i", *literal), NEVER)
+        self.literal = (pieces.unknown, struct.pack("<3i", *literal), NEVER, True)
 
     def _chain(self, text: str) -> tuple[list[str], list[tuple]]:
         known = self.known
@@ -207,15 +251,18 @@ class Encoder:
             entries += [known[w] for w in more]
         return words, entries
 
-    def encode(self, text: str) -> tuple[int, bytes, list[tuple[int, list[tuple[int, int, list[int]]]]]]:
-        """(score, ids as 32-bit numbers, alternatives); an alternative is (score, patches) and a patch (start, stop,
-        ids) replaces those places of the best ids."""
+    def encode(self, text: str) -> tuple[int, bytes, list[tuple[int, list[tuple[int, int, list[int]]]]], bool]:
+        """(score, ids as 32-bit numbers, alternatives, do the ids give the text back); an alternative is (score, patches)
+        and a patch (start, stop, ids) replaces those places of the best ids.
+
+        The bytes of a text are those of its words in turn, so it comes back when each word does.
+        """
         if not text:
-            return 0, b"", []
+            return 0, b"", [], True
         if len(self.known) > REMEMBERED:
             self.known.age()
         words, entries = self._chain(text)
-        scores, packed, losses = zip(*entries)
+        scores, packed, losses, whole = zip(*entries)
         score = sum(scores)
         # of n segmentations, n - 1 differ from the best; they change only words among the n - 1 cheapest to change
         left, places = list(losses), []
@@ -225,7 +272,7 @@ class Encoder:
                 break
             places.append(left.index(least))
             left[places[-1]] = NEVER
-        return score, b"".join(packed), self._alternatives(words, packed, sorted(places), score)
+        return score, b"".join(packed), self._alternatives(words, packed, sorted(places), score), all(whole)
 
     def _alternatives(self, words: list[str], packed: tuple[bytes, ...], places: list[int], best: int) -> list:
         out: list[tuple[int, list[tuple[int, int, list[int]]]]] = []
@@ -272,6 +319,7 @@ def _encoder(pieces: Pieces, n: int) -> Encoder:
     """The worker's encoder from an earlier task with the same vocabulary, with the words it remembers, or a new one."""
     if not (_LATEST and _LATEST[0].pieces is pieces and _LATEST[0].n == n):
         _LATEST[:] = [Encoder(pieces, n)]
+        gc.freeze()  # the vocabulary lives as long as the worker; collections need not walk it
     return _LATEST[0]
 
 
@@ -282,7 +330,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], pieces, n: int) -> Iterator[pa.R
         scores, ids, others, whole = [], [], [], []
         for text in batch.column(1):
             body = text.as_py()
-            score, best, more = encoder.encode(body)
+            score, best, more, back = encoder.encode(body)
             scores.append(score / UNIT)
             ids.append(best)
             others.append(
@@ -291,7 +339,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], pieces, n: int) -> Iterator[pa.R
                     for s, patches in more
                 ]
             )
-            whole.append(decode(np.frombuffer(best, np.int32).tolist(), vocabulary) == body)
+            whole.append(back)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),

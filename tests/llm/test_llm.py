@@ -628,12 +628,25 @@ def test_n_best_segmentations():
     encoder = pieces.Encoder(vocabulary, 5)
     for text in ("the cat", "aaaa", "x\ny", "héé☃", "a  b"):
         every = sorted(all_segmentations("▁" + text.replace(" ", "▁"), vocabulary), key=lambda x: -x[0])
-        score, packed, others = encoder.encode(text)
+        score, packed, others, whole = encoder.encode(text)
         best = np.frombuffer(packed, np.int32).tolist()
         assert [score, *[s for s, _ in others]] == [s for s, _ in every[:5]]
         paths = {tuple(best), *[patched(best, p) for _, p in others]}
         assert len(paths) == min(5, len(every)) and paths <= {ids for _, ids in every}
-        assert all(pieces.decode(p, vocabulary) == text for p in paths)
+        assert whole and all(pieces.decode(p, vocabulary) == text for p in paths)
+
+
+def test_word_pass_equals_the_search():
+    vocabulary = pieces.load_pieces(MODEL)
+    words = pieces._Words(vocabulary)
+    rng = random.Random(2)
+    made = ["".join(rng.choice("aeiounrst☃é▁") for _ in range(rng.randint(1, 90))) for _ in range(300)]
+    for word in made:
+        first, *more = pieces.best_segmentations(word, vocabulary, 2)
+        score, packed, loss, whole = words[word]
+        assert (score, tuple(np.frombuffer(packed, np.int32).tolist())) == first and whole
+        assert loss == (score - more[0][0] if more else pieces.NEVER)
+    assert set(words) == {w for w in made if len(w) <= pieces.LONGEST_REMEMBERED} != set(made)
 
 
 def test_encode_and_decode(docs):
