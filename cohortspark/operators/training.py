@@ -5,6 +5,7 @@ Features are an ``array<double>`` column; models read it as a vector.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import product
 from multiprocessing.pool import ThreadPool
@@ -20,7 +21,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.operators.metrics import classification_report
+from cohortspark.operators.metrics import auc_grid, binary_metrics, classification_report
 from cohortspark.operators.sampling import balanced_bootstrap, hash_fraction, kfold, oversample, smote_classes, undersample
 from cohortspark.session import cut_lineage, shared_dir
 
@@ -315,9 +316,10 @@ def _gradients(df: DataFrame, weights: dict[int, np.ndarray], dim: int) -> DataF
 def _train(
     df: DataFrame, client: str, features: str, label: str, id_column: str, rounds: int, local_steps: int,
     learning_rate: float, valid_fraction: float, patience: int, halve_every: int, share: bool, seed, max_clients: int,
-) -> tuple[dict[int, np.ndarray], DataFrame]:
+) -> tuple[dict[int, np.ndarray], DataFrame, list[tuple[int, list[float]]]]:
+    """(best weights by client, loss history, shared weights after every round)."""
     spark = df.sparkSession
-    valid = hash_fraction(f"{seed}v", id_column) < valid_fraction
+    valid = validation_part(id_column, valid_fraction, seed)
     rows = cut_lineage(
         df.select(
             F.col(client).cast("int").alias("client"),
@@ -333,7 +335,7 @@ def _train(
     weights = {c: np.zeros(dim + 1) for c in clients}
     best = {c: (np.inf, -1, weights[c]) for c in clients}
     running = set(clients)
-    history, rate = [], learning_rate
+    history, trail, rate = [], [], learning_rate
 
     def measured() -> dict[tuple, np.ndarray]:
         return {(x["client"], x["valid"]): np.array(x["s"]) for x in _gradients(rows, weights, dim).collect()}
@@ -352,6 +354,7 @@ def _train(
         if share:
             mean = sum(n * weights[c] for c, n in sizes.items()) / sum(sizes.values())
             weights = {c: mean for c in clients}
+            trail.append((r + 1, mean.tolist()))
         sums = measured()
         losses = {
             (c, part): (float(sums[(c, v)][1] / sums[(c, v)][0]) if (c, v) in sums else None)
@@ -370,7 +373,7 @@ def _train(
         if not running:
             break
     table = spark.createDataFrame(history, "round int, client int, part string, loss double")
-    return {c: b[2] if b[1] >= 0 else weights[c] for c, b in best.items()}, table
+    return {c: b[2] if b[1] >= 0 else weights[c] for c, b in best.items()}, table, trail
 
 
 def federated_fit(
@@ -384,11 +387,61 @@ def federated_fit(
     client size.  The weights of the best mean validation loss are kept; training stops ``patience`` rounds after them.
     The driver holds one weight vector per client and nothing else.
     """
-    best, history = _train(df, client, features, label, id_column, rounds, local_steps, learning_rate,
-                           valid_fraction, patience, halve_every, True, seed, max_clients)
+    best, history, _ = _train(df, client, features, label, id_column, rounds, local_steps, learning_rate,
+                              valid_fraction, patience, halve_every, True, seed, max_clients)
     return next(iter(best.values())), history
 
 
+def federated_scores(
+    df: DataFrame, client: str, features: str, label: str, id_column: str, rounds: int = 50, local_steps: int = 1,
+    learning_rate: float = 0.5, valid_fraction: float = 0.15, patience: int = 20, halve_every: int = 5, seed=42,
+    max_clients: int = 10_000,
+) -> DataFrame:
+    """Scores of the averaged model after every round, per client and part ('train' or 'valid'): see ``round_scores``."""
+    _, _, trail = _train(df, client, features, label, id_column, rounds, local_steps, learning_rate,
+                         valid_fraction, patience, halve_every, True, seed, max_clients)
+    made = [{"round": r, "weights": w} for r, w in trail]
+    models = F.from_json(F.lit(json.dumps(made)), "array<struct<round:int,weights:array<double>>>")
+    weights = df.select(client).distinct().select(client, F.inline(models))
+    part = F.when(validation_part(id_column, valid_fraction, seed), "valid").otherwise("train")
+    return round_scores(df.withColumn("part", part), weights, client, features, label, ["part"])
+
+
+def validation_part(id_column: str, fraction: float, seed=42) -> Column:
+    """Does a row belong to the validation part of the federated and local fits?"""
+    return hash_fraction(f"{seed}v", id_column) < fraction
+
+
+def round_scores(
+    df: DataFrame, weights: DataFrame, client: str, features: str, label: str, by: Sequence[str] = ()
+) -> DataFrame:
+    """Scores of logistic models per (client, round, *by): n, auroc_grid, auprc_grid, precision, recall, f1, accuracy.
+
+    ``weights`` holds (client, round, weights with the bias last) as a table of any number of clients: a row meets the
+    rounds of its client by one join on the client, and no weight passes through the driver.  Areas are those of
+    ``auc_grid``; rows collapse to buckets of scores in the tasks, so a client of any size is counted by all of them.
+    The prediction is 1 above a probability of 0.5.  Rows of a client without weights, with a null client, label or
+    vector have no score and are left out; clients without rows do not appear.
+    """
+    rounds = weights.filter(F.col("weights").isNotNull()).groupBy(client)
+    rounds = rounds.agg(F.collect_list(F.struct("round", "weights")).alias("_rounds"))
+    rows = df.select(client, *by, F.col(label).cast("double").alias("_y"), F.col(features).cast("array<double>").alias("_x"))
+    rows = rows.filter(F.col("_y").isNotNull() & F.col("_x").isNotNull()).join(rounds, client)
+
+    def probability(r: Column) -> Column:
+        w = r["weights"]
+        z = F.aggregate(F.zip_with("_x", F.slice(w, 1, F.size("_x")), lambda a, b: a * b), F.element_at(w, -1), lambda t, x: t + x)
+        return F.struct(r["round"].alias("round"), (1.0 / (1.0 + F.exp(-z))).alias("_s"))
+
+    scored = rows.select(client, *by, "_y", F.inline(F.transform("_rounds", probability)))
+    scored = scored.withColumn("_p", (F.col("_s") > 0.5).cast("double"))
+    keys = [client, "round", *by]
+    areas = auc_grid(scored, "_y", "_s", keys)
+    said = binary_metrics(scored, "_y", "_p", keys)
+    counted = scored.groupBy(*keys).agg(F.count("*").alias("n"))
+    return counted.join(areas, keys).join(said, keys)
+
+
 def local_fit(
     df: DataFrame, client: str, features: str, label: str, id_column: str, rounds: int = 50,
     learning_rate: float = 0.5, valid_fraction: float = 0.15, patience: int = 20, halve_every: int = 5, seed=42,
@@ -396,7 +449,7 @@ def local_fit(
 ) -> tuple[dict[int, np.ndarray], DataFrame]:
     """One model per client on its own rows only; with a single client this is the central model."""
     return _train(df, client, features, label, id_column, rounds, 1, learning_rate, valid_fraction, patience,
-                  halve_every, False, seed, max_clients)
+                  halve_every, False, seed, max_clients)[:2]
 
 
 def linear_score(features: Column | str, weights: np.ndarray) -> Column:

@@ -129,6 +129,54 @@ def federated_fit(spark, d):
     return tr.federated_fit(_clients(spark, d), "client", "embedding", "y", "vec_id", rounds=4, local_steps=2)[1]
 
 
+@query("federated_scores")
+def federated_scores(spark, d):
+    """Scores of the averaged model after every round, per client and part."""
+    return tr.federated_scores(_clients(spark, d), "client", "embedding", "y", "vec_id", rounds=4, local_steps=2)
+
+
+_MEANS = """(SELECT client, i, avg(x) FILTER (y = 1) - avg(x) FILTER (y = 0) AS w FROM
+ (SELECT vec_id % 3 AS client, CASE WHEN label < 2 THEN 1 ELSE 0 END AS y, unnest(embedding)::DOUBLE AS x,
+   generate_subscripts(embedding, 1) AS i FROM embeddings) e GROUP BY client, i)"""
+
+
+@query("round_scores", f"""
+WITH z AS (SELECT vec_id, e.client, y, sum(x * w) AS z FROM
+  (SELECT vec_id, vec_id % 3 AS client, CASE WHEN label < 2 THEN 1 ELSE 0 END AS y, unnest(embedding)::DOUBLE AS x,
+    generate_subscripts(embedding, 1) AS i FROM embeddings) e JOIN {_MEANS} m ON e.client = m.client AND e.i = m.i
+  GROUP BY vec_id, e.client, y),
+ x AS (SELECT client, round, y, 1 / (1 + exp(-(round * z - 0.25::DOUBLE))) AS s FROM z, (SELECT unnest([1, 2, 3]) AS round) r),
+ t AS (SELECT k, CASE WHEN k = 0 THEN -1e-7 WHEN k = 199 THEN 1 + 1e-7 ELSE k / 199.0::DOUBLE END AS t
+  FROM (SELECT unnest(generate_series(0, 199)) AS k) g),
+ c AS (SELECT client, round, k, count(*) FILTER (y = 1 AND s > t) AS tp, count(*) FILTER (y = 0 AND s > t) AS fp,
+  count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM t, x GROUP BY client, round, k),
+ d AS (SELECT *, lead(tp) OVER w AS tp1, lead(fp) OVER w AS fp1 FROM c WINDOW w AS (PARTITION BY client, round ORDER BY k)),
+ e AS (SELECT *, tp - tp1 AS dtp, tp + fp AS s0, tp1 + fp1 AS s1 FROM d WHERE tp1 IS NOT NULL),
+ g AS (SELECT *, CASE WHEN s0 > s1 THEN dtp / (s0 - s1) ELSE 0 END AS slope FROM e),
+ areas AS (SELECT client, round, sum((fp - fp1) / n * (tp + tp1) / p / 2) AS auroc_grid,
+  sum(slope * (dtp + (tp1 - slope * s1) * ln(CASE WHEN s0 > 0 AND s1 > 0 THEN s0 / s1 ELSE 1 END)) / p) AS auprc_grid
+  FROM g GROUP BY client, round),
+ m AS (SELECT client, round, count(*) AS n, count(*) FILTER (y = 1 AND s > 0.5) AS tp, count(*) FILTER (y = 0 AND s > 0.5) AS fp,
+  count(*) FILTER (y = 1 AND s <= 0.5) AS fn FROM x GROUP BY client, round)
+SELECT client, round, n, round(auroc_grid, 6) AS auroc_grid, round(auprc_grid, 6) AS auprc_grid,
+ round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision,
+ round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall,
+ round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1,
+ round((n - fp - fn) / n, 6) AS accuracy FROM areas JOIN m USING (client, round)""")
+def round_scores(spark, d):
+    """Three rounds of a model per client: the difference of its class means, growing with the round."""
+    rows = _rows(spark, d).withColumn("client", F.col("vec_id") % 3)
+    cells = rows.select("client", "y", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x"))
+    gap = F.avg(F.when(F.col("y") == 1, F.col("x"))) - F.avg(F.when(F.col("y") == 0, F.col("x")))
+    means = cells.groupBy("client", "i").agg(gap.alias("w"))
+    vectors = means.groupBy("client").agg(F.sort_array(F.collect_list(F.struct("i", "w")))["w"].alias("w"))
+    by_round = vectors.withColumn("round", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    grown = F.concat(F.transform("w", lambda x: x * F.col("round")), F.array(F.lit(-0.25)))
+    weights = by_round.select("client", "round", grown.alias("weights"))
+    out = tr.round_scores(rows, weights, "client", "embedding", "y")
+    return rounded(out, ["auroc_grid", "auprc_grid", "precision", "recall", "f1", "accuracy"])
+
+
 @query("local_fit")
 def local_fit(spark, d):
     return tr.local_fit(_clients(spark, d), "client", "embedding", "y", "vec_id", rounds=4)[1]

@@ -491,6 +491,60 @@ def test_formats(spark):
     assert (row["a"], str(row["b"]), row["c"], row["d"], row["e"]) == ("20240203T040506", "2024-02-03", None, None, "2024")
 
 
+def test_round_scores_over_a_weights_table(spark):
+    from cohortspark.operators.training import round_scores
+
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(300, 2)), rng.integers(0, 2, 300)
+    rows = [(f"c{i % 3}", [float(v) for v in x[i]], int(y[i])) for i in range(300)]
+    rows += [(None, [1.0, 1.0], 1), ("c0", None, 1), ("c0", [0.0, 0.0], None), ("unknown", [0.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "client string, x array<double>, y int")
+    models = {(f"c{c}", r): rng.normal(size=3) for c in range(3) for r in (1, 2)}
+    given = [(c, r, [float(v) for v in w]) for (c, r), w in models.items()] + [("empty", 1, [0.0, 0.0, 0.0])]
+    weights = spark.createDataFrame(given, "client string, round int, weights array<double>")
+    got = {(r["client"], r["round"]): r for r in round_scores(df, weights, "client", "x", "y").collect()}
+    assert set(got) == set(models)
+    for (c, r), w in models.items():
+        mine = np.arange(300) % 3 == int(c[1])
+        p, t = 1 / (1 + np.exp(-(x[mine] @ w[:2] + w[2]))), y[mine] == 1
+        said, row = p > 0.5, got[c, r]
+        assert row["n"] == 100 and abs(row["accuracy"] - np.mean(said == t)) < 1e-12
+        assert abs(row["recall"] - np.sum(said & t) / np.sum(t)) < 1e-12
+        assert abs(row["precision"] - np.sum(said & t) / max(1, np.sum(said))) < 1e-12
+        exact = np.mean([(a > b) + (a == b) / 2 for a in p[t] for b in p[~t]])
+        assert abs(row["auroc_grid"] - exact) < 0.02
+
+
+def test_round_scores_of_many_clients_join_their_weights(spark):
+    from cohortspark.operators.training import round_scores
+
+    n = 20_000
+    rows = spark.range(2 * n).select(
+        (F.col("id") % n).alias("client"), F.array((F.col("id") < n).cast("double") * 2 - 1).alias("x"),
+        (F.col("id") < n).cast("int").alias("y"),
+    )
+    sign = F.when(F.col("id") % 2 == 0, 1.0).otherwise(-1.0)
+    weights = spark.range(n).select(F.col("id").alias("client"), F.lit(1).alias("round"), F.array(sign, F.lit(0.0)).alias("weights"))
+    out = round_scores(rows, weights, "client", "x", "y")
+    right = F.when(F.col("client") % 2 == 0, 1.0).otherwise(0.0)
+    assert out.count() == n and out.filter(F.col("accuracy") != right).count() == 0
+
+
+def test_federated_scores_follow_the_rounds(spark):
+    from cohortspark.operators.training import federated_scores
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 2))
+    rows = [(i, i % 2, [float(v) for v in x[i]], int(x[i, 0] + x[i, 1] > 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, client int, x array<double>, y int")
+    out = federated_scores(df, "client", "x", "y", "id", rounds=6).collect()
+    assert {(r["client"], r["round"], r["part"]) for r in out} == {
+        (c, r, p) for c in (0, 1) for r in range(1, 7) for p in ("train", "valid")
+    }
+    assert all(sum(r["n"] for r in out if r["round"] == k) == 400 for k in range(1, 7))
+    assert all(r["auroc_grid"] > 0.95 for r in out if r["round"] == 6)
+
+
 def test_federated_rounds_learn(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 3))
