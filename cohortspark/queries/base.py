@@ -45,8 +45,13 @@ def rounded(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # --- stand-ins: the DataFrame and the same rows in SQL ------------------------------------------------------------
 
 
-def meas(spark, d) -> DataFrame:
-    """Measurements: lines of an order, for the subject who ordered."""
+def meas(spark, d, dealt: bool = False) -> DataFrame:
+    """Measurements: lines of an order, for the subject who ordered.
+
+    ``dealt``: lines and orders meet in as many tasks as there are shuffle partitions, none merged by the adaptive plan.
+    Sums whose keys hold the order follow in the task of the join, beside its sorted rows; they keep nearly as many
+    groups as lines, so merged partitions of a few compressed bytes a line need gigabytes.
+    """
     lines = table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("hadm"),
         F.col("l_linenumber").alias("line"),
@@ -55,6 +60,8 @@ def meas(spark, d) -> DataFrame:
         F.col("l_quantity").alias("value"),
     )
     subjects = table(spark, d, "orders").select(F.col("o_orderkey").alias("hadm"), F.col("o_custkey").alias("subject"))
+    if dealt:
+        lines = lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "hadm")
     return lines.join(subjects, "hadm")
 
 

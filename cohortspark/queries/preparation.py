@@ -21,7 +21,7 @@ LABELS = {"acid": "acid", "base": "base", "salt": "salt", "sugar": "sugar"}
 
 
 def _pivoted(spark, d, extra=()):
-    rows = sc.filter_items(meas(spark, d), "item", list(ITEMS), "value")
+    rows = sc.filter_items(meas(spark, d, dealt="hadm" in extra), "item", list(ITEMS), "value")
     rows = rows.withColumns({"label": sc.map_items("item", ITEMS), "clean": sc.clip_to_null("item", "value", BOUNDS)})
     return ag.pivot_mean(rows, ["subject", *extra, "t"], "label", "clean", LABELS)
 

@@ -720,3 +720,23 @@ def test_votes_of_weight_zero_count_equally(spark):
     df = spark.createDataFrame([([0.2, 0.8], [0.4, 0.6])], "a array<double>, b array<double>")
     row = soft_vote(df, {"a": 0.0, "b": 0.0}).first()
     assert [round(x, 9) for x in row.vote] == [0.3, 0.7] and row.prediction == 1
+
+
+def test_sums_per_order_stay_dealt_over_all_partitions(spark, tmp_path):
+    """Interval join with fuzzy bounds: the adaptive plan must not merge the tasks that join and sum per order."""
+    from datetime import datetime
+
+    from cohortspark.queries.preparation import interval_join_fuzzy, _pivoted
+
+    day = datetime(2020, 1, 5)
+    orders = [(1, 7, day, "F", 1.0), (2, 7, datetime(2020, 1, 20), "F", 1.0), (None, 8, day, "F", 1.0), (4, None, day, "O", 1.0)]
+    lines = [(1, 1, 10.0, "A", "F", day), (1, 2, 20.0, "A", "F", day), (2, 1, 5.0, "R", "F", datetime(2020, 3, 1)),
+             (None, 1, 5.0, "R", "F", day), (4, 1, 8.0, "N", "O", day), (9, 1, 8.0, "N", "O", day)]
+    types = "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderstatus string, o_totalprice double"
+    spark.createDataFrame(orders, types).write.parquet(f"{tmp_path}/orders.parquet")
+    types = "l_orderkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(lines, types).write.parquet(f"{tmp_path}/lineitem.parquet")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _pivoted(spark, str(tmp_path), ["hadm"]).rdd.getNumPartitions() == parts > 1
+    out = {(r.subject, r.hadm, r.acid, r.base, r.salt, r.episode) for r in interval_join_fuzzy(spark, str(tmp_path)).collect()}
+    assert out == {(7, 1, 15.0, None, None, 1), (7, 2, None, None, 5.0, None), (None, 4, None, 8.0, None, None)}
