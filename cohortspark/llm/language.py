@@ -8,10 +8,11 @@ language form the model, whose size is a parameter.  Scoring is one pass over th
 from __future__ import annotations
 
 import math
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import islice
+from itertools import chain, islice
 
 import pyarrow as pa
 import regex
@@ -30,6 +31,9 @@ MAX_LANGUAGES = 1_000
 UNIT = 1_000_000  # scores are whole millionths, so sums do not depend on their order
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+# the same runs where no character lies beyond Latin Extended-A, which has no marks
+_BEYOND = re.compile(r"[^\x00-\u017f]")
+_LATIN = re.compile(r"[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f]+")
 _CHUNK = 50_000  # words of a text that are held at once,
 _AT_ONCE = 500_000  # where it has more characters than this
 _HELD = 200_000  # distinct entries that a task counts before it passes them on
@@ -40,11 +44,12 @@ _CACHED_LENGTH = 32  # longer ones are not remembered
 def words_of(text: str) -> Iterator[list[str]]:
     """Lower-case runs of letters, in lists of bounded length."""
     lower = text.lower()
+    word = _WORD if _BEYOND.search(lower) else _LATIN
     if len(lower) <= _AT_ONCE:
-        if part := _WORD.findall(lower):
+        if part := word.findall(lower):
             yield part
         return
-    found = (m.group() for m in _WORD.finditer(lower))
+    found = (m.group() for m in word.finditer(lower))
     while part := list(islice(found, _CHUNK)):
         yield part
 
@@ -117,42 +122,52 @@ def gain_of(n: int, total: int) -> int:
 _COUNTS = "kind int, lang string, entry string, n bigint"
 
 
-def _emitted(counts: Counter) -> pa.RecordBatch:
-    kinds, langs, entries = zip(*counts) if counts else ((), (), ())
+def _emitted(held: dict[tuple[int, str], Counter]) -> pa.RecordBatch:
+    """Counts by (kind, language) as rows."""
+    sizes = [len(c) for c in held.values()]
     return pa.RecordBatch.from_pydict(
         {
-            "kind": pa.array(kinds, pa.int32()),
-            "lang": pa.array(langs, pa.string()),
-            "entry": pa.array(entries, pa.string()),
-            "n": pa.array(list(counts.values()), pa.int64()),
+            "kind": pa.array([kind for (kind, _), n in zip(held, sizes) for _ in range(n)], pa.int32()),
+            "lang": pa.array([lang for (_, lang), n in zip(held, sizes) for _ in range(n)], pa.string()),
+            "entry": pa.array(list(chain.from_iterable(held.values())), pa.string()),
+            "n": pa.array(list(chain.from_iterable(c.values() for c in held.values())), pa.int64()),
         }
     )
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    held: dict[tuple[int, str], Counter] = defaultdict(Counter)
+    size = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            counts = held[0, lang]
             for part in words_of(text.as_py()):
-                for word, n in Counter(part).items():
-                    counts[0, lang, word] += n
-                if len(counts) >= _HELD:
-                    yield _emitted(counts)
-                    counts.clear()
-    yield _emitted(counts)
+                size -= len(counts)
+                counts.update(part)
+                size += len(counts)
+                if size >= _HELD:
+                    yield _emitted(held)
+                    held.clear()
+                    counts, size = held[0, lang], 0
+    yield _emitted(held)
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch], lengths: Sequence[int]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    held: dict[tuple[int, str], Counter] = defaultdict(Counter)
+    size = 0
     for batch in batches:
         for lang, word, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
             for length in lengths:
+                counts = held[length, lang]
+                size -= len(counts)
                 for gram in grams(word, length):
-                    counts[length, lang, gram] += n
-            if len(counts) >= _HELD:
-                yield _emitted(counts)
-                counts.clear()
-    yield _emitted(counts)
+                    counts[gram] = counts.get(gram, 0) + n
+                size += len(counts)
+            if size >= _HELD:
+                yield _emitted(held)
+                held.clear()
+                size = 0
+    yield _emitted(held)
 
 
 def _summed(counts: DataFrame) -> DataFrame:
