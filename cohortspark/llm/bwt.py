@@ -4,6 +4,9 @@ Breadth-first backward extension: the intervals of all strings of length 1, 2, .
 counting characters in the transform.  A string of length ``l + 1`` whose interval ends where no common prefix is known
 yet fixes the common prefix there as ``l``, so common prefixes appear by increasing value, and the work stops at the
 wanted length.  What is still open between two neighbours then is at least that length.
+
+The suffixes are first sorted by 8 bytes at once, which tells the intervals of all strings of that length and every
+shorter common prefix, so the extension begins there.
 """
 
 from __future__ import annotations
@@ -91,6 +94,18 @@ def _extended(
     return np.concatenate(lows), np.concatenate(highs)
 
 
+def _intervals(text: np.ndarray, order: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(low, high, cuts): intervals of the strings of ``width`` bytes (at most 8) without a separator, and all places of
+    the order where such strings or ones with a separator change, both ends included."""
+    n = len(text)
+    keys = _first_bytes(text)[order] >> np.uint64(64 - 8 * width)
+    cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [n]])
+    before = np.concatenate([[0], np.cumsum(text == SEPARATOR)])
+    at = order[cuts[:-1]]
+    solid = (at + width <= n) & (before[np.minimum(at + width, n)] == before[at])
+    return cuts[:-1][solid], cuts[1:][solid], cuts
+
+
 def equal_substrings(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, group): suffixes in sorted order and a group number for each, rising along the order; suffixes whose
     first ``length`` bytes hold no separator are in one group exactly when these bytes are equal."""
@@ -105,15 +120,14 @@ def equal_substrings(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
     present = [c for c in np.flatnonzero(counts).tolist() if c != SEPARATOR]
     places = [(c, by_byte[first[c] : first[c] + counts[c]]) for c in present]
     known = np.zeros(n + 1, bool)
-    low = first[present].astype(np.int64)
-    high = low + counts[present]
-    known[low], known[high] = True, True
-    for _ in range(length - 1):
+    width = min(8, length)
+    low, high, cuts = _intervals(text, order, width)
+    known[cuts] = True
+    for _ in range(length - width):
         if not len(low):
             break
         low, high = _extended(low, high, bwt, step, places, first)
         new = ~known[high]
         low, high = low[new], high[new]
         known[high] = True
-    known[0] = True
     return order, np.cumsum(known[:n]) - 1

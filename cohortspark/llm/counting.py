@@ -2,11 +2,14 @@
 
 A batch sends each key once, so a key that is in a third of all rows costs one entry per batch.  Requests go as packed
 rows, one per (batch, bucket); a bucket is a range of the hash, so no bucket grows with one key.
+
+Where it is enough to know which of a few limits a total exceeds, and a rare chance meeting of two keys does no harm,
+``marks`` and ``levels`` send 32 bits of a key and get back one bit per limit.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 
 KEY_BITS = 48  # of a key inside its bucket; the bucket adds more
 BUCKETS_PER_PARTITION = 8
+SHORT_BITS = 32  # of a key inside its bucket where chance meetings do no harm
 REQUEST = "bucket int, batch string, keys binary, counts binary"
 RESPONSE = "batch string, bucket int, totals binary, known bigint"
 
@@ -94,6 +98,66 @@ def totals(asked: DataFrame) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(_summed, RESPONSE)
 
 
+def _split(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, Iterator[tuple[int, int, int]]]:
+    """(order, (bucket, start, stop) of each bucket in it)."""
+    order, ordered, starts = dealt(hashes, buckets)
+    stops = [*starts[1:].tolist(), len(order)]
+    return order, zip(ordered[starts].tolist(), starts.tolist(), stops)
+
+
+def marks(batch: str, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> list[dict]:
+    """Request rows like those of ``requests`` for counts below 256: of the sorted keys the steps go, byte by byte."""
+    order, parts = _split(hashes, buckets)
+    keys = (hashes >> _U(64 - SHORT_BITS)).astype(np.uint32)[order]
+    counts = counts[order].astype(np.uint8)
+    rows = []
+    for bucket, s, e in parts:
+        steps = np.diff(keys[s:e], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4)
+        rows.append(
+            {
+                "bucket": bucket,
+                "batch": batch,
+                "keys": pa.compress(steps.T.tobytes(), codec="zstd", asbytes=True),
+                "counts": counts[s:e].tobytes(),
+            }
+        )
+    return rows
+
+
+def _levelled(rows: pa.Table, limits: Sequence[int]) -> pa.Table:
+    """Of one bucket: for each key of each batch, one bit per limit that its total exceeds."""
+    counts = [np.frombuffer(x.as_py(), np.uint8) for x in rows.column("counts")]
+    keys = []
+    for x, c in zip(rows.column("keys").to_pylist(), counts):
+        steps = pa.decompress(x, decompressed_size=4 * len(c), codec="zstd", asbytes=True)
+        planes = np.frombuffer(steps, np.uint8).reshape(4, -1)
+        keys.append(np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32))
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    totals = np.bincount(place, np.concatenate(counts), len(distinct))
+    bits = [(totals > x)[place] for x in limits]
+    back, at = [], 0
+    for k in keys:
+        back.append(b"".join(np.packbits(b[at : at + len(k)]).tobytes() for b in bits))
+        at += len(k)
+    known = pa.array([len(distinct)] * len(back), pa.int64())
+    return pa.table({"batch": rows.column("batch"), "bucket": rows.column("bucket"), "totals": pa.array(back, pa.binary()), "known": known})
+
+
+def levels(asked: DataFrame, limits: Sequence[int]) -> DataFrame:
+    """Response rows to the rows of ``marks``, by the ``limits``."""
+    return asked.groupBy("bucket").applyInArrow(lambda rows: _levelled(rows, limits), RESPONSE)
+
+
+def levels_of(hashes: np.ndarray, buckets: int, found: dict[int, bytes], limits: int) -> np.ndarray:
+    """How many of the limits the total of each hash exceeds."""
+    order, parts = _split(hashes, buckets)
+    out = np.zeros(len(hashes), np.uint8)
+    for bucket, s, e in parts:
+        bits = np.frombuffer(found[bucket], np.uint8).reshape(limits, -1)
+        out[order[s:e]] = np.unpackbits(bits, axis=1, count=e - s).sum(0, dtype=np.uint8)
+    return out
+
+
 def by_batch(responses: DataFrame) -> DataFrame:
     """All responses of a batch as one row ``batch, answers``; what they hold is bounded by the batch."""
     return responses.groupBy("batch").agg(F.collect_list(F.struct("bucket", "totals")).alias("answers"))

@@ -23,12 +23,12 @@ from cohortspark.llm.bwt import SEPARATOR, equal_substrings
 from cohortspark.llm.common import Scratch, gathered, mixed, partitions, real_id, runs
 from cohortspark.llm.counting import (
     REQUEST,
-    answers,
     by_batch,
     decoded,
-    requests,
+    levels,
+    levels_of,
+    marks,
     rows_of,
-    totals,
 )
 
 LENGTH = 50
@@ -113,16 +113,16 @@ class _Batch:
         return 1 + (np.minimum.reduceat(ids, at) != np.maximum.reduceat(ids, at))
 
     def candidates(
-        self, found: dict[int, bytes], buckets: int, hot: int
+        self, found: dict[int, bytes], buckets: int
     ) -> Iterator[tuple[int, int, int, int, bytes]]:
         """(bucket, part, first, id, content) of the segments whose minimizer several documents may have."""
         hashes = mixed(self.values)
-        seen = answers(hashes, buckets, 0, found)
+        seen = levels_of(hashes, buckets, found, 2)
         again = mixed(hashes)
         dealt, part = again % _U(buckets), again // _U(buckets) % _U(PARTS)
-        chosen = np.flatnonzero(seen[self.value] > 1)
+        chosen = np.flatnonzero(seen[self.value] > 0)
         value = self.value[chosen]
-        columns = (dealt[value], part[value], seen[value] > hot, self.first[chosen], self.last[chosen], self.owner[chosen])
+        columns = (dealt[value], part[value], seen[value] > 1, self.first[chosen], self.last[chosen], self.owner[chosen])
         data, length = self.data, self.length
         for bucket, mine, often, a, b, owner in zip(*(c.tolist() for c in columns)):
             if often:
@@ -159,11 +159,11 @@ def _first_request(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
     schema = pa.schema([("bucket", pa.int32()), ("batch", pa.string()), ("keys", pa.binary()), ("counts", pa.binary())])
     for row in rows_of(batches):
         b = _Batch(row, length)
-        yield pa.RecordBatch.from_pylist(requests(b.name, mixed(b.values), b.sharing(), buckets), schema=schema)
+        yield pa.RecordBatch.from_pylist(marks(b.name, mixed(b.values), b.sharing(), buckets), schema=schema)
 
 
 def _second_request(
-    batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: int
+    batches: Iterator[pa.RecordBatch], length: int, buckets: int
 ) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("bucket", pa.int32()), ("batch", pa.string()), ("n", pa.int32()), ("items", pa.binary()), ("body", pa.binary())]
@@ -171,7 +171,7 @@ def _second_request(
     for row in rows_of(batches):
         b = _Batch(row, length)
         by_bucket: dict[int, dict[bytes, list]] = {}
-        for bucket, part, _, owner, content in b.candidates(decoded(row["answers"]), buckets, hot):
+        for bucket, part, _, owner, content in b.candidates(decoded(row["answers"]), buckets):
             items = by_bucket.setdefault(bucket, {})
             known = items.get(content)
             if known is None:
@@ -300,7 +300,7 @@ def _matched(rows: pa.Table, length: int) -> pa.Table:
     return pa.Table.from_pylist(out, schema=schema)
 
 
-def _hits(b: _Batch, row: dict[str, pa.Scalar], buckets: int, hot: int) -> tuple[np.ndarray, np.ndarray]:
+def _hits(b: _Batch, row: dict[str, pa.Scalar], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(from, to) of the bytes of the batch that runs of strings with a smaller id cover."""
     none = np.zeros(0, np.int64)
     matches = row["matches"].values
@@ -322,7 +322,7 @@ def _hits(b: _Batch, row: dict[str, pa.Scalar], buckets: int, hot: int) -> tuple
     begin = np.cumsum(count) - count
     numbers: dict[int, dict[bytes, int]] = {bucket: {} for bucket in told}
     firsts, owners, chosen = [], [], []
-    for bucket, _, first, owner, content in b.candidates(decoded(row["answers"]), buckets, hot):
+    for bucket, _, first, owner, content in b.candidates(decoded(row["answers"]), buckets):
         items = numbers.get(bucket)
         if items is None:
             continue
@@ -347,12 +347,14 @@ def _hits(b: _Batch, row: dict[str, pa.Scalar], buckets: int, hot: int) -> tuple
 CLEANED = "id bigint, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary"
 
 
-def _cleaned(batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
+def _cleaned(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     for row in rows_of(batches):
         b = _Batch(row, length)
-        open_, close = _hits(b, row, buckets, hot)
-        change = np.bincount(open_, minlength=len(b.data) + 1) - np.bincount(close, minlength=len(b.data) + 1)
-        gone = np.cumsum(change[:-1]) > 0
+        open_, close = _hits(b, row, buckets)
+        change = np.zeros(len(b.data) + 1, np.int32)
+        np.add.at(change, open_, 1)
+        np.subtract.at(change, close, 1)
+        gone = np.cumsum(change[:-1], out=change[:-1]) > 0
         spans, bodies = [], []
         for s, size in zip(b.starts.tolist(), b.sizes.tolist()):
             mine = gone[s : s + size]
@@ -393,13 +395,13 @@ def remove_repeats(
     buckets = BUCKETS_PER_PARTITION * n
     stored = scratch.bucketed(gathered(docs, id_column, text_column), "batch", n)
     asked = stored.mapInArrow(lambda b: _first_request(b, length, buckets), REQUEST)
-    seen = scratch.table(by_batch(totals(asked)))
+    seen = scratch.table(by_batch(levels(asked, (1, hot))))
     known = stored.join(seen, "batch", "left")
-    sent = known.mapInArrow(lambda b: _second_request(b, length, buckets, hot), ASKED)
+    sent = known.mapInArrow(lambda b: _second_request(b, length, buckets), ASKED)
     found = sent.groupBy("bucket").applyInArrow(lambda rows: _matched(rows, length), FOUND)
     matches = found.groupBy("batch").agg(
         F.collect_list(F.struct("bucket", "n", "runs", "packed")).alias("matches")
     )
     out = known.join(scratch.table(matches), "batch", "left")
-    cleaned = out.mapInArrow(lambda b: _cleaned(b, length, buckets, hot), CLEANED)
+    cleaned = out.mapInArrow(lambda b: _cleaned(b, length, buckets), CLEANED)
     return cleaned.select(real_id("id").alias("doc_id"), "n_bytes", "spans", "kept")

@@ -767,3 +767,88 @@ def test_pipeline(spark):
     assert got == want
 
 
+
+
+def test_marks_and_levels_of_shared_keys():
+    """A key costs about 3 bytes on the way out and one bit per limit on the way back."""
+    import pyarrow as pa
+
+    from cohortspark.llm.counting import _levelled, levels_of, marks
+
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 2**63, 60_000).astype(np.uint64) * np.uint64(2)
+    batches = {name: np.unique(rng.choice(pool, 20_000)) for name in "abcde"}
+    flags = {name: rng.integers(1, 3, len(keys)) for name, keys in batches.items()}
+    total = Counter()
+    for name, keys in batches.items():
+        total.update(dict(zip(keys.tolist(), flags[name].tolist())))
+    sent = [row for name, keys in batches.items() for row in marks(name, keys, flags[name], 7)]
+    assert sum(len(r["keys"]) for r in sent) < 3.4 * sum(map(len, batches.values()))
+    found = {name: {} for name in batches}
+    for bucket in range(7):
+        rows = pa.Table.from_pylist([r for r in sent if r["bucket"] == bucket])
+        for r in _levelled(rows, (1, 4)).to_pylist():
+            found[r["batch"]][r["bucket"]] = r["totals"]
+    for name, keys in batches.items():
+        want = [(total[k] > 1) + (total[k] > 4) for k in keys.tolist()]
+        assert levels_of(keys, 7, found[name], 2).tolist() == want
+        assert sum(map(len, found[name].values())) <= 2 * (len(keys) // 8 + 7)
+    none = np.zeros(0, np.uint64)
+    assert marks("x", none, none, 7) == [] and levels_of(none, 7, {}, 2).tolist() == []
+
+
+def test_intervals_of_the_sorted_bytes():
+    """The extension begins at all strings of 8 bytes; shorter lengths begin at themselves."""
+    from cohortspark.llm.bwt import SEPARATOR, _intervals, equal_substrings, suffix_order
+
+    rng = np.random.default_rng(6)
+    text = rng.choice(np.array([97, 98, SEPARATOR], np.uint8), 3_000, p=[0.6, 0.35, 0.05])
+    text[-1] = SEPARATOR
+    data = text.tobytes()
+    for width in (1, 3, 8):
+        order = suffix_order(text, 50)
+        low, high, cuts = _intervals(text, order, width)
+        solid = Counter(s for i in range(len(data)) if len(s := data[i : i + width]) == width and SEPARATOR not in s)
+        assert [(data[order[a] : order[a] + width], b - a) for a, b in zip(low, high)] == sorted(solid.items())
+        assert cuts[0] == 0 and cuts[-1] == len(data)
+    for length in (1, 5, 8, 9, 20):
+        order, group = equal_substrings(text, length)
+        of = dict(zip(order.tolist(), group.tolist()))
+        seen = {}
+        for i in range(len(data) - length + 1):
+            s = data[i : i + length]
+            if SEPARATOR not in s:
+                assert seen.setdefault(s, of[i]) == of[i]
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_words_of_latin_texts_and_their_counts(monkeypatch):
+    """Texts without characters beyond Latin Extended-A take a shorter way to the same words; counts go by language."""
+    import pyarrow as pa
+
+    from cohortspark.llm import language
+
+    plain = "".join(map(chr, range(0x180))) + " Grüße İstanbul ſ ǅ été ñ 日本 ÀÉ²³¼ªº×÷ "
+    for text in ["".join(map(chr, range(0x180))), plain, "", "12 ½", "Ünï cødé ÿ", "x" * 9]:
+        assert [w for part in language.words_of(text) for w in part] == language._WORD.findall(text.lower())
+    rows = [("de", "ein Haus ein"), ("en", "a house"), ("de", "Haus"), ("en", "a ein " * 3)]
+    want = Counter((0, lang, w) for lang, t in rows for w in t.lower().split())
+    for held in (2, language._HELD):
+        monkeypatch.setattr(language, "_HELD", held)
+        got = Counter()
+        for b in language._word_counts(iter([pa.record_batch({"lang": [r[0] for r in rows], "text": [r[1] for r in rows]})])):
+            for r in b.to_pylist():
+                got[r["kind"], r["lang"], r["entry"]] += r["n"]
+        assert got == want
+        pieces = [(lang, w, n) for (_, lang, w), n in want.items()]
+        table = pa.record_batch({c: [p[i] for p in pieces] for i, c in enumerate(("lang", "entry", "n"))})
+        got = Counter()
+        for b in language._gram_counts(iter([table]), (2, 1)):
+            for r in b.to_pylist():
+                got[r["kind"], r["lang"], r["entry"]] += r["n"]
+        grams = Counter()
+        for lang, w, n in pieces:
+            for length in (2, 1):
+                for g in language.grams(w, length):
+                    grams[length, lang, g] += n
+        assert got == grams
