@@ -106,10 +106,10 @@ def _split(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, Iterator[tuple
 
 
 def marks(batch: str, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> list[dict]:
-    """Request rows like those of ``requests`` for counts below 256: of the sorted keys the steps go, byte by byte."""
+    """Request rows like those of ``requests``, counts above 65,535 as that: of the sorted keys the steps go, byte by byte."""
     order, parts = _split(hashes, buckets)
     keys = (hashes >> _U(64 - SHORT_BITS)).astype(np.uint32)[order]
-    counts = counts[order].astype(np.uint8)
+    counts = np.minimum(counts[order], 0xFFFF).astype(np.uint16)
     rows = []
     for bucket, s, e in parts:
         steps = np.diff(keys[s:e], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4)
@@ -126,7 +126,7 @@ def marks(batch: str, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> l
 
 def _levelled(rows: pa.Table, limits: Sequence[int]) -> pa.Table:
     """Of one bucket: for each key of each batch, one bit per limit that its total exceeds."""
-    counts = [np.frombuffer(x.as_py(), np.uint8) for x in rows.column("counts")]
+    counts = [np.frombuffer(x.as_py(), np.uint16) for x in rows.column("counts")]
     keys = []
     for x, c in zip(rows.column("keys").to_pylist(), counts):
         steps = pa.decompress(x, decompressed_size=4 * len(c), codec="zstd", asbytes=True)

@@ -34,7 +34,7 @@ from cohortspark.llm.counting import (
 LENGTH = 50
 SEED_BYTES = 20
 CHUNK = 1 << 17  # windows hashed at a time, so the arrays stay in the processor's cache
-HOT = 256  # a minimizer in about so many batches has each of its strings dealt by its own hash
+HOT = 1 << 15  # a minimizer in more segments, each counted once per batch, has each string dealt by its own hash
 BUCKETS_PER_PARTITION = 4
 PARTS = 16  # by its hash a minimizer belongs to one part of its bucket; parts are expanded one after the other
 PART_BYTES = 1 << 18  # parts are joined up to about this size, so the arrays stay in the processor's cache
@@ -104,13 +104,30 @@ class _Batch:
         self.owner = self.ids[np.searchsorted(self.starts, self.first, "right") - 1]
 
     def sharing(self) -> np.ndarray:
-        """2 for a minimizer that several ids of the batch have, else 1."""
-        if not len(self.values):
-            return np.zeros(0, np.int64)
+        """1 for a minimizer that one id of the batch has, else how many different segments it has, at least 2."""
+        counts = np.ones(len(self.values), np.int64)
+        if not len(counts):
+            return counts
         order = np.argsort(self.value, kind="stable")
         at, _ = runs(self.value[order])
         ids = self.owner[order]
-        return 1 + (np.minimum.reduceat(ids, at) != np.maximum.reduceat(ids, at))
+        several = np.minimum.reduceat(ids, at) != np.maximum.reduceat(ids, at)
+        chosen = np.flatnonzero(several[self.value])
+        _, one = np.unique(self._contents(chosen), return_index=True)
+        different = np.bincount(self.value[chosen[one]], minlength=len(counts))
+        counts[several] = np.maximum(different[several], 2)
+        return counts
+
+    def _contents(self, chosen: np.ndarray) -> np.ndarray:
+        """Hash of the segments by the words from their begin and from their end on; these cover all ordinary ones."""
+        word = np.ndarray(len(self.data) - 7, "<u8", self.data, strides=(1,))
+        start, stop = self.first[chosen], self.last[chosen] + self.length - 1
+        h = self.values[self.value[chosen]] + (stop - start).astype(_U)
+        for step in range(0, min(self.length, 48) - 7, 8):
+            for at in (start + step, stop - 8 - step):
+                h = (h ^ word[at]) * _U(0x9E3779B97F4A7C15)
+                h ^= h >> _U(32)
+        return h
 
     def candidates(
         self, found: dict[int, bytes], buckets: int

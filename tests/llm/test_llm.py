@@ -797,6 +797,24 @@ def test_marks_and_levels_of_shared_keys():
     assert marks("x", none, none, 7) == [] and levels_of(none, 7, {}, 2).tolist() == []
 
 
+def test_segments_are_counted_once_per_batch():
+    """A passage that is copied to many documents is one segment; only different surroundings make a minimizer hot."""
+    import pyarrow as pa
+
+    passage = "".join(random.Random(4).choices("abcdefghijklmnop", k=300))
+    texts = [f"{i:03d} {passage}".encode() for i in range(300)] + [b"short"]
+    ids, sizes = np.arange(len(texts)), np.array([len(t) for t in texts])
+    values = {"batch": "b", "body": b"".join(texts), "ids": ids.astype(np.int64).tobytes(), "sizes": sizes.astype(np.int64).tobytes()}
+    b = substrings._Batch({k: pa.scalar(v) for k, v in values.items()}, substrings.LENGTH)
+    contents, owners = {}, {}
+    for first, last, v, owner in zip(b.first.tolist(), b.last.tolist(), b.value.tolist(), b.owner.tolist()):
+        contents.setdefault(v, set()).add(b.data[first : last + substrings.LENGTH - 1])
+        owners.setdefault(v, set()).add(owner)
+    want = [1 if len(owners[v]) == 1 else max(2, len(contents[v])) for v in range(len(b.values))]
+    assert b.sharing().tolist() == want
+    assert max(want) > 200 and want.count(2) > 3
+
+
 def test_intervals_of_the_sorted_bytes():
     """The extension begins at all strings of 8 bytes; shorter lengths begin at themselves."""
     from cohortspark.llm.bwt import SEPARATOR, _intervals, equal_substrings, suffix_order
